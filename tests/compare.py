@@ -57,7 +57,7 @@ def main() -> None:
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     prefixes = tuple(sys.argv[2:])
-    spark: SparkSession = build_session("compare", "local[8]", spark__sql__shuffle__partitions="8", spark__driver__memory="8g")
+    spark: SparkSession = build_session("compare", "local[8]", spark__sql__shuffle__partitions="8", spark__driver__memory="8g", spark__ui__showConsoleProgress="false")
     spark.sparkContext.setLogLevel("ERROR")
     connection, oracles, bad = connect(sf_dir), entry.oracle_sql(), 0
     for name, run in entry.queries().items():
