@@ -14,16 +14,17 @@ from reclake.sources.writers import Encoders
 
 def minmax_scale(df: DataFrame, col: str = "rating", name: str = "rating_scaled") -> DataFrame:
     """Scale to [0, 1] by the observed extremes; null when they are equal."""
-    low = df.agg(F.min(col)).scalar()
-    span = df.agg(F.max(col) - F.min(col)).scalar()
-    return df.withColumn(name, F.try_divide(F.col(col) - low, span))
+    extremes = df.agg(F.struct(F.min(col).alias("low"), F.max(col).alias("high"))).scalar()
+    low, high = extremes["low"], extremes["high"]
+    return df.withColumn(name, F.try_divide(F.col(col) - low, high - low))
 
 
 def fit_labels(df: DataFrame, col: str) -> DataFrame:
     """Sorted distinct values numbered from 0, as a ``(value, idx)`` table.
 
     No global window: values are range-partitioned, numbered inside each range, and shifted by the sizes of the
-    ranges before. The range of a value is written down once, so a retried task cannot change it.
+    ranges before. The range of a value is written down once, so a retried task cannot change it. The labels are
+    written too: joins then know their size.
     """
     values = df.select(F.col(col).alias("value")).dropna().distinct()
     ranges = materialize(
@@ -35,9 +36,10 @@ def fit_labels(df: DataFrame, col: str) -> DataFrame:
     shifts = sizes.select("_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_shift"))
     inside = Window.partitionBy("_range").orderBy("value")
     numbered = ranges.withColumn("_inside", F.row_number().over(inside) - 1)
-    return numbered.join(F.broadcast(shifts), "_range").select(
+    labels = numbered.join(F.broadcast(shifts), "_range").select(
         "value", (F.col("_inside") + F.col("_shift")).alias("idx")
     )
+    return materialize(labels, "labels")
 
 
 def apply_labels(df: DataFrame, labels: DataFrame, col: str, name: str) -> DataFrame:
@@ -83,6 +85,6 @@ def build_features(ratings: DataFrame, movies: DataFrame) -> tuple[DataFrame, En
     items = fit_labels(ratings, "item_id")
     described = enrich_genres(items.withColumnsRenamed({"value": "item_id", "idx": "item_idx"}), movies)
     genres = fit_multihot(described)
-    described = apply_multihot(described, genres)
+    described = materialize(apply_multihot(described, genres), "described-items")
     labelled = apply_labels(minmax_scale(ratings), users, "user_id", "user_idx")
     return labelled.join(described, "item_id"), Encoders(users, items, genres)

@@ -99,7 +99,7 @@ def draw_unseen(
     anti-join on (user, number), so neither a heavy user nor a popular item makes a large group. Returns the request
     columns without ``need``, plus ``item_id`` and ``draw``.
     """
-    numbered = materialize(fit_labels(pool, "item_id").withColumnRenamed("value", "item_id"), "pool")
+    numbered = fit_labels(pool, "item_id").withColumnRenamed("value", "item_id")
     n = numbered.count()
     if n == 0:
         empty = requests.drop("need").withColumns({"item_id": F.lit(None).cast("bigint"), "draw": F.lit(None).cast("bigint")})

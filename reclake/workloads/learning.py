@@ -31,7 +31,7 @@ def _(t: Tables) -> DataFrame:
     select user_id, item_id, dense_rank() over (order by user_id) - 1 as user_idx, dense_rank() over (order by item_id) - 1 as item_idx
     from fx_interactions""")
 def _(t: Tables) -> DataFrame:
-    rows = materialize(t.interactions, "interactions").select("user_id", "item_id")
+    rows = t.stored().select("user_id", "item_id")
     labelled = F_.apply_labels(rows, F_.fit_labels(rows, "user_id"), "user_id", "user_idx")
     return F_.apply_labels(labelled, F_.fit_labels(rows, "item_id"), "item_id", "item_idx").select(
         "user_id", "item_id", F.col("user_idx").cast("bigint").alias("user_idx"), F.col("item_idx").cast("bigint").alias("item_idx")
@@ -60,7 +60,7 @@ def _(t: Tables) -> DataFrame:
 @query("f5_build_features", """
     select user_id, item_id, rating, ts, genres, rating_scaled, user_idx, item_idx, multihot from fx_features""")
 def _(t: Tables) -> DataFrame:
-    features, _ = F_.build_features(t.interactions, t.movies)
+    features, _ = F_.build_features(t.stored(), t.movies)
     return features.select(
         "user_id", "item_id", "rating", "ts", "genres", "rating_scaled", F.col("user_idx").cast("bigint").alias("user_idx"),
         F.col("item_idx").cast("bigint").alias("item_idx"), _joined("genres_multihot", "multihot"),
@@ -103,7 +103,7 @@ def _(t: Tables) -> DataFrame:
     from (select *, row_number() over (partition by user_id order by ts, item_id)
       / count(*) over (partition by user_id) as share from fx_interactions)""")
 def _(t: Tables) -> DataFrame:
-    rows = materialize(t.interactions, "interactions")
+    rows = t.stored()
     return W.temporal_split_pct(rows, W.SplitConfig(0.7, 0.15)).select("user_id", "item_id", "split")
 
 
@@ -126,7 +126,7 @@ def _core_sql() -> str:
 
 @query("w5_kcore", _core_sql())
 def _(t: Tables) -> DataFrame:
-    core = W.kcore(materialize(t.interactions, "interactions"), 20, 22)
+    core = W.kcore(t.stored(), 20, 22)
     rows = core.clean.withColumn("kept", F.lit(True)).unionByName(core.discarded.withColumn("kept", F.lit(False)))
     return rows.select("user_id", "item_id", "rating", "kept")
 
@@ -142,7 +142,7 @@ def _(t: Tables) -> DataFrame:
         and item_id not in (select item_id from fx_ok_items)) as removed_by_items,
       (select count(*) from fx_marked where kept) as clean""")
 def _(t: Tables) -> DataFrame:
-    return W.noise_counts(materialize(t.interactions, "interactions"), 20, 22)
+    return W.noise_counts(t.stored(), 20, 22)
 
 
 @query("a5_split_balance", """

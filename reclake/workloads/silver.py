@@ -246,7 +246,7 @@ def _(t: Tables) -> DataFrame:
 
 @query("j5_keep_in", "select user_id, item_id, rating, ts from fx_interactions where user_id in (select user_id from fx_ok_users)")
 def _(t: Tables) -> DataFrame:
-    rows = materialize(t.interactions, "interactions")
+    rows = t.stored()
     return J.keep_in(rows, A.active_ids(rows, "user_id", 20), "user_id").select(RATINGS.fieldNames())
 
 
@@ -271,7 +271,7 @@ def _(t: Tables) -> DataFrame:
 @query("j8_join_predictions", f"""
     select user_id, item_id, rating, {draw("'p'", "user_id", "item_id")} as prediction from fx_interactions""")
 def _(t: Tables) -> DataFrame:
-    rows = materialize(t.interactions, "interactions")
+    rows = t.stored()
     predicted = rows.select("user_id", "item_id", E.hash_int(F.lit("p"), F.col("user_id"), F.col("item_id")).alias("prediction"))
     return J.join_predictions(rows.select("user_id", "item_id", "rating"), predicted)
 

@@ -88,13 +88,16 @@ class Tables:
     def movies(self) -> DataFrame:
         return self.catalog.select("item_id", F.split("genre_words", " ").alias("genres"))
 
+    def stored(self) -> DataFrame:
+        """The interactions as a table, as the jobs after the silver step read them."""
+        return materialize(self.interactions, "interactions")
+
     def features(self) -> tuple[DataFrame, Encoders]:
-        features, encoders = build_features(self.interactions, self.movies)
+        features, encoders = build_features(self.stored(), self.movies)
         return materialize(features, "features"), encoders
 
-    def marked(self, frame: DataFrame | None = None) -> DataFrame:
-        frame = self.interactions if frame is None else frame
-        return mark_noise(materialize(frame, "interactions"), MIN_USER, MIN_ITEM)
+    def marked(self) -> DataFrame:
+        return mark_noise(self.stored(), MIN_USER, MIN_ITEM)
 
     def split(self) -> DataFrame:
         """Clean interactions with the column ``split``."""
