@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import IDF, HashingTF, Normalizer, Tokenizer
+from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,7 +14,7 @@ from reclake.functions.vectors import zeros
 def embed_text(df: DataFrame, col: str = "text", dim: int = 1024, key: str = "item_id") -> DataFrame:
     """Unit TF-IDF vector of ``dim`` hashed terms per item, as ``(key, text_emb)``; the whole text counts."""
     steps = Pipeline(stages=[
-        Tokenizer(inputCol=col, outputCol="_terms"),
+        RegexTokenizer(inputCol=col, outputCol="_terms", pattern=r"\s+"),
         HashingTF(inputCol="_terms", outputCol="_tf", numFeatures=dim),
         IDF(inputCol="_tf", outputCol="_tfidf"),
         Normalizer(inputCol="_tfidf", outputCol="_unit"),

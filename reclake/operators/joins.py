@@ -26,6 +26,18 @@ def build_ratings(ratings: DataFrame, links: DataFrame, catalog: DataFrame, asse
     return conform(kept, RATINGS, ["user_id", "item_id"], [F.desc("ts"), *tie_break])
 
 
+def silver_counts(ratings: DataFrame, links: DataFrame, catalog: DataFrame, assets: DataFrame) -> DataFrame:
+    """Ratings left after each of the three conditions of :func:`build_ratings`, in one pass over the ratings."""
+    sides = {"linked": links.dropna(subset=["ext_id"]), "described": catalog, "with_asset": assets}
+    marked, passed, counts = ratings.select("item_id"), F.lit(True), [F.count("*").alias("raw")]
+    for name, side in sides.items():
+        ids = side.select("item_id").distinct().withColumn(name, F.lit(True))
+        marked = marked.join(ids, "item_id", "left")
+        passed = passed & F.col(name).isNotNull()
+        counts.append(F.count_if(passed).alias(name))
+    return marked.agg(*counts)
+
+
 def build_movies(catalog: DataFrame, ratings: DataFrame, names: list[str] | None = None, key: str = "item_id") -> DataFrame:
     """Catalogue rows of rated items, with the wanted columns that exist."""
     rated = ratings.select(F.col("item_id").alias(key))

@@ -1,8 +1,8 @@
-"""Row positions that hold for groups of any size."""
+"""Row positions, running values and quantiles for groups of any size."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -12,14 +12,18 @@ from reclake.session import materialize
 GROUP_ROWS = 5_000_000
 
 
+def _blocks(df: DataFrame, keys: list[str]) -> DataFrame:
+    """``df`` range-partitioned on ``keys``, each partition a numbered block; written, so that blocks stay as they are."""
+    return materialize(df.repartitionByRange(*keys).withColumn("_block", F.spark_partition_id()), "blocks")
+
+
 def block_rank(df: DataFrame, group: list[str], order: list[str], name: str) -> DataFrame:
     """1-based position within each group by ``order``, without gathering a group in one task.
 
     Rows are range-partitioned on (group, order), so a large group covers many partitions. Each partition is a block:
     positions are counted within a block and shifted by the group's rows in earlier blocks.
     """
-    blocks = df.repartitionByRange(*group, *order).withColumn("_block", F.spark_partition_id())
-    blocks = materialize(blocks, "blocks")
+    blocks = _blocks(df, [*group, *order])
     sizes = blocks.groupBy(*group, "_block").agg(F.count("*").alias("_size"))
     before = Window.partitionBy(*group).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     shifts = sizes.select(*group, "_block", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_shift"))
@@ -32,6 +36,12 @@ def block_rank(df: DataFrame, group: list[str], order: list[str], name: str) ->
     )
 
 
+def _large_groups(df: DataFrame, group: list[str], group_rows: int) -> DataFrame | None:
+    """Groups above ``group_rows`` with their size ``_n``; None when there are none."""
+    large = df.groupBy(*group).agg(F.count("*").alias("_n")).filter(F.col("_n") > group_rows)
+    return None if large.isEmpty() else materialize(large, "large-groups")
+
+
 def group_positions(
     df: DataFrame, group: list[str], order: list[str], name: str = "pos", size: str | None = None,
     group_rows: int = GROUP_ROWS,
@@ -41,22 +51,57 @@ def group_positions(
     ``group`` and ``order`` together identify a row. Groups above ``group_rows`` take the block path, the others one
     window; there are at most rows / ``group_rows`` large groups.
     """
-    large = df.groupBy(*group).agg(F.count("*").alias("_n")).filter(F.col("_n") > group_rows)
+    large = _large_groups(df, group, group_rows)
     window = Window.partitionBy(*group)
 
     def plain(frame: DataFrame) -> DataFrame:
         frame = frame.withColumn(name, F.row_number().over(window.orderBy(*order)).cast("bigint"))
         return frame.withColumn(size, F.count("*").over(window)) if size else frame
 
-    if large.isEmpty():
+    if large is None:
         return plain(df)
-    large = materialize(large, "large-groups")
     spread = block_rank(df.join(large.drop("_n"), group, "left_semi"), group, order, name)
     if size:
         spread = spread.join(large.withColumnRenamed("_n", size), group)
     return plain(df.join(large, group, "left_anti")).unionByName(spread)
 
 
+def _fold(how: str, value: str) -> Column:
+    return {"min": F.min, "max": F.max, "last": F.last}[how](value)
+
+
+def running(
+    df: DataFrame, group: list[str], order: str, value: str, how: str, name: str, group_rows: int = GROUP_ROWS
+) -> DataFrame:
+    """``min``, ``max`` or ``last`` of ``value`` over the rows before each row, by ``order`` within its group.
+
+    ``last`` is the value of the row just before. Groups above ``group_rows`` are cut into blocks: a row combines the
+    rows before it in its block with what all earlier blocks hand on.
+    """
+    ordered = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    large = _large_groups(df, group, group_rows)
+    if large is None:
+        return df.withColumn(name, _fold(how, value).over(ordered))
+    spread = _blocks(df.join(large, group, "left_semi"), [*group, order])
+    whole = F.max_by(value, order) if how == "last" else _fold(how, value)
+    handed = spread.groupBy(*group, "_block").agg(whole.alias("_whole"))
+    by_block = Window.partitionBy(*group).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    handed = handed.select(*group, "_block", _fold(how, "_whole").over(by_block).alias("_handed"))
+    inside = Window.partitionBy(*group, "_block").orderBy(order)
+    spread = spread.withColumns({
+        "_inside": _fold(how, value).over(inside.rowsBetween(Window.unboundedPreceding, -1)),
+        "_first": F.row_number().over(inside) == 1,
+    }).join(handed, [*group, "_block"])
+    combined = {
+        "min": F.least("_inside", "_handed"),
+        "max": F.greatest("_inside", "_handed"),
+        "last": F.when(F.col("_first"), F.col("_handed")).otherwise(F.col("_inside")),
+    }[how]
+    spread = spread.withColumn(name, combined).drop("_block", "_inside", "_first", "_handed")
+    calm = df.join(large, group, "left_anti").withColumn(name, _fold(how, value).over(ordered))
+    return calm.unionByName(spread)
+
+
 def group_quantiles(df: DataFrame, group: list[str], value: str, probabilities: dict[str, float]) -> DataFrame:
     """Exact interpolated quantiles per group, rounded to six digits, for groups of any size.
 
@@ -64,8 +109,7 @@ def group_quantiles(df: DataFrame, group: list[str], value: str, probabilities:
     all values of a group.
     """
     counts = df.groupBy(*group, value).agg(F.count("*").alias("_n"))
-    blocks = counts.repartitionByRange(*group, value).withColumn("_block", F.spark_partition_id())
-    blocks = materialize(blocks, "value-counts")
+    blocks = _blocks(counts, [*group, value])
     sizes = blocks.groupBy(*group, "_block").agg(F.sum("_n").alias("_size"))
     by_block = Window.partitionBy(*group).orderBy("_block")
     shifts = sizes.select(

@@ -8,9 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from reclake.operators.positions import GROUP_ROWS, group_positions
+from reclake.operators.positions import GROUP_ROWS, group_positions, running
 
 # ---- fixed values: names in the log lines, number patterns, required series ----
 LOGGED = {
@@ -113,23 +112,22 @@ def best_epoch(history: DataFrame, metric: str, run: str = "job") -> DataFrame:
     )
 
 
-def early_stop(history: DataFrame, metric: str, patience: int, run: str = "job") -> DataFrame:
+def early_stop(
+    history: DataFrame, metric: str, patience: int, run: str = "job", group_rows: int = GROUP_ROWS
+) -> DataFrame:
     """Epoch at which training ends: ``patience`` epochs without a new minimum, else the last epoch."""
-    ordered = Window.partitionBy(run).orderBy("epoch")
-    best_before = F.min(metric).over(ordered.rowsBetween(Window.unboundedPreceding, -1))
-    marked = history.withColumn("_before", best_before)
-    better = F.when(F.col("_before").isNull() | (F.col(metric) < F.col("_before")), F.col("epoch"))
-    last_better = F.max(better).over(ordered.rowsBetween(Window.unboundedPreceding, 0))
-    waited = marked.withColumn("_waited", F.col("epoch") - last_better)
+    marked = running(history, [run], "epoch", metric, "min", "_before", group_rows)
+    better = F.col("_before").isNull() | (F.col(metric) < F.col("_before"))
+    marked = marked.withColumn("_better", F.when(better, F.col("epoch")))
+    marked = running(marked, [run], "epoch", "_better", "max", "_last", group_rows)
+    waited = marked.withColumn("_waited", F.col("epoch") - F.coalesce("_better", "_last"))
     ended = F.min(F.when(F.col("_waited") >= patience, F.col("epoch")))
     return waited.groupBy(run).agg(
         F.coalesce(ended, F.max("epoch")).alias("stop_epoch"), ended.isNotNull().alias("stopped_early")
     )
 
 
-def lr_drops(history: DataFrame, run: str = "job") -> DataFrame:
+def lr_drops(history: DataFrame, run: str = "job", group_rows: int = GROUP_ROWS) -> DataFrame:
     """Epochs whose learning rate is below the one before."""
-    before = F.lag("lr").over(Window.partitionBy(run).orderBy("epoch"))
-    return history.withColumn("previous_lr", before).filter(F.col("lr") < F.col("previous_lr")).select(
-        run, "epoch", "previous_lr", "lr"
-    )
+    with_previous = running(history, [run], "epoch", "lr", "last", "previous_lr", group_rows)
+    return with_previous.filter(F.col("lr") < F.col("previous_lr")).select(run, "epoch", "previous_lr", "lr")

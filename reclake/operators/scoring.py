@@ -145,7 +145,8 @@ def recommend_top_k(
     ``users`` is ``(user_id, vector)``, ``items`` is ``(item_id, vector)``, ``seen`` holds (user, item) pairs. Users
     and items are cut into blocks of about ``block`` rows and multiplied block by block: a task holds one user block,
     one item block and the seen pairs between them, and returns at most ``k`` items per user. Neither table is
-    broadcast, nor are scored pairs shuffled.
+    broadcast, nor are scored pairs shuffled. Larger blocks copy the tables less often and need more memory per task.
+    Both tables are counted first, so pass stored ones.
     """
     user_blocks = max(1, ceil(users.count() / block))
     item_blocks = max(1, ceil(items.count() / block))
@@ -161,7 +162,7 @@ def recommend_top_k(
     left = spread(place(left, "user_id", user_blocks, key[0]), item_blocks, key[1])
     right = items.select("item_id", F.col("vector").alias("item_vector"))
     right = spread(place(right, "item_id", item_blocks, key[1]), user_blocks, key[0])
-    pairs = place(place(seen.select("user_id", "item_id"), "user_id", user_blocks, key[0]), "item_id", item_blocks, key[1])
+    pairs = place(place(seen.select("user_id", "item_id").distinct(), "user_id", user_blocks, key[0]), "item_id", item_blocks, key[1])
     right = right.unionByName(pairs, allowMissingColumns=True)
 
     def best(block_users: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from reclake.operators.cleaning import clean_links, funnel
+from reclake.operators.cleaning import clean_links
 from reclake.operators.encoders import build_features
-from reclake.operators.joins import build_movies, build_ratings
+from reclake.operators.joins import build_movies, build_ratings, silver_counts
 from reclake.operators.splits import by_split, filter_noise, temporal_split
 from reclake.session import materialize
 from reclake.sources.writers import Encoders
@@ -19,14 +20,7 @@ def build_silver(
     links = clean_links(links)
     silver = materialize(build_ratings(ratings, links, catalog, assets), "silver-ratings")
     movies = build_movies(catalog, silver, names)
-    linked = ratings.join(links, "item_id", "left_semi")
-    described = linked.join(catalog, "item_id", "left_semi")
-    counts = funnel({
-        "linked": linked,
-        "described": described,
-        "with_asset": described.join(assets, "item_id", "left_semi"),
-        "silver": silver,
-    })
+    counts = silver_counts(ratings, links, catalog, assets).withColumn("silver", silver.agg(F.count("*")).scalar())
     return silver, movies, counts
 
 

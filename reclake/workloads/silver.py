@@ -33,34 +33,19 @@ def _(t: Tables) -> DataFrame:
 
 
 @query("c2_flatten_movie", f"""
-    select doc_id as "movieId", {_CLEANED} as sinopsis, lang as titulo, coalesce(p.director, 'Desconocido') as director,
-      coalesce(p.generos, '') as generos, coalesce(p.actores, '') as actores
-    from documents d left join (
-      select l_orderkey % (select count(*) from documents) as k,
-        coalesce(min(p_brand) filter (where l_returnflag = 'R'), 'Desconocido') as director,
-        array_to_string(list_sort(list_distinct(list(p_type))), '|') as generos,
-        array_to_string(list_sort(list_distinct(list(p_name)))[1:5], '|') as actores
-      from lineitem join part on l_partkey = p_partkey group by 1) p on d.doc_id = p.k""")
-def _(t: Tables) -> DataFrame:
-    # Nested documents: the text of a document, cast and crew out of the parts of the orders that fall to it.
-    docs = t.read("documents")
-    n = docs.agg(F.count("*")).scalar()
-    lines = t.read("lineitem").select("l_orderkey", "l_partkey", "l_returnflag")
-    parts = t.read("part").select("p_partkey", "p_name", "p_type", "p_brand")
-    named = lambda col: F.transform(F.array_sort(F.collect_set(col)), lambda x: F.struct(x.alias("name")))
-    brand = F.struct(
-        F.col("p_brand").alias("name"),
-        F.when(F.col("l_returnflag") == "R", "Director").otherwise("Writer").alias("job"),
+    select doc_id as "movieId", {_CLEANED} as sinopsis, lang as titulo, case when n_chars > 500 then lang else 'Desconocido' end as director,
+      source || '|' || lang as generos, array_to_string(string_split(text, ' ')[1:5], '|') as actores from documents""")
+def _(t: Tables) -> DataFrame:
+    # Nested documents: the words of a text are the cast, source and language the crew; long texts have a director.
+    named = lambda col: F.transform(col, lambda x: F.struct(x.alias("name")))
+    crew = F.array(
+        F.struct(F.col("source").alias("name"), F.lit("Writer").alias("job")),
+        F.struct(F.col("lang").alias("name"), F.when(F.col("n_chars") > 500, "Director").otherwise("Editor").alias("job")),
     )
-    credits = lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).groupBy(
-        (F.col("l_orderkey") % n).alias("doc_id")
-    ).agg(
-        named("p_type").alias("genres"),
-        F.struct(F.array_sort(F.collect_set(brand)).alias("crew"), named("p_name").alias("cast")).alias("credits"),
-    )
-    given = docs.join(credits, "doc_id", "left").select(
+    given = t.read("documents").select(
         F.col("doc_id").alias("movie_id"), F.col("lang").alias("title"), F.col("text").alias("overview"),
-        "genres", "credits",
+        named(F.array("source", "lang")).alias("genres"),
+        F.struct(crew.alias("crew"), named(F.split("text", " ")).alias("cast")).alias("credits"),
     )
     missing = [
         F.lit(None).cast(field.dataType).alias(field.name) for field in MOVIE_DOCUMENT if field.name not in given.columns

@@ -72,18 +72,15 @@ def _(t: Tables) -> DataFrame:
 
 
 @query("s8_training_history", """
-    select row_number() over (partition by user_id order by event_id) as epoch, value as val_mse, value / 2 as train_mse,
-      user_id as job from events""")
+    select vec_id as job, cast(pos + 1 as bigint) as epoch, embedding[pos + 1]::double as val_mse, embedding[pos + 1]::double / 2 as train_mse
+    from (select vec_id, embedding, unnest(range(len(embedding))) as pos from embeddings)""")
 def _(t: Tables) -> DataFrame:
-    # One document per user: the arrays of a run, whose length is its number of epochs.
+    # One document per vector, whose values stand for the errors of a run.
     path = scratch_path(t.spark, "histories")
-    rows = F.array_sort(F.collect_list(F.struct("event_id", "value")))
-    runs = t.read("events").groupBy("user_id").agg(rows.alias("rows")).select(
-        F.col("user_id").cast("string").alias("mode"),
-        F.struct(
-            F.transform("rows", lambda r: r["value"]).alias("val_mse"),
-            F.transform("rows", lambda r: r["value"] / 2).alias("train_mse"),
-        ).alias("training_history"),
+    values = F.col("embedding").cast("array<double>")
+    runs = t.read("embeddings").select(
+        F.col("vec_id").cast("string").alias("mode"),
+        F.struct(values.alias("val_mse"), F.transform(values, lambda x: x / 2).alias("train_mse")).alias("training_history"),
     )
     W.write_jsonl(runs, path)
     documents = t.spark.read.schema(R.TRAINING_RUN).json(path).withColumn("run", F.col("mode"))

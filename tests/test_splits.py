@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from reclake.contracts import RATINGS
 from reclake.operators import encoders as F_
 from reclake.operators import splits as W
-from reclake.operators.positions import block_rank, group_positions, group_quantiles
+from reclake.operators.positions import block_rank, group_positions, group_quantiles, running
 from reclake.workloads.tables import Tables
 from tests.conftest import rows
 
@@ -59,6 +59,24 @@ def test_group_positions_with_sizes(interactions):
         assert placed.select("user_id", "place").distinct().count() == placed.count() == interactions.count()
 
 
+@pytest.mark.parametrize("how", ["min", "max", "last"])
+def test_running_values_of_a_large_group(spark, how):
+    draw = random.Random(2)
+    data = [(0, at, draw.choice([None, *range(50)])) for at in range(900)] + [(user, at, draw.randrange(9)) for user in range(1, 9) for at in range(7)]
+    df = spark.createDataFrame(data, "g int, at int, x int").repartition(6)
+    fold = {"min": min, "max": max, "last": lambda seen: seen[-1]}[how]
+    expected = {}
+    for group in range(9):
+        seen = []
+        for _, at, x in (row for row in data if row[0] == group):
+            known = seen if how == "last" else [value for value in seen if value is not None]
+            expected[group, at] = fold(known) if known else None
+            seen.append(x)
+    for limit in (100, 10_000):
+        found = running(df, ["g"], "at", "x", how, "before", limit)
+        assert {(row["g"], row["at"]): row["before"] for row in found.collect()} == expected
+
+
 def test_quantiles(interactions):
     found = {row["user_id"]: row["mid"] for row in group_quantiles(interactions, ["user_id"], "ts", {"mid": 0.5}).collect()}
     pdf = interactions.toPandas()
