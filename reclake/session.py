@@ -11,6 +11,7 @@ _SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
 }
@@ -33,16 +34,14 @@ def checkpoint_root(spark: SparkSession) -> str:
 
     Only a local-mode session may go without the setting; it then gets a fresh temporary folder.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    root = tempfile.mkdtemp(prefix="reclake-")
-    context.setCheckpointDir(root)
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not root:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="reclake-"))
+        root = context.getCheckpointDir()
+    return root.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

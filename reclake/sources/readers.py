@@ -82,11 +82,16 @@ def id_from_path(path: Column, ext: str = ".jpg") -> Column:
     return F.regexp_extract(path, rf"(?:^|/)([^/]*){escaped}$", 1).try_cast("bigint")
 
 
-def asset_ids(files: DataFrame, ext: str = ".jpg") -> DataFrame:
-    """Distinct item ids named by a listing with a ``path`` column."""
+def listed_ids(files: DataFrame, ext: str = ".jpg") -> DataFrame:
+    """Distinct item ids named by a listing with a ``path`` column; names that are no number are skipped."""
     return files.select(id_from_path(F.col("path"), ext).alias("item_id")).dropna().distinct()
 
 
+def asset_ids(spark: SparkSession, path: str, ext: str = ".jpg") -> DataFrame:
+    """Ids of the items whose asset ``{id}{ext}`` lies under ``path``."""
+    return listed_ids(list_files(spark, path), ext)
+
+
 def compact(df: DataFrame, factor: int = 50, floor: int = 4) -> DataFrame:
     """Fewer, larger partitions for a table read from many small files; meant directly after the read."""
     return df.coalesce(max(floor, df.rdd.getNumPartitions() // factor))

@@ -45,35 +45,35 @@ def write_splits(frames: dict[str, DataFrame], base: str, max_files: int | None
         frame.write.mode("overwrite").parquet(f"{base.rstrip('/')}/{name}")
 
 
-def with_record(df: DataFrame) -> DataFrame:
-    """Feature rows with event time and record id, without the multi-hot vector."""
+def with_record(df: DataFrame, event: str = "event_time", record: str = "record_id") -> DataFrame:
+    """Feature rows with event time and record id, named as the store wants them, without the multi-hot vector."""
     plain = df.drop("genres_multihot")
     return plain.withColumns({
-        "event_time": event_time(F.col("ts")),
-        "record_id": record_id(F.col("user_id"), F.col("item_id")),
+        event: event_time(F.col("ts")),
+        record: record_id(F.col("user_id"), F.col("item_id")),
     })
 
 
-def append_features(df: DataFrame, path: str) -> None:
+def append_features(df: DataFrame, path: str, event: str = "event_time", record: str = "record_id") -> None:
     """Append feature records, laid out by year, month, day and hour of the event.
 
     The rebalance hint lets adaptive execution split a busy hour and merge quiet ones before the write.
     """
     parts = {
-        "year": F.substring("event_time", 1, 4),
-        "month": F.substring("event_time", 6, 2),
-        "day": F.substring("event_time", 9, 2),
-        "hour": F.substring("event_time", 12, 2),
+        "year": F.substring(event, 1, 4),
+        "month": F.substring(event, 6, 2),
+        "day": F.substring(event, 9, 2),
+        "hour": F.substring(event, 12, 2),
     }
-    laid_out = with_record(df).withColumns(parts).hint("rebalance", *parts)
+    laid_out = with_record(df, event, record).withColumns(parts).hint("rebalance", *parts)
     laid_out.write.partitionBy(*parts).mode("append").parquet(path)
 
 
-def latest_records(df: DataFrame) -> DataFrame:
+def latest_records(df: DataFrame, event: str = "event_time", record: str = "record_id") -> DataFrame:
     """Newest row per record id of an append log."""
-    rest = [name for name in df.columns if name not in ("record_id", "event_time")]
-    newest = F.max(F.struct("event_time", *rest)).alias("newest")
-    return df.groupBy("record_id").agg(newest).select("record_id", "newest.*")
+    rest = [name for name in df.columns if name not in (record, event)]
+    newest = F.max(F.struct(event, *rest)).alias("newest")
+    return df.groupBy(record).agg(newest).select(record, "newest.*")
 
 
 def write_features(df: DataFrame, path: str) -> None:

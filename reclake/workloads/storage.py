@@ -51,7 +51,7 @@ def _(t: Tables) -> DataFrame:
     key = F.col("p_partkey").cast("string")
     name = F.when(F.col("p_type") == "PROMO", F.concat(F.lit("promo-"), key)).otherwise(key)
     listing = t.read("part").select(F.concat(F.lit("/posters/"), name, F.lit(".jpg")).alias("path"))
-    return R.asset_ids(listing)
+    return R.listed_ids(listing)
 
 
 @query("s6_compact", "select user_id, count(*) as n from fx_ratings group by user_id")

@@ -1,6 +1,10 @@
 from __future__ import annotations
 
 import json
+import os
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -59,8 +63,9 @@ def test_assets_and_inventory(spark, tmp_path):
         (tmp_path / "posters" / name).write_bytes(b"123")
     files = R.list_files(spark, str(tmp_path / "posters"))
     assert files.columns == ["path", "length"] and files.count() == 5
-    assert rows(R.asset_ids(files)) == [(1,), (30,)] and rows(R.asset_ids(files, ".png")) == [(2,)]
-    assert rows(R.asset_ids(R.list_files(spark, str(tmp_path / "none")))) == []
+    assert rows(R.listed_ids(files)) == [(1,), (30,)] and rows(R.listed_ids(files, ".png")) == [(2,)]
+    assert rows(R.asset_ids(spark, str(tmp_path / "posters"))) == [(1,), (30,)]
+    assert rows(R.asset_ids(spark, str(tmp_path / "none"))) == []
     found = rows(R.dataset_inventory(spark, str(tmp_path), ["posters", "train"]))
     assert found == [("posters", 5, 15, True), ("train", 0, 0, False)]
 
@@ -123,15 +128,29 @@ def test_scratch_folder(spark):
     assert rows(kept) == rows(df) and kept.inputFiles()
 
 
-def test_a_cluster_must_name_its_folder(spark, monkeypatch):
+def test_a_cluster_must_name_its_folder():
     class Cluster:
         class sparkContext:
             master = "spark://host:7077"
+            getCheckpointDir = staticmethod(lambda: None)
 
         class conf:
-            @staticmethod
-            def get(name, default=None):
-                return default
+            get = staticmethod(lambda name, default=None: default)
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         checkpoint_root(Cluster)
+
+
+def test_local_mode_without_the_setting_gets_its_own_folder(tmp_path):
+    """In a process of its own: the setting is fixed once a session runs."""
+    script = (
+        "from reclake.session import build_session, checkpoint_root, materialize\n"
+        "spark = build_session('alone', 'local[1]')\n"
+        "assert spark.conf.get('spark.checkpoint.dir', None) is None\n"
+        "assert checkpoint_root(spark) == checkpoint_root(spark)\n"
+        "assert materialize(spark.range(3), 'ids').count() == 3\n"
+    )
+    root = Path(__file__).resolve().parent.parent
+    given = {**os.environ, "SPARK_CONF_DIR": str(tmp_path), "PYTHONPATH": str(root)}
+    done = subprocess.run([sys.executable, "-c", script], env=given, capture_output=True, text=True, timeout=180, cwd=tmp_path)
+    assert done.returncode == 0, done.stderr[-2000:]
