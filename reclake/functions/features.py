@@ -37,11 +37,11 @@ def attention_json(category: Column, text: Column, image: Column) -> Column:
 
 
 def hash_int(*parts: Column) -> Column:
-    """Seeded draw in [0, 2**32): the first eight hex digits of the md5 of the joined parts."""
+    """Seeded draw in [0, 2**60): the first fifteen hex digits of the md5 of the joined parts."""
     digest = F.md5(F.concat_ws("|", *[part.cast("string") for part in parts]))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
 
 
 def hash_unit(*parts: Column) -> Column:
     """Seeded draw in [0, 1)."""
-    return hash_int(*parts) / F.lit(4294967296.0)
+    return hash_int(*parts) / F.lit(float(2**60))

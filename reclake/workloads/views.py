@@ -6,11 +6,11 @@ from __future__ import annotations
 def draw(*parts: str) -> str:
     """SQL of ``functions.features.hash_int``."""
     joined = " || '|' || ".join(f"cast({part} as varchar)" for part in parts)
-    return f"cast(('0x' || substr(md5({joined}), 1, 8)) as bigint)"
+    return f"cast(('0x' || substr(md5({joined}), 1, 15)) as bigint)"
 
 
 def unit(*parts: str) -> str:
-    return f"({draw(*parts)} / 4294967296.0::double)"
+    return f"({draw(*parts)} / 1152921504606846976.0::double)"
 
 
 def prime_from(n: str) -> str:

@@ -9,6 +9,7 @@ from reclake.functions import text as X
 from reclake.operators import cleaning as C
 from reclake.operators import joins as J
 from reclake.operators.profiles import describe_cols, parse_attention, profile
+from reclake.workloads.tables import Tables
 from tests.conftest import rows
 
 
@@ -170,3 +171,19 @@ def test_genres_and_embeddings_of_unknown_items(spark):
     vectors = spark.createDataFrame([(1, [1.0, 2.0], None)], "item_id long, text_emb array<float>, img_emb array<float>")
     found = J.attach_embeddings(ratings.select("item_id"), vectors, 2)
     assert rows(found) == [(1, [1.0, 2.0], [0.0, 0.0]), (2, [0.0, 0.0], [0.0, 0.0])]
+
+
+def test_silver_ratings_on_the_documented_views(spark):
+    t = Tables(spark, "/root/testdata/sf0.01")
+    key = F.col("p_partkey")
+    part = t.read("part")
+    pairs = part.select(key.alias("item_id"), F.when(key % 50 != 0, key + 100000).alias("ext_id"))
+    links = pairs.unionByName(part.filter(key % 25 == 1).select(key.alias("item_id"), (key + 100000).alias("ext_id")))
+    path = (
+        F.when(key % 20 == 0, F.lit(None)).when(key % 20 == 7, "").when(key % 20 == 14, "None")
+        .otherwise(F.concat(F.lit("/"), key.cast("string"), F.lit(".jpg")))
+    )
+    catalog = part.filter(key % 10 != 3).select(key.alias("item_id"), path.alias("asset_path"))
+    assets = C.has_asset_path(catalog).filter(F.col("item_id") % 6 != 5).select("item_id")
+    assert (links.count(), catalog.count(), assets.count()) == (2080, 1800, 1266)
+    assert J.build_ratings(t.ratings, C.clean_links(links), catalog, assets).count() == 37_077
