@@ -23,7 +23,52 @@ CATALOG_COLUMNS = [
     "palabras_clave", "fecha_lanzamiento", "calificacion_tmdb", "votos_tmdb", "frase_promocional",
     "popularidad", "poster_path", "idioma_original", "duracion_minutos",
 ]
+# column of the flat movie table, field of the nested document, how the field is read
+MOVIE_COLUMNS = [
+    ("movieId", "movie_id", "id"),
+    ("tmdbId", "tmdb_id", "id"),
+    ("titulo", "title", "text"),
+    ("titulo_original", "original_title", "text"),
+    ("sinopsis", "overview", "cleaned"),
+    ("generos", "genres", "names"),
+    ("director", "credits.crew", "director"),
+    ("actores", "credits.cast", "first names"),
+    ("palabras_clave", "keywords.keywords", "names"),
+    ("fecha_lanzamiento", "release_date", "text"),
+    ("calificacion_tmdb", "vote_average", "number"),
+    ("votos_tmdb", "vote_count", "number"),
+    ("frase_promocional", "tagline", "cleaned"),
+    ("popularidad", "popularity", "number"),
+    ("poster_path", "poster_path", "text"),
+    ("backdrop_path", "backdrop_path", "text"),
+    ("idioma_original", "original_language", "text"),
+    ("duracion_minutos", "runtime", "number"),
+    ("presupuesto", "budget", "number"),
+    ("ingresos", "revenue", "number"),
+    ("estado", "status", "text"),
+]
+DIRECTOR_JOB = "Director"
+CAST_NAMES = 5
 STORE_COLUMNS = ["write_time", "api_invocation_time", "is_deleted"]
+EVENT_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
+TRAIN_RATIO = 0.8
+VAL_RATIO = 0.1
+CORE_MIN_USER = 20
+CORE_MIN_ITEM = 10
+CORE_ROUNDS = 5
+NOISE_MIN_USER = 5
+NOISE_MIN_ITEM = 5
+NEGATIVES = 4
+SEED = 42
+DECOYS = 99
+MIN_DECOYS = 10
+BAD_STARS = 2.5
+QUALITY_STARS = 3.5
+REPORT_STARS = 4.0
+INTERACTION_THRESHOLD = 0.5
+TOP_K = 10
+EPSILON = 1e-8
+BATCH_NORM_EPSILON = 1e-5
 # ---- end of fixed values ----
 
 RATINGS = T.StructType([

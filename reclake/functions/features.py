@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from reclake.contracts import STARS_MIN, STARS_RANGE
+from reclake.contracts import EVENT_TIME_FORMAT, STARS_MIN, STARS_RANGE
 
 
 def interaction_label(scaled: Column) -> Column:
@@ -25,7 +25,7 @@ def from_stars(stars: float, low: float = STARS_MIN, span: float = STARS_RANGE)
 def event_time(epoch_seconds: Column) -> Column:
     """``yyyy-MM-ddTHH:mm:ssZ`` in UTC, whatever the session time zone is."""
     utc = F.to_utc_timestamp(F.timestamp_seconds(epoch_seconds), F.current_timezone())
-    return F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    return F.date_format(utc, EVENT_TIME_FORMAT)
 
 
 def record_id(user: Column, item: Column) -> Column:

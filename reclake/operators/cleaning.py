@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from reclake.contracts import STORE_COLUMNS, UNKNOWN
+from reclake.contracts import CAST_NAMES, DIRECTOR_JOB, MOVIE_COLUMNS, STORE_COLUMNS, UNKNOWN
 from reclake.functions.text import clean_text
 
 
@@ -23,39 +23,25 @@ def _names(items: Column) -> Column:
     return F.coalesce(F.transform(items, lambda item: item["name"]), F.array().cast("array<string>"))
 
 
+def _director(crew: Column) -> Column:
+    directors = F.filter(crew, lambda member: member["job"] == DIRECTOR_JOB)
+    return F.coalesce(F.get(directors, F.lit(0))["name"], F.lit(UNKNOWN))
+
+
+_READ = {
+    "id": lambda col: col.cast("bigint"),
+    "text": lambda col: F.coalesce(col, F.lit("")),
+    "number": lambda col: F.coalesce(col, F.lit(0)),
+    "cleaned": clean_text,
+    "names": _names,
+    "first names": lambda col: F.slice(_names(col), 1, CAST_NAMES),
+    "director": _director,
+}
+
+
 def flatten_movie(df: DataFrame) -> DataFrame:
     """Flat movie record out of a nested document (schema ``contracts.MOVIE_DOCUMENT``)."""
-    directors = F.filter("credits.crew", lambda member: member["job"] == "Director")
-
-    def text(name: str) -> Column:
-        return F.coalesce(F.col(name), F.lit(""))
-
-    def number(name: str) -> Column:
-        return F.coalesce(F.col(name), F.lit(0))
-
-    return df.select(
-        F.col("movie_id").cast("bigint").alias("movieId"),
-        F.col("tmdb_id").cast("bigint").alias("tmdbId"),
-        text("title").alias("titulo"),
-        text("original_title").alias("titulo_original"),
-        clean_text(F.col("overview")).alias("sinopsis"),
-        _names(F.col("genres")).alias("generos"),
-        F.coalesce(F.get(directors, F.lit(0))["name"], F.lit(UNKNOWN)).alias("director"),
-        F.slice(_names(F.col("credits.cast")), 1, 5).alias("actores"),
-        _names(F.col("keywords.keywords")).alias("palabras_clave"),
-        text("release_date").alias("fecha_lanzamiento"),
-        number("vote_average").alias("calificacion_tmdb"),
-        number("vote_count").alias("votos_tmdb"),
-        clean_text(F.col("tagline")).alias("frase_promocional"),
-        number("popularity").alias("popularidad"),
-        text("poster_path").alias("poster_path"),
-        text("backdrop_path").alias("backdrop_path"),
-        text("original_language").alias("idioma_original"),
-        number("runtime").alias("duracion_minutos"),
-        number("budget").alias("presupuesto"),
-        number("revenue").alias("ingresos"),
-        text("status").alias("estado"),
-    )
+    return df.select([_READ[kind](F.col(field)).alias(name) for name, field, kind in MOVIE_COLUMNS])
 
 
 def with_audit(df: DataFrame, correlation_id: str) -> DataFrame:
@@ -102,8 +88,11 @@ def fill_genre(df: DataFrame, default: str = UNKNOWN, col: str = "genres") -> Da
 
 
 def entity_dim(df: DataFrame, key: str, attrs: list[str]) -> DataFrame:
-    """One attribute row per entity. Attributes depend on the key; the smallest is taken should they differ."""
-    return df.groupBy(key).agg(*[F.min(name).alias(name) for name in attrs])
+    """One attribute row per entity. Attributes depend on the key; the smallest is taken should they differ.
+
+    Repeated rows are dropped first, by hash and before the shuffle; vectors then need no sort of the whole input.
+    """
+    return df.select(key, *attrs).distinct().groupBy(key).agg(*[F.min(name).alias(name) for name in attrs])
 
 
 def funnel(stages: Mapping[str, DataFrame]) -> DataFrame:

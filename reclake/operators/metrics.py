@@ -9,11 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reclake.contracts import STARS_RANGE
+from reclake.contracts import EPSILON, INTERACTION_THRESHOLD, QUALITY_STARS, REPORT_STARS, STARS_RANGE
 from reclake.functions.features import interaction_label, to_stars
 
-EPSILON = 1e-8
-
 
 def _round(col: Column) -> Column:
     return F.round(col, 6)
@@ -64,12 +62,12 @@ def _by_stars(stars: float) -> list[Column]:
     return _cells(to_stars(F.col("y")) >= stars, to_stars(F.col("p_rating")) >= stars)
 
 
-def confusion(df: DataFrame, stars: float = 3.5, by: list[str] | None = None) -> DataFrame:
+def confusion(df: DataFrame, stars: float = QUALITY_STARS, by: list[str] | None = None) -> DataFrame:
     """Confusion matrix of the predicted rating at a number of stars."""
     return df.groupBy(*(by or [])).agg(*_by_stars(stars))
 
 
-def confusion_at(df: DataFrame, prob: float = 0.5, by: list[str] | None = None) -> DataFrame:
+def confusion_at(df: DataFrame, prob: float = INTERACTION_THRESHOLD, by: list[str] | None = None) -> DataFrame:
     """Confusion matrix of the interaction probability at a threshold."""
     return df.groupBy(*(by or [])).agg(*_cells(F.col("y") > 0, F.col("p_inter") >= prob))
 
@@ -88,13 +86,13 @@ def rates(matrix: DataFrame) -> DataFrame:
 
 
 def classification_metrics(
-    df: DataFrame, stars: float = 3.5, prob: float | None = None, by: list[str] | None = None
+    df: DataFrame, stars: float = QUALITY_STARS, prob: float | None = None, by: list[str] | None = None
 ) -> DataFrame:
     """:func:`rates` of the rating head at ``stars``, or of the interaction head when ``prob`` is given."""
     return rates(confusion(df, stars, by) if prob is None else confusion_at(df, prob, by))
 
 
-def classification_report(df: DataFrame, stars: float = 4.0, by: list[str] | None = None) -> DataFrame:
+def classification_report(df: DataFrame, stars: float = REPORT_STARS, by: list[str] | None = None) -> DataFrame:
     """Precision, recall, F1 and support per class, with macro and weighted averages."""
     by = by or []
     matrix = confusion(df, stars, by)
@@ -131,7 +129,7 @@ def confusion_pct(matrix: DataFrame) -> DataFrame:
     return matrix.withColumns({f"{name}_pct": _round(F.try_divide(F.col(name) * 100.0, total)) for name in names})
 
 
-def pointwise_metrics(df: DataFrame, by: list[str], stars: float = 3.5) -> DataFrame:
+def pointwise_metrics(df: DataFrame, by: list[str], stars: float = QUALITY_STARS) -> DataFrame:
     """Regression, cross-entropy, masked and classification metrics in one pass over the predictions."""
     sums = df.groupBy(*by).agg(
         F.avg(_squared_error()).alias("_mse"),

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from reclake.contracts import QUALITY_STARS, TOP_K
 from reclake.functions.features import to_stars
 
 
@@ -38,21 +39,21 @@ def _gain(k: int) -> Column:
     return F.when(F.col("rank") < k, 1.0 / F.log2(F.col("rank") + 2)).otherwise(0.0)
 
 
-def hit_rate(ranks: DataFrame, k: int = 10, by: list[str] | None = None) -> DataFrame:
+def hit_rate(ranks: DataFrame, k: int = TOP_K, by: list[str] | None = None) -> DataFrame:
     """Share of targets ranked among the first ``k``."""
     return ranks.groupBy(*(by or [])).agg(
         F.round(F.avg(_hit(k)), 6).alias("hit_rate_at_k"), F.count("*").alias("total_evaluations")
     )
 
 
-def ndcg_single(ranks: DataFrame, k: int = 10, by: list[str] | None = None) -> DataFrame:
+def ndcg_single(ranks: DataFrame, k: int = TOP_K, by: list[str] | None = None) -> DataFrame:
     """Mean discounted gain of a single target: ``1 / log2(rank + 2)`` within the first ``k``."""
     return ranks.groupBy(*(by or [])).agg(
         F.round(F.avg(_gain(k)), 6).alias("ndcg_at_k"), F.count("*").alias("total_evaluations")
     )
 
 
-def ranking_metrics(ranks: DataFrame, k: int = 10, by: list[str] | None = None) -> DataFrame:
+def ranking_metrics(ranks: DataFrame, k: int = TOP_K, by: list[str] | None = None) -> DataFrame:
     """Hit rate and discounted gain in one pass."""
     return ranks.groupBy(*(by or [])).agg(
         F.round(F.avg(_hit(k)), 6).alias("hit_rate_at_k"),
@@ -61,7 +62,7 @@ def ranking_metrics(ranks: DataFrame, k: int = 10, by: list[str] | None = None)
     )
 
 
-def ndcg_graded(df: DataFrame, k: int = 10, by: list[str] | None = None) -> DataFrame:
+def ndcg_graded(df: DataFrame, k: int = TOP_K, by: list[str] | None = None) -> DataFrame:
     """Mean over users of the graded NDCG@k of ``p_rating`` against the stars of ``y``; equal predictions by item."""
     groups = [*(by or []), "user_id"]
     stars = df.select(*groups, "item_id", "p_rating", to_stars(F.col("y")).alias("_stars"))
@@ -78,7 +79,7 @@ def ndcg_graded(df: DataFrame, k: int = 10, by: list[str] | None = None) -> Data
 
 
 def precision_recall_at_k(
-    df: DataFrame, k: int = 10, stars: float = 3.5, by: list[str] | None = None
+    df: DataFrame, k: int = TOP_K, stars: float = QUALITY_STARS, by: list[str] | None = None
 ) -> DataFrame:
     """Mean precision@k and recall@k over the users that have a relevant item; equal predictions by item.
 

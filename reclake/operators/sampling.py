@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from reclake.contracts import BAD_STARS, DECOYS, MIN_DECOYS, NEGATIVES, QUALITY_STARS, SEED
 from reclake.functions.features import from_stars, hash_int
 from reclake.operators.cleaning import entity_dim
 from reclake.operators.encoders import fit_labels
@@ -37,6 +38,10 @@ def _next_prime(n: int) -> int:
     return n
 
 
+def _wanted(requests: DataFrame) -> int:
+    return requests.agg(F.coalesce(F.sum("need"), F.lit(0))).first()[0]
+
+
 def _walk(requests: DataFrame, key: list[str], seen: DataFrame, n: int, size: int, seed: int) -> list[DataFrame]:
     """First ``need`` unseen pool numbers on the seeded walk of each request.
 
@@ -57,7 +62,7 @@ def _walk(requests: DataFrame, key: list[str], seen: DataFrame, n: int, size: in
         rank = F.row_number().over(Window.partitionBy(*key).orderBy("draw"))
         picked = fresh.withColumn("_rank", rank).filter((F.col("_rank") <= size) & (F.col("_rank") <= F.col("need")))
         rounds.append(materialize(picked.select(*requests.columns, "idx", "draw").drop("need"), "draws"))
-        if high >= prime:
+        if high >= prime or rounds[-1].count() == _wanted(state):
             return rounds
         got = rounds[-1].groupBy(*key).agg(F.count("*").alias("_got"))
         left = F.col("need") - F.coalesce("_got", F.lit(0))
@@ -131,7 +136,7 @@ def _with_positives(train: DataFrame, negatives: DataFrame, with_ts: bool) -> Da
 
 
 def negatives_per_positive(
-    train: DataFrame, interactions: DataFrame, ratio: int = 4, seed: int = 42, with_ts: bool = False
+    train: DataFrame, interactions: DataFrame, ratio: int = NEGATIVES, seed: int = SEED, with_ts: bool = False
 ) -> DataFrame:
     """Training rows plus ``ratio`` unseen items per training row, rated 0.
 
@@ -145,7 +150,7 @@ def negatives_per_positive(
     return _with_positives(train, _with_attributes(draws, interactions), with_ts)
 
 
-def negatives_per_user(train: DataFrame, interactions: DataFrame, n: int, seed: int = 42) -> DataFrame:
+def negatives_per_user(train: DataFrame, interactions: DataFrame, n: int, seed: int = SEED) -> DataFrame:
     """Training rows plus ``n`` unseen items per user, rated 0 and stamped with the user's last training time."""
     users = entity_dim(train, "user_id", ["user_idx"])
     requests = users.withColumn("need", F.lit(n))
@@ -153,14 +158,14 @@ def negatives_per_user(train: DataFrame, interactions: DataFrame, n: int, seed:
     return _with_positives(train, _with_attributes(draws, interactions), with_ts=True)
 
 
-def test_positives(test: DataFrame, stars: float = 3.5) -> DataFrame:
+def test_positives(test: DataFrame, stars: float = QUALITY_STARS) -> DataFrame:
     """Evaluation targets: test rows rated at least ``stars``."""
     return test.filter(F.col("rating_scaled") >= from_stars(stars))
 
 
 def decoys(
-    targets: DataFrame, interactions: DataFrame, embedded: DataFrame, n: int = 99, seed: int = 42,
-    bad_stars: float = 2.5, min_decoys: int = 10,
+    targets: DataFrame, interactions: DataFrame, embedded: DataFrame, n: int = DECOYS, seed: int = SEED,
+    bad_stars: float = BAD_STARS, min_decoys: int = MIN_DECOYS,
 ) -> DataFrame:
     """Items to rank each target against: badly rated ones that the user has not seen, ``n`` per target.
 
@@ -173,13 +178,12 @@ def decoys(
     asked = targets.join(embedded, "item_id", "left_semi").select("user_id", F.col("item_id").alias("target"))
     asked = asked.withColumn("need", F.lit(n))
     drawn = draw_unseen(asked, key, bad, interactions, n, seed)
-    got = drawn.groupBy(*key).agg(F.count("*").alias("_got"))
-    left = F.col("need") - F.coalesce("_got", F.lit(0))
-    short = materialize(
-        asked.join(got, key, "left").withColumn("need", left).drop("_got").filter("need > 0"), "short-targets"
-    )
     drawn = drawn.select(*key, "item_id")
-    if not short.isEmpty():
+    if drawn.count() < _wanted(asked):
+        got = drawn.groupBy(*key).agg(F.count("*").alias("_got"))
+        left = F.col("need") - F.coalesce("_got", F.lit(0))
+        short = asked.join(got, key, "left").withColumn("need", left).drop("_got").filter("need > 0")
+        short = materialize(short, "short-targets")
         others = unseen_items(interactions.select("item_id").distinct(), bad)
         more = draw_unseen(short, key, others, interactions, n, seed + 1)
         drawn = drawn.unionByName(more.select(*key, "item_id"))

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from reclake.contracts import BATCH_NORM_EPSILON, TOP_K
 from reclake.functions import vectors as V
 from reclake.functions.features import attention_json, to_stars
 
@@ -50,10 +51,11 @@ def hybrid_score(df: DataFrame, name: str = "hybrid_score") -> DataFrame:
 
 def _dense() -> Callable[[np.ndarray, Layer], np.ndarray]:
     """Linear, batch normalisation with stored moments, ReLU; made here so that tasks get it by value."""
+    epsilon = BATCH_NORM_EPSILON
 
     def dense(x: np.ndarray, layer: Layer) -> np.ndarray:
         y = x @ layer["weight"].T + layer["bias"]
-        y = (y - layer["mean"]) / np.sqrt(layer["var"] + 1e-5) * layer["gamma"] + layer["beta"]
+        y = (y - layer["mean"]) / np.sqrt(layer["var"] + epsilon) * layer["gamma"] + layer["beta"]
         return np.maximum(y, 0.0)
 
     return dense
@@ -138,7 +140,7 @@ def explain(scored: DataFrame, user: int, item: int) -> DataFrame:
 
 
 def recommend_top_k(
-    users: DataFrame, items: DataFrame, seen: DataFrame, k: int = 10, block: int = 8192
+    users: DataFrame, items: DataFrame, seen: DataFrame, k: int = TOP_K, block: int = 8192
 ) -> DataFrame:
     """The ``k`` unseen items with the highest dot product per user; exact, equal scores by item id.
 

@@ -7,6 +7,15 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reclake.contracts import (
+    CORE_MIN_ITEM,
+    CORE_MIN_USER,
+    CORE_ROUNDS,
+    NOISE_MIN_ITEM,
+    NOISE_MIN_USER,
+    TRAIN_RATIO,
+    VAL_RATIO,
+)
 from reclake.operators.joins import keep_in
 from reclake.operators.positions import GROUP_ROWS, group_positions
 from reclake.operators.profiles import active_ids
@@ -31,7 +40,7 @@ def _mark(df: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
     return marked.withColumn("kept", kept).select(*df.columns, "kept")
 
 
-def kcore(df: DataFrame, min_user: int = 20, min_item: int = 10, max_iter: int = 5) -> Core:
+def kcore(df: DataFrame, min_user: int = CORE_MIN_USER, min_item: int = CORE_MIN_ITEM, max_iter: int = CORE_ROUNDS) -> Core:
     """Drop users with fewer than ``min_user`` rows, then items with fewer than ``min_item``, until nothing changes.
 
     At most ``max_iter`` rounds. Each round writes the surviving id pairs, which cuts the lineage and gives the count
@@ -58,20 +67,20 @@ def kcore(df: DataFrame, min_user: int = 20, min_item: int = 10, max_iter: int =
     )
 
 
-def mark_noise(df: DataFrame, min_user: int = 5, min_item: int = 5) -> DataFrame:
+def mark_noise(df: DataFrame, min_user: int = NOISE_MIN_USER, min_item: int = NOISE_MIN_ITEM) -> DataFrame:
     """One pass: flag ``kept`` for rows of users with enough rows and of items with enough rows among those."""
     users = active_ids(df, "user_id", min_user)
     items = active_ids(keep_in(df, users, "user_id"), "item_id", min_item)
     return _mark(df, users, items)
 
 
-def filter_noise(df: DataFrame, min_user: int = 5, min_item: int = 5) -> tuple[DataFrame, DataFrame]:
+def filter_noise(df: DataFrame, min_user: int = NOISE_MIN_USER, min_item: int = NOISE_MIN_ITEM) -> tuple[DataFrame, DataFrame]:
     """Clean and discarded rows of :func:`mark_noise`."""
     marked = mark_noise(df, min_user, min_item)
     return marked.filter("kept").drop("kept"), marked.filter("not kept").drop("kept")
 
 
-def noise_counts(df: DataFrame, min_user: int = 5, min_item: int = 5) -> DataFrame:
+def noise_counts(df: DataFrame, min_user: int = NOISE_MIN_USER, min_item: int = NOISE_MIN_ITEM) -> DataFrame:
     """Rows removed by the user rule, removed by the item rule, and left."""
     users = active_ids(df, "user_id", min_user)
     by_user = keep_in(df, users, "user_id")
@@ -88,7 +97,7 @@ def _cut(share: Column, train: float, val: float) -> Column:
 
 
 def temporal_split(
-    df: DataFrame, train: float = 0.8, val: float = 0.1, group_rows: int = GROUP_ROWS
+    df: DataFrame, train: float = TRAIN_RATIO, val: float = VAL_RATIO, group_rows: int = GROUP_ROWS
 ) -> DataFrame:
     """Label each row ``train``, ``val`` or ``test`` by its place in the user's history, oldest first.
 
@@ -100,10 +109,8 @@ def temporal_split(
 
 @dataclass(frozen=True)
 class SplitConfig:
-    train_ratio: float = 0.80
-    val_ratio: float = 0.10
-    min_user_interactions: int = 5
-    min_item_interactions: int = 5
+    train_ratio: float = TRAIN_RATIO
+    val_ratio: float = VAL_RATIO
 
 
 def temporal_split_pct(df: DataFrame, config: SplitConfig = SplitConfig()) -> DataFrame:

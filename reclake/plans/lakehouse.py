@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reclake.contracts import NOISE_MIN_ITEM, NOISE_MIN_USER
 from reclake.operators.cleaning import clean_links
 from reclake.operators.encoders import build_features
 from reclake.operators.joins import build_movies, build_ratings, silver_counts
@@ -25,7 +26,7 @@ def build_silver(
 
 
 def build_splits(
-    ratings: DataFrame, movies: DataFrame, min_user: int = 5, min_item: int = 5
+    ratings: DataFrame, movies: DataFrame, min_user: int = NOISE_MIN_USER, min_item: int = NOISE_MIN_ITEM
 ) -> tuple[dict[str, DataFrame], Encoders]:
     """Feature rows as ``train``, ``val``, ``test`` and ``cold-starts``, and the encoders.
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from urllib.parse import urlparse
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -123,7 +126,7 @@ def read_report(spark: SparkSession, path: str) -> DataFrame:
 
 def dataset_inventory(spark: SparkSession, base: str, names: list[str]) -> DataFrame:
     """Files and bytes per expected dataset folder under ``base``; a folder without files is flagged."""
-    below = F.regexp_extract("path", rf"{base.rstrip('/').split(':')[-1]}/([^/]+)/", 1)
+    below = F.regexp_extract("path", rf"{re.escape(urlparse(base).path.rstrip('/'))}/([^/]+)/", 1)
     sizes = (
         list_files(spark, base)
         .groupBy(below.alias("name"))
