@@ -26,6 +26,8 @@ class Tables:
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark, self.sf_dir = spark, sf_dir.rstrip("/")
+        # The tables hold times without a zone; both engines take them as UTC.
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
 
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
