@@ -47,14 +47,20 @@ def apply_labels(df: DataFrame, labels: DataFrame, col: str, name: str) -> DataF
     return df.join(labels.withColumnsRenamed({"value": col, "idx": name}), col)
 
 
-def fit_multihot(df: DataFrame, col: str = "genres") -> DataFrame:
-    """Sorted vocabulary of a pipe-joined column, as a ``(value, idx)`` table."""
+def fit_multihot(df: DataFrame, col: str = "genres", max_words: int = 10_000) -> DataFrame:
+    """Sorted vocabulary of a pipe-joined column, as a ``(value, idx)`` table.
+
+    Fails above ``max_words``: each row would hold a vector of that length.
+    """
     texts = df.select(F.col(col).alias("text")).distinct()
-    return fit_labels(texts.select(F.explode(pipe_split(F.col("text"))).alias("word")), "word")
+    vocabulary = fit_labels(texts.select(F.explode(pipe_split(F.col("text"))).alias("word")), "word")
+    if vocabulary.count() > max_words:
+        raise ValueError(f"more than {max_words} distinct words in {col}")
+    return vocabulary
 
 
 def apply_multihot(df: DataFrame, vocabulary: DataFrame, col: str = "genres", name: str = "genres_multihot") -> DataFrame:
-    """0/1 vector over the vocabulary. Every row holds a vector of its length, so it is small by nature."""
+    """0/1 vector over the vocabulary, whose size :func:`fit_multihot` has checked."""
     words = vocabulary.agg(F.sort_array(F.collect_list("value"))).scalar()
     both = df.withColumns({"_vocabulary": words, "_words": pipe_split(F.col(col))})
     vector = F.transform("_vocabulary", lambda word: F.array_contains("_words", word).cast("int"))

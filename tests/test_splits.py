@@ -160,3 +160,10 @@ def test_features_and_universe(spark):
         (5, 9, "Desconocido", 1.0, 0, 1, [1, 0, 0]), (7, 3, "War|Drama", 0.0, 1, 0, [0, 1, 1]), (7, 9, "Desconocido", 0.5, 1, 1, [1, 0, 0]),
     ]
     assert rows(F_.universe(features)) == rows(F_.universe(features, encoders)) == [(2, 2, 3)]
+
+
+def test_a_vocabulary_that_is_too_large_is_refused(spark):
+    df = spark.createDataFrame([("a|b",), ("c",)], "genres string")
+    assert F_.fit_multihot(df, max_words=3).count() == 3
+    with pytest.raises(ValueError, match="more than 2"):
+        F_.fit_multihot(df, max_words=2)
