@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from reclake.llm import decontaminate, line_dedup, pii, quality, tokenize  # noqa: F401
+from reclake.llm import decontaminate, language, line_dedup, pii, quality, tokenize, toxicity  # noqa: F401
 from reclake.llm.registry import ORACLES, QUERIES  # noqa: F401
