@@ -20,7 +20,8 @@ MAX_TOXIC, MAX_ORDINARY, MAX_CHARS = 1_500, 3_000, 20_000
 DICT_BYTES = 16_384
 SAMPLE_WORDS = 6
 PAD = bytes(12)  # zstandard looks for no match in the last bytes of its input
-MIN_DOCS, MIN_LIFT, NEED, MIN_GAIN = 10, 8.0, 4, 6
+PREFIXES = (4, 5, 6)
+MIN_DOCS, MIN_LIFT, NEED, MIN_GAIN, GAIN_SHARE = 8, 20.0, 4, 8, 0.02
 THRESHOLD = 0.3
 MEMO_ROWS = 500_000
 OUTER = ".,;:!?()[]{}<>\"'"
@@ -32,18 +33,22 @@ def _windows(text: str) -> list[str]:
 
 
 def _compressor(content: bytes) -> zstandard.ZstdCompressor:
+    settings = zstandard.ZstdCompressionParameters(
+        window_log=14, chain_log=14, hash_log=14, search_log=6, min_match=4, strategy=zstandard.STRATEGY_LAZY2,
+        write_content_size=False, write_checksum=False, write_dict_id=False,
+    )
     trained = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-    trained.precompute_compress(level=3)
-    return zstandard.ZstdCompressor(level=3, dict_data=trained, write_content_size=False, write_checksum=False, write_dict_id=False)
+    trained.precompute_compress(compression_params=settings)
+    return zstandard.ZstdCompressor(compression_params=settings, dict_data=trained)
 
 
 @dataclass
 class Toxicity:
-    """Both dictionaries and the calibration: a logistic function of the largest saving and the sum of the three largest."""
+    """Both dictionaries and the calibration: the weights of a logistic function of ``features``, the constant last."""
 
     ordinary: bytes
     toxic: bytes
-    weights: tuple[float, float, float]
+    weights: tuple[float, ...]
 
     def __post_init__(self) -> None:
         self._memo: dict[str, int] = {}
@@ -53,48 +58,61 @@ class Toxicity:
         return {**self.__dict__, "_memo": {}, "_pair": None}
 
     def saving(self, window: str) -> int:
-        """Bytes by which a window is shorter under the toxic dictionary."""
+        """Bytes by which a window is shorter under the toxic dictionary than under the ordinary one."""
         if window not in self._memo:
             if self._pair is None:
-                self._pair = _compressor(self.ordinary), _compressor(self.ordinary + self.toxic)
+                self._pair = _compressor(self.ordinary), _compressor(self.toxic)
             if len(self._memo) >= MEMO_ROWS:
                 self._memo.clear()
             data = f" {window} ".encode() + PAD
             self._memo[window] = len(self._pair[0].compress(data)) - len(self._pair[1].compress(data))
         return self._memo[window]
 
-    def features(self, text: str) -> tuple[float, float]:
-        top = heapq.nlargest(3, map(self.saving, _windows(text)))
-        return (float(top[0]), float(sum(top))) if top else (0.0, 0.0)
+    def features(self, text: str) -> tuple[float, ...]:
+        """The largest saving and the sum of the three largest, in bytes and as tenths of the window's length."""
+        saved = [(self.saving(window), len(window) + 2) for window in _windows(text)]
+        top = heapq.nlargest(3, (n for n, _ in saved))
+        parts = heapq.nlargest(3, (10 * n / size for n, size in saved if n > 0))
+        return float(max(top, default=0)), float(sum(top)), max(parts, default=0.0), float(sum(parts))
 
     def score(self, text: str) -> float:
-        largest, three = self.features(text)
-        a, b, c = self.weights
-        return float(1 / (1 + np.exp(-np.clip(a * largest + b * three + c, -30, 30))))
+        if not self.toxic:
+            return 0.0
+        total = float(np.dot(self.weights[:-1], self.features(text))) + self.weights[-1]
+        return float(1 / (1 + np.exp(-np.clip(total, -30, 30))))
 
 
-def _toxic_words(toxic: list[list[str]], ordinary: list[list[str]]) -> list[str]:
-    """Words that set toxic texts apart, chosen one by one for the texts that earlier ones leave unexplained.
+def _pieces(text: str) -> set[str]:
+    """The windows of a text and their beginnings, so that the forms of one word add up."""
+    words = _windows(text)
+    return {word for word in words if len(word) > 2} | {word[:n] for word in words for n in PREFIXES if len(word) > n}
+
+
+def _toxic_words(toxic: list[set[str]], ordinary: list[set[str]]) -> list[str]:
+    """Words and word beginnings that set toxic texts apart, each chosen for the texts that earlier ones leave unexplained.
 
     A word of a single copied text gains nothing once that text is explained by words it shares with other toxic texts.
+    Of equals the longer one is taken; beginnings and longer forms of what is taken are left out.
     """
     in_toxic, in_ordinary = (Counter(w for words in side for w in words) for side in (toxic, ordinary))
     share = {w: (n / len(toxic)) / ((in_ordinary[w] + 1) / (len(ordinary) + 1)) for w, n in in_toxic.items()}
-    docs_of: dict[str, list[int]] = {w: [] for w, n in in_toxic.items() if len(w) > 2 and n >= MIN_DOCS and share[w] >= MIN_LIFT}
+    docs_of: dict[str, list[int]] = {w: [] for w, n in in_toxic.items() if n >= MIN_DOCS and share[w] >= MIN_LIFT}
     for number, words in enumerate(toxic):
         for word in words:
             if word in docs_of:
                 docs_of[word].append(number)
     left = [NEED] * len(toxic)
-    queue = [(-len(docs), word) for word, docs in docs_of.items()]
+    queue = [(-len(docs), -len(word), word) for word, docs in docs_of.items()]
     heapq.heapify(queue)
     chosen = []
     while queue:
-        _, word = heapq.heappop(queue)
+        _, _, word = heapq.heappop(queue)
         gain = sum(left[number] > 0 for number in docs_of[word])
+        if any(word.startswith(other) or other.startswith(word) for other in chosen):
+            continue
         if queue and gain < -queue[0][0]:
-            heapq.heappush(queue, (-gain, word))
-        elif gain < MIN_GAIN:
+            heapq.heappush(queue, (-gain, -len(word), word))
+        elif gain < max(MIN_GAIN, GAIN_SHARE * len(toxic)):
             break
         else:
             chosen.append(word)
@@ -111,12 +129,12 @@ def _train(samples: list[bytes], size: int) -> bytes:
         return b"".join(samples)[:size]
 
 
-def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float, float]:
+def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
     x = np.column_stack([x, np.ones(len(x))])
-    w = np.zeros(3)
+    w = np.zeros(x.shape[1])
     for _ in range(25):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        hessian = (x * (p * (1 - p))[:, None]).T @ x + 0.01 * np.eye(3)
+        hessian = (x * (p * (1 - p))[:, None]).T @ x + 0.01 * np.eye(len(w))
         w -= np.linalg.solve(hessian, x.T @ (p - y) + 0.01 * w)
     return tuple(float(v) for v in w)
 
@@ -124,14 +142,15 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float, float]:
 def fit(toxic: list[str], ordinary: list[str]) -> Toxicity:
     """Dictionaries and calibration from two lists of texts; exact copies count once.
 
-    The ordinary dictionary is trained on windows of ordinary text. The toxic one is made of the words that set toxic text
-    apart and laid over the ordinary one, so that neutral words cost the same under both.
+    The ordinary dictionary is trained on pieces of ordinary text, the toxic one consists of the words that set toxic text
+    apart, the commonest last, where references to them are shortest.
     """
     toxic, ordinary = sorted(set(toxic)), sorted(set(ordinary))
     words = [WORD.findall(text.lower()) for text in ordinary]
     samples = [" ".join(w[i:i + SAMPLE_WORDS]).encode() for w in words for i in range(0, len(w), SAMPLE_WORDS)]
-    chosen = _toxic_words([_windows(t) for t in toxic], [_windows(t) for t in ordinary]) if toxic else []
-    model = Toxicity(_train(samples, DICT_BYTES), "".join(f" {w} " for w in reversed(chosen)).encode(), (0.0, 0.0, -30.0))
+    chosen = _toxic_words([_pieces(t) for t in toxic], [_pieces(t) for t in ordinary]) if toxic else []
+    entries = "".join(f" {w}" for w in reversed(chosen)) + " " if chosen else ""
+    model = Toxicity(_train(samples, DICT_BYTES), entries.encode(), (0.0,) * 4 + (-30.0,))
     if chosen and ordinary:
         x = np.array([model.features(t) for t in toxic + ordinary])
         model.weights = _logistic(x, np.array([1.0] * len(toxic) + [0.0] * len(ordinary)))
