@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from reclake.llm import decontaminate, html_text, language, line_dedup, pii, quality, substrings, tokenize, toxicity  # noqa: F401
+from reclake.llm import decontaminate, html_text, jaccard, language, line_dedup, pii, quality, substrings, tokenize, toxicity  # noqa: F401
 from reclake.llm.registry import ORACLES, QUERIES  # noqa: F401
