@@ -13,11 +13,11 @@ from reclake.llm.common import LAST_ID
 from reclake.llm.graph import components
 from reclake.llm.hashing import mix, window_hashes, word_hashes
 from reclake.llm.registry import query, table
-from reclake.llm.substrings import _base, _groups
+from reclake.llm.substrings import _base, _groups, _key
 from reclake.session import materialize
 
 WORDS, PERCENT = 4, 85
-FREQUENT_IN_GROUP, MAX_FREQUENT = 12, 200_000
+FREQUENT_IN_GROUP, MAX_FREQUENT = 6, 200_000
 MAX_BROADCAST = 3_000_000
 VERIFY_BATCH = 400
 _SALT = np.uint64(0x5851F42D4C957F2D)
@@ -139,22 +139,34 @@ def verify(pairs: DataFrame, base: DataFrame, words: int, percent: int) -> DataF
     return materialize(joined.select("a", "b", "_ta", "_tb").mapInArrow(run, "a long, b long"), "linked")
 
 
-def _candidates(lists: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components that may be linked: they share short lists enough for what the long lists can add."""
+def _candidates(lists: DataFrame, short: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components that may be linked: they share short lists enough for what the long lists can add.
+
+    Two sets of given sizes that need T shared shingles share one before place n - T + 1 of both orders, so only such places
+    are joined. All hits in the short lists of a pair are counted after that.
+    """
     named = materialize(lists.join(comps, "_key", "left").withColumn("comp", F.coalesce("comp", "_key")), "lists")
     open_ = named.groupBy("shingle").agg(F.min("comp").alias("_low"), F.max("comp").alias("_high")).filter("_low < _high")
     named = _only(named, materialize(open_.select("shingle"), "open-lists"), "shingle")
-    a, b = (named.select("shingle", *[F.col(c).alias(f"{c}_{side}") for c in ("_key", "n", "comp")]) for side in "ab")
+    a, b = (named.select("shingle", *[F.col(c).alias(f"{c}_{side}") for c in ("_key", "n", "at", "comp")]) for side in "ab")
     near = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
-    pairs = a.join(b, "shingle").filter((F.col("_key_a") < F.col("_key_b")) & (F.col("comp_a") != F.col("comp_b")) & near)
-    pairs = pairs.groupBy("_key_a", "_key_b", "n_a", "n_b").agg(F.count("*").alias("_c"))
+    needed = F.ceil(percent * (F.col("n_a") + F.col("n_b")) / (100 + percent))
+    early = (F.col("at_a") <= F.col("n_a") - needed) & (F.col("at_b") <= F.col("n_b") - needed)
+    apart = (F.col("_key_a") < F.col("_key_b")) & (F.col("comp_a") != F.col("comp_b"))
+    pairs = a.join(b, "shingle").filter(apart & near & early).select("_key_a", "_key_b", "n_a", "n_b").distinct()
+    pairs = materialize(pairs, "candidates")
+    keys = materialize(pairs.select(F.explode(F.array("_key_a", "_key_b")).alias("_key")).distinct(), "candidate-keys")
+    held = materialize(_only(short, keys, "_key").groupBy("_key").agg(F.first("short").alias("short")), "candidate-lists")
+    for side in "ab":
+        pairs = pairs.join(held.select(F.col("_key").alias(f"_key_{side}"), F.col("short").alias(f"short_{side}")), f"_key_{side}")
+    both = F.size(F.array_intersect("short_a", "short_b"))
     probed = F.least(*[F.ceil(F.col(n) * percent / 100) - 1 for n in ("n_a", "n_b")])
-    pairs = pairs.filter(_enough(F.col("_c") + probed, F.col("n_a"), F.col("n_b"), percent))
+    pairs = pairs.filter(_enough(both + probed, F.col("n_a"), F.col("n_b"), percent))
     return pairs.select(F.col("_key_a").alias("a"), F.col("_key_b").alias("b"))
 
 
-def group_similar(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """Per row ``doc_id``, ``n_shingles``, ``component_id`` (smallest id reachable by links, itself included).
+def similar_groups(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """``_key``, ``n`` (shingles) and ``comp`` (smallest key reachable by links) of every document.
 
     Two documents are linked if ``percent`` of the union of their shingle sets is shared. Equal sets are one class and only
     its first document goes on. T-occurrence search: the lists of a document's rarest shingles are merged, so many that every
@@ -164,9 +176,6 @@ def group_similar(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -
     First every document is compared with one document of its lists, the first of like size with most lists in common. That
     ties large groups of near copies together by about one comparison a document. Then all candidate pairs of different
     components are compared, with no cap. Pairs within a component add nothing and are never made.
-
-    Null, empty or blank text: no shingles, linked with nothing. Documents without id come last; a component of such documents
-    alone has no id. Rows that repeat an id must repeat the text. Other columns are dropped.
     """
     base = _base(docs)
     sets = materialize(short_lists(base, words, percent, frequent_shingles(base, words)), "short-lists")
@@ -174,7 +183,7 @@ def group_similar(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -
     classes = materialize(classes, "classes")
     reps = materialize(classes.select(F.col("rep").alias("_key")).distinct(), "representatives")
     lists = _only(sets.filter("n > 0"), reps, "_key")
-    lists = lists.select("_key", "n", F.explode("short").alias("shingle"))
+    lists = lists.select("_key", "n", F.posexplode("short").alias("at", "shingle"))
     band = F.floor(F.log(F.col("n")) / np.log(100 / percent)).cast("int")
     lists = lists.withColumn("band", band)
     shared = lists.groupBy("shingle").agg(F.min("_key").alias("_low"), F.max("_key").alias("_high")).filter("_low < _high")
@@ -185,17 +194,37 @@ def group_similar(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -
     first = votes.withColumn("_n", best).filter("_n = 1").select(F.col("hub").alias("a"), F.col("_key").alias("b"))
     links = verify(first, base, words, percent)
     comps = materialize(components(links).select(F.col("node").alias("_key"), F.col("component").alias("comp")), "components")
-    more = verify(_candidates(lists, comps, percent), base, words, percent)
+    more = verify(_candidates(lists, sets.select("_key", "short"), comps, percent), base, words, percent)
     comps = components(links.unionByName(more)).select(F.col("node").alias("rep"), F.col("component").alias("comp"))
     named = materialize(classes.join(comps, "rep", "left").withColumn("comp", F.coalesce("comp", "rep")), "named-classes")
     found = sets.select("_key", "n", "one", "two").join(named, ["n", "one", "two"], "left")
     found = found.select("_key", "n", F.coalesce("comp", "_key").alias("comp")).distinct()
-    joined = base.select("doc_id", "_key").join(found, "_key")
-    last = F.col("comp") > F.lit(LAST_ID >> 1)
-    known = F.when(last & F.col("doc_id").isNull(), F.lit(None).cast("long")).otherwise(F.col("comp"))
+    return found
+
+
+def group_similar(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """Per row ``doc_id``, ``n_shingles``, ``component_id`` (smallest id reachable by links, itself included).
+
+    Null, empty or blank text: no shingles, linked with nothing. Documents without id come last; a component of such documents
+    alone has no id. Rows that repeat an id must repeat the text. Other columns are dropped.
+    """
+    joined = _base(docs).select("doc_id", "_key").join(similar_groups(docs, words, percent), "_key")
+    nameless = (F.col("comp") > F.lit(LAST_ID >> 1)) & F.col("doc_id").isNull()
+    known = F.when(nameless, F.lit(None).cast("long")).otherwise(F.col("comp"))
     return joined.select("doc_id", F.col("n").alias("n_shingles"), known.alias("component_id"))
 
 
+def keep_first(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """``docs`` with one document of each component, the one with the smallest id; columns as they are.
+
+    Texts without words are in no group and stay. Of rows that repeat an id and text one stays.
+    """
+    first = similar_groups(docs, words, percent).filter("_key = comp").select("_key")
+    marked = docs.select(F.struct("*").alias("_row"), _key(F.coalesce(F.col("text"), F.lit(""))).alias("_key"))
+    kept = marked.join(materialize(first, "first-of-group"), "_key", "left_semi").groupBy("_key").agg(F.first("_row").alias("_row"))
+    return kept.select("_row.*")
+
+
 @query("op5_ngram_jaccard")
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return group_similar(table(spark, sf_dir, "documents"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,8 +18,8 @@ def line_key(line: Column) -> Column:
     return ascii_lower(strip_blanks(line))
 
 
-def drop_shared_lines(docs: DataFrame, min_chars: int = 10, min_docs: int = 2) -> DataFrame:
-    """Per row ``doc_id``, ``text`` without shared lines, ``n_lines`` before dropping and ``n_dropped``.
+def drop_shared_lines(docs: DataFrame, min_chars: int = 10, min_docs: int = 2, carry: Sequence[str] = ()) -> DataFrame:
+    """Per row ``doc_id``, ``text`` without shared lines, ``n_lines`` before dropping, ``n_dropped`` and the columns ``carry``.
 
     A line's key is the line without blanks at both ends, A-Z lower-cased. Keys of at least ``min_chars`` code points in
     at least ``min_docs`` documents lose all their lines except in the document with the smallest id.
@@ -29,7 +31,8 @@ def drop_shared_lines(docs: DataFrame, min_chars: int = 10, min_docs: int = 2) -
     Null or empty text: one empty line. Missing ids count as one document that comes last. Repeated rows are one
     document. No shared key (or no rows): texts come back unchanged. Other columns are dropped.
     """
-    base = keyed(docs)
+    carried = F.struct(F.lit(0).alias("_"), *carry)
+    base = keyed(docs.withColumn("_carry", carried), "_carry")
     lines = base.select("_key", "_ver", F.posexplode(F.split("text", "\n")).alias("_pos", "_line")).select(
         "_key", "_ver", "_pos", line_key(F.col("_line")).alias("_line")
     ).filter(F.length("_line") >= min_chars)
@@ -47,7 +50,7 @@ def drop_shared_lines(docs: DataFrame, min_chars: int = 10, min_docs: int = 2) -
     )
     none = F.array().cast("array<int>")
     joined = base.join(gone, ["_key", "_ver"], "left").select(
-        "doc_id", F.split("text", "\n").alias("_lines"), F.coalesce("_gone", none).alias("_gone")
+        "doc_id", "_carry", F.split("text", "\n").alias("_lines"), F.coalesce("_gone", none).alias("_gone")
     )
     left = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone"))
     # _lines is named twice, which keeps the split out of the lambda.
@@ -56,6 +59,7 @@ def drop_shared_lines(docs: DataFrame, min_chars: int = 10, min_docs: int = 2) -
         F.array_join(F.transform(left, lambda at: F.get("_lines", at)), "\n").alias("text"),
         F.size("_lines").cast("long").alias("n_lines"),
         F.size("_gone").cast("long").alias("n_dropped"),
+        *[F.col("_carry").getField(name).alias(name) for name in carry],
     )
 
 

@@ -16,18 +16,18 @@ from reclake.session import materialize
 
 WORDS = 13
 PREFIX = 6
-BATCH_BYTES = 12_000_000
+BATCH_BYTES = 4_000_000
 MAX_BROADCAST = 3_000_000
 
 
-def _key() -> Column:
+def _key(text: Column) -> Column:
     """Order of documents; those without an id come last, one per text."""
-    last = F.lit((1 << 63) - 1) - F.abs(F.xxhash64("text") % F.lit(1 << 62))
+    last = F.lit((1 << 63) - 1) - F.abs(F.xxhash64(text) % F.lit(1 << 62))
     return F.coalesce(F.col("doc_id").cast("long"), last)
 
 
 def _base(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).withColumn("_key", _key())
+    return docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).withColumn("_key", _key(F.col("text")))
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, list[bytes]]]:
