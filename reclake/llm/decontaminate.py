@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reclake.llm.common import keyed, rest, word_array
+from reclake.llm.common import LAST_ID, keyed, rest, word_array
 from reclake.llm.registry import query, table
 from reclake.session import materialize
 
@@ -128,11 +128,10 @@ def find_contamination(
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the documents that quote a benchmark item; columns as they are, rows of one document alike."""
     bad = find_contamination(docs, benchmark).select("_key", "_ver").distinct()
-    marked = docs.withColumns({
-        "_key": F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)),
-        "_ver": F.xxhash64(F.coalesce(F.col("text"), F.lit(""))),
-    })
-    return marked.join(bad, ["_key", "_ver"], "left_anti").select(*docs.columns)
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID))
+    marked = docs.select(F.struct("*").alias("_row"), key.alias("_key"), F.xxhash64(text).alias("_ver"))
+    return marked.join(bad, ["_key", "_ver"], "left_anti").select("_row.*")
 
 
 @query("op4_decontamination", """

@@ -160,7 +160,8 @@ def _candidates(lists: DataFrame, short: DataFrame, comps: DataFrame, percent: i
     for side in "ab":
         pairs = pairs.join(held.select(F.col("_key").alias(f"_key_{side}"), F.col("short").alias(f"short_{side}")), f"_key_{side}")
     both = F.size(F.array_intersect("short_a", "short_b"))
-    probed = F.least(*[F.ceil(F.col(n) * percent / 100) - 1 for n in ("n_a", "n_b")])
+    # Shingles shared beyond these stand in the part set aside of the text whose short list ends first in the common order.
+    probed = F.greatest(*[F.ceil(F.col(n) * percent / 100) - 1 for n in ("n_a", "n_b")])
     pairs = pairs.filter(_enough(both + probed, F.col("n_a"), F.col("n_b"), percent))
     return pairs.select(F.col("_key_a").alias("a"), F.col("_key_b").alias("b"))
 
