@@ -103,7 +103,9 @@ def short_lists(base: DataFrame, words: int, percent: int, frequent: np.ndarray)
     return base.select("_key", "text").mapInArrow(run, "_key long, n long, one long, two long, short array<long>")
 
 
-def _only(df: DataFrame, keys: DataFrame, on: str, how: str = "left_semi", max_broadcast: int = MAX_BROADCAST) -> DataFrame:
+def _only(
+    df: DataFrame, keys: DataFrame, on: str | list[str], how: str = "left_semi", max_broadcast: int = MAX_BROADCAST,
+) -> DataFrame:
     """``df`` joined with a written table: broadcast if its rows are few, else by a shuffle."""
     return df.join(F.broadcast(keys) if keys.count() <= max_broadcast else keys, on, how)
 
@@ -131,11 +133,11 @@ def verify(pairs: DataFrame, base: DataFrame, words: int, percent: int) -> DataF
                 yield part.select(["a", "b"]).filter(pa.array(linked))
 
     pairs = materialize(pairs, "pairs")
-    keys = materialize(pairs.select(F.explode(F.array("a", "b")).alias("_key")).distinct(), "pair-keys")
-    texts = _only(base.select("_key", "text"), keys, "_key")
-    texts = materialize(texts.groupBy("_key").agg(F.first("text").alias("text")), "pair-texts")
-    joined = pairs.join(texts.select(F.col("_key").alias("a"), F.col("text").alias("_ta")), "a")
-    joined = joined.join(texts.select(F.col("_key").alias("b"), F.col("text").alias("_tb")), "b")
+    joined = pairs
+    for side in "ab":
+        keys = materialize(pairs.select(F.col(side).alias("_key")).distinct(), "pair-keys")
+        texts = _only(base.select("_key", "text"), keys, "_key")
+        joined = joined.join(texts.select(F.col("_key").alias(side), F.col("text").alias(f"_t{side}")), side)
     return materialize(joined.select("a", "b", "_ta", "_tb").mapInArrow(run, "a long, b long"), "linked")
 
 
@@ -145,7 +147,7 @@ def _candidates(lists: DataFrame, short: DataFrame, comps: DataFrame, percent: i
     Two sets of given sizes that need T shared shingles share one before place n - T + 1 of both orders, so only such places
     are joined. All hits in the short lists of a pair are counted after that.
     """
-    named = materialize(lists.join(comps, "_key", "left").withColumn("comp", F.coalesce("comp", "_key")), "lists")
+    named = materialize(_only(lists, comps, "_key", "left").withColumn("comp", F.coalesce("comp", "_key")), "lists")
     open_ = named.groupBy("shingle").agg(F.min("comp").alias("_low"), F.max("comp").alias("_high")).filter("_low < _high")
     named = _only(named, materialize(open_.select("shingle"), "open-lists"), "shingle")
     a, b = (named.select("shingle", *[F.col(c).alias(f"{c}_{side}") for c in ("_key", "n", "at", "comp")]) for side in "ab")
@@ -155,15 +157,15 @@ def _candidates(lists: DataFrame, short: DataFrame, comps: DataFrame, percent: i
     apart = (F.col("_key_a") < F.col("_key_b")) & (F.col("comp_a") != F.col("comp_b"))
     pairs = a.join(b, "shingle").filter(apart & near & early).select("_key_a", "_key_b", "n_a", "n_b").distinct()
     pairs = materialize(pairs, "candidates")
-    keys = materialize(pairs.select(F.explode(F.array("_key_a", "_key_b")).alias("_key")).distinct(), "candidate-keys")
-    held = materialize(_only(short, keys, "_key").groupBy("_key").agg(F.first("short").alias("short")), "candidate-lists")
-    for side in "ab":
-        pairs = pairs.join(held.select(F.col("_key").alias(f"_key_{side}"), F.col("short").alias(f"short_{side}")), f"_key_{side}")
+    for side, found in (("a", pairs), ("b", pairs)):
+        keys = materialize(found.select(F.col(f"_key_{side}").alias("_key")).distinct(), "candidate-keys")
+        held = _only(short, keys, "_key").select(F.col("_key").alias(f"_key_{side}"), F.col("short").alias(f"short_{side}"))
+        pairs = pairs.join(held, f"_key_{side}")
     both = F.size(F.array_intersect("short_a", "short_b"))
     # Shingles shared beyond these stand in the part set aside of the text whose short list ends first in the common order.
     probed = F.greatest(*[F.ceil(F.col(n) * percent / 100) - 1 for n in ("n_a", "n_b")])
     pairs = pairs.filter(_enough(both + probed, F.col("n_a"), F.col("n_b"), percent))
-    return pairs.select(F.col("_key_a").alias("a"), F.col("_key_b").alias("b"))
+    return pairs.select(F.col("_key_a").alias("a"), F.col("_key_b").alias("b")).distinct()
 
 
 def similar_groups(docs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -188,9 +190,9 @@ def similar_groups(docs: DataFrame, words: int, percent: int) -> DataFrame:
     band = F.floor(F.log(F.col("n")) / np.log(100 / percent)).cast("int")
     lists = lists.withColumn("band", band)
     shared = lists.groupBy("shingle").agg(F.min("_key").alias("_low"), F.max("_key").alias("_high")).filter("_low < _high")
-    lists = materialize(_only(lists, materialize(shared.select("shingle"), "shared-lists"), "shingle").distinct(), "lists")
+    lists = materialize(_only(lists, materialize(shared.select("shingle"), "shared-lists"), "shingle"), "lists")
     hubs = materialize(lists.groupBy("shingle", "band").agg(F.min("_key").alias("hub")), "hubs")
-    votes = lists.join(hubs, ["shingle", "band"]).filter("_key <> hub").groupBy("_key", "hub").agg(F.count("*").alias("_c"))
+    votes = _only(lists, hubs, ["shingle", "band"], "inner").filter("_key <> hub").groupBy("_key", "hub").agg(F.count("*").alias("_c"))
     best = F.row_number().over(Window.partitionBy("_key").orderBy(F.desc("_c"), "hub"))
     first = votes.withColumn("_n", best).filter("_n = 1").select(F.col("hub").alias("a"), F.col("_key").alias("b"))
     links = verify(first, base, words, percent)

@@ -103,7 +103,7 @@ def test_jaccard_against_brute_force(docs, monkeypatch, seed, words, percent):
 
 
 def test_jaccard_by_shuffle_joins(docs, monkeypatch):
-    monkeypatch.setattr(jaccard._only, "__defaults__", ("left_semi", 0))
+    monkeypatch.setattr(jaccard._only, "__defaults__", ("left_semi", -1))
     pairs = _corpus(6)
     assert {r.doc_id: r.component_id for r in group_similar(docs(pairs)).collect()} == _components(_sets(pairs, 4), 85)
 
