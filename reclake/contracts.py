@@ -14,6 +14,7 @@ FILE_TO_LIBRARY = {
     "userId_idx": "user_idx",
     "movieId_idx": "item_idx",
 }
+LINK_NAMES = {"tmdbId": "ext_id"}
 UNKNOWN = "Desconocido"
 NO_SYNOPSIS = "Sin descripción."
 STARS_MIN = 1.0

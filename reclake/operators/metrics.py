@@ -1,7 +1,7 @@
 """Pointwise and classification metrics. Each is one aggregation over a frame of predictions.
 
 A frame of predictions has the scaled truth ``y`` and, as needed, ``p_rating`` and ``p_inter``. ``by`` names the
-grouping columns, for instance model and dataset. Averages are rounded to six digits.
+grouping columns, for instance model and dataset. Nothing is rounded.
 """
 
 from __future__ import annotations
@@ -13,10 +13,6 @@ from reclake.contracts import EPSILON, INTERACTION_THRESHOLD, QUALITY_STARS, REP
 from reclake.functions.features import interaction_label, to_stars
 
 
-def _round(col: Column) -> Column:
-    return F.round(col, 6)
-
-
 def _squared_error() -> Column:
     return F.pow(F.col("p_rating") - F.col("y"), 2)
 
@@ -31,22 +27,22 @@ def regression_metrics(df: DataFrame, by: list[str] | None = None) -> DataFrame:
     errors = df.groupBy(*(by or [])).agg(F.avg(_squared_error()).alias("mse"), F.count("*").alias("n_samples"))
     return errors.select(
         *(by or []),
-        _round(F.col("mse")).alias("mse"),
-        _round(F.sqrt("mse")).alias("rmse"),
-        _round(F.sqrt("mse") * STARS_RANGE).alias("rmse_stars"),
+        F.col("mse").alias("mse"),
+        F.sqrt("mse").alias("rmse"),
+        (F.sqrt("mse") * STARS_RANGE).alias("rmse_stars"),
         "n_samples",
     )
 
 
 def bce(df: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Binary cross-entropy of the interaction probability."""
-    return df.groupBy(*(by or [])).agg(_round(F.avg(_cross_entropy())).alias("bce"))
+    return df.groupBy(*(by or [])).agg(F.avg(_cross_entropy()).alias("bce"))
 
 
 def masked_mse(df: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Mean squared error over the positives only; 0 when there is none."""
     positive = F.when(F.col("y") > 0, _squared_error())
-    return df.groupBy(*(by or [])).agg(_round(F.coalesce(F.avg(positive), F.lit(0.0))).alias("masked_mse"))
+    return df.groupBy(*(by or [])).agg(F.coalesce(F.avg(positive), F.lit(0.0)).alias("masked_mse"))
 
 
 def _cells(truth: Column, predicted: Column) -> list[Column]:
@@ -78,10 +74,10 @@ def rates(matrix: DataFrame) -> DataFrame:
     precision = tp / (tp + fp + EPSILON)
     recall = tp / (tp + fn + EPSILON)
     return matrix.withColumns({
-        "accuracy": _round((tp + tn) / (tp + fp + fn + tn + EPSILON)),
-        "precision": _round(precision),
-        "recall": _round(recall),
-        "f1": _round(2 * precision * recall / (precision + recall + EPSILON)),
+        "accuracy": (tp + tn) / (tp + fp + fn + tn + EPSILON),
+        "precision": precision,
+        "recall": recall,
+        "f1": 2 * precision * recall / (precision + recall + EPSILON),
     })
 
 
@@ -119,14 +115,14 @@ def classification_report(df: DataFrame, stars: float = REPORT_STARS, by: list[s
         total.alias("support"),
     )
     every = classes.unionByName(macro).unionByName(weighted)
-    return every.select(*by, "class", *[_round(F.col(name)).alias(name) for name in scores], "support")
+    return every.select(*by, "class", *[F.col(name).alias(name) for name in scores], "support")
 
 
 def confusion_pct(matrix: DataFrame) -> DataFrame:
     """Cells of a confusion matrix as percentages of all rows."""
     names = ("tp", "fp", "fn", "tn")
     total = sum((F.col(name) for name in names), F.lit(0))
-    return matrix.withColumns({f"{name}_pct": _round(F.try_divide(F.col(name) * 100.0, total)) for name in names})
+    return matrix.withColumns({f"{name}_pct": F.try_divide(F.col(name) * 100.0, total) for name in names})
 
 
 def pointwise_metrics(df: DataFrame, by: list[str], stars: float = QUALITY_STARS) -> DataFrame:
@@ -139,9 +135,9 @@ def pointwise_metrics(df: DataFrame, by: list[str], stars: float = QUALITY_STARS
         *_by_stars(stars),
     )
     return rates(sums).withColumns({
-        "mse": _round(F.col("_mse")),
-        "rmse": _round(F.sqrt("_mse")),
-        "rmse_stars": _round(F.sqrt("_mse") * STARS_RANGE),
-        "bce": _round(F.col("_bce")),
-        "masked_mse": _round(F.coalesce("_masked", F.lit(0.0))),
+        "mse": F.col("_mse"),
+        "rmse": F.sqrt("_mse"),
+        "rmse_stars": F.sqrt("_mse") * STARS_RANGE,
+        "bce": F.col("_bce"),
+        "masked_mse": F.coalesce("_masked", F.lit(0.0)),
     }).drop("_mse", "_bce", "_masked")

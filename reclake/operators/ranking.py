@@ -42,22 +42,22 @@ def _gain(k: int) -> Column:
 def hit_rate(ranks: DataFrame, k: int = TOP_K, by: list[str] | None = None) -> DataFrame:
     """Share of targets ranked among the first ``k``."""
     return ranks.groupBy(*(by or [])).agg(
-        F.round(F.avg(_hit(k)), 6).alias("hit_rate_at_k"), F.count("*").alias("total_evaluations")
+        F.avg(_hit(k)).alias("hit_rate_at_k"), F.count("*").alias("total_evaluations")
     )
 
 
 def ndcg_single(ranks: DataFrame, k: int = TOP_K, by: list[str] | None = None) -> DataFrame:
     """Mean discounted gain of a single target: ``1 / log2(rank + 2)`` within the first ``k``."""
     return ranks.groupBy(*(by or [])).agg(
-        F.round(F.avg(_gain(k)), 6).alias("ndcg_at_k"), F.count("*").alias("total_evaluations")
+        F.avg(_gain(k)).alias("ndcg_at_k"), F.count("*").alias("total_evaluations")
     )
 
 
 def ranking_metrics(ranks: DataFrame, k: int = TOP_K, by: list[str] | None = None) -> DataFrame:
     """Hit rate and discounted gain in one pass."""
     return ranks.groupBy(*(by or [])).agg(
-        F.round(F.avg(_hit(k)), 6).alias("hit_rate_at_k"),
-        F.round(F.avg(_gain(k)), 6).alias("ndcg_at_k"),
+        F.avg(_hit(k)).alias("hit_rate_at_k"),
+        F.avg(_gain(k)).alias("ndcg_at_k"),
         F.count("*").alias("total_evaluations"),
     )
 
@@ -74,7 +74,7 @@ def ndcg_graded(df: DataFrame, k: int = TOP_K, by: list[str] | None = None) -> D
     )
     score = F.when(F.col("_idcg") > 0, F.col("_dcg") / F.col("_idcg")).otherwise(0.0)
     return per_user.groupBy(*(by or [])).agg(
-        F.round(F.avg(score), 6).alias("ndcg_at_k"), F.count("*").alias("users")
+        F.avg(score).alias("ndcg_at_k"), F.count("*").alias("users")
     )
 
 
@@ -95,7 +95,7 @@ def precision_recall_at_k(
     per_user = users.join(first, groups)
     precision = F.coalesce(F.try_divide(F.col("_both"), F.col("_chosen")), F.lit(0.0))
     return per_user.groupBy(*(by or [])).agg(
-        F.round(F.avg(precision), 6).alias("precision_at_k"),
-        F.round(F.avg(F.col("_both") / F.col("_relevant")), 6).alias("recall_at_k"),
+        F.avg(precision).alias("precision_at_k"),
+        F.avg(F.col("_both") / F.col("_relevant")).alias("recall_at_k"),
         F.count("*").alias("users"),
     )

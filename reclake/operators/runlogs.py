@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reclake.functions.text import strip
 from reclake.operators.positions import GROUP_ROWS, group_positions, running
 
 # ---- fixed values: names in the log lines, number patterns, required series ----
@@ -40,7 +41,7 @@ def _found(message: Column, pattern: str) -> Column:
 
 def parse_epoch_lines(logs: DataFrame) -> DataFrame:
     """One row per line ``Epoch N | name=value; …`` with its number and its metrics."""
-    lines = logs.withColumn("_line", F.trim("message")).filter(F.col("_line").startswith("Epoch "))
+    lines = logs.withColumn("_line", strip(F.col("message"))).filter(F.col("_line").startswith("Epoch "))
     return lines.select(
         "job", "seq",
         F.regexp_extract("_line", r"^Epoch (\d+)", 1).try_cast("bigint").alias("epoch"),
@@ -59,7 +60,7 @@ def parse_metric_lines(logs: DataFrame, group_rows: int = GROUP_ROWS) -> DataFra
     """Series out of both log formats: one line per epoch, or one line per metric. Test lines are skipped."""
     line = F.col("_line")
     lines = logs.filter(~F.col("message").contains("test_total_loss=") & ~F.col("message").contains("test_bce="))
-    lines = lines.withColumn("_line", F.trim("message"))
+    lines = lines.withColumn("_line", strip(F.col("message")))
     whole = line.startswith("Epoch ") & line.contains("train_total_loss=")
     values = lines.select("job", "seq", *[
         F.when(whole, _found(line, _pattern(metric))).otherwise(_found(line, f"^{_pattern(metric)}$")).alias(metric)
@@ -97,7 +98,7 @@ def parse_regression_lines(logs: DataFrame, group_rows: int = GROUP_ROWS) -> Dat
     """Aligned series of a regression job: epoch lines only, test lines left out, validation root derived."""
     metrics = [*REQUIRED_REGRESSION, "lr"]
     line = F.col("_line")
-    lines = logs.withColumn("_line", F.trim("message"))
+    lines = logs.withColumn("_line", strip(F.col("message")))
     lines = lines.filter(line.startswith("Epoch ") & ~line.contains("test_mse="))
     values = lines.select("job", "seq", *[_found(line, _pattern(metric)).alias(metric) for metric in metrics])
     aligned = align_series(to_series(values, metrics, group_rows), REQUIRED_REGRESSION)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reclake.contracts import HISTORY_METRICS, REPORT, TRAINING_RUN
+from reclake.contracts import FILE_TO_LIBRARY, HISTORY_METRICS, LINK_NAMES, REPORT, TRAINING_RUN
 
 
 def _missing(error: AnalysisException) -> bool:
@@ -28,8 +28,24 @@ def _tree(spark: SparkSession, fmt: str, path: str, schema: T.StructType, glob:
 
 
 def read_csv_prefix(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """All ``.csv`` files under ``path`` as one table; empty when there is none."""
-    return _tree(spark, "csv", path, schema, "*.csv", header=True)
+    """All ``.csv`` files under ``path`` as one table, columns found by header name; empty when there is no file.
+
+    Headers may use the file names of the data model; further columns are left out. A missing column is an error, and so is a
+    file whose header differs from that of the others. A cell that is not of its type is null; a short line ends in nulls.
+    """
+    reader = spark.read.options(
+        recursiveFileLookup=True, pathGlobFilter="*.csv", header=True, enforceSchema=False, inferSchema=False)
+    try:
+        raw = reader.csv(path)
+    except AnalysisException as error:
+        if _missing(error) or error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
+            return spark.createDataFrame([], schema)
+        raise
+    found = {LINK_NAMES.get(name, FILE_TO_LIBRARY.get(name, name)): name for name in reversed(raw.columns)}
+    lacking = [name for name in schema.fieldNames() if name not in found]
+    if lacking:
+        raise ValueError(f"no column for {', '.join(lacking)} in {path}: {', '.join(raw.columns)}")
+    return raw.select([F.col(f"`{found[f.name]}`").try_cast(f.dataType).alias(f.name) for f in schema])
 
 
 def read_jsonl_prefix(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -70,9 +70,13 @@ def append_features(df: DataFrame, path: str, event: str = "event_time", record:
 
 
 def latest_records(df: DataFrame, event: str = "event_time", record: str = "record_id") -> DataFrame:
-    """Newest row per record id of an append log."""
-    rest = [name for name in df.columns if name not in (record, event)]
-    newest = F.max(F.struct(event, *rest)).alias("newest")
+    """Newest row per record id of an append log: by event time, then by write time where there is one.
+
+    Rows still equal go by the remaining columns. Deleted rows count; drop them afterwards, or an older version comes back.
+    """
+    order = [event, *[name for name in ("write_time",) if name in df.columns and name not in (event, record)]]
+    rest = [name for name in df.columns if name not in (record, *order)]
+    newest = F.max(F.struct(*order, *rest)).alias("newest")
     return df.groupBy(record).agg(newest).select(record, "newest.*")
 
 

@@ -6,6 +6,7 @@ import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from reclake.workloads.tables import Tables
 from reclake.workloads.views import VIEWS
@@ -36,13 +37,23 @@ def expand(sql: str) -> str:
     return f"with {views}{body}"
 
 
-def query(name: str, sql: str | None = None) -> Callable[[Build], Build]:
-    """Register a query; ``sql`` is left out where the result cannot be stated in SQL."""
+def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
+    """``df`` with all its doubles rounded, so that two engines' sums can be compared."""
+    return df.select([
+        F.round(F.col(f"`{name}`"), digits).alias(name) if kind == "double" else F.col(f"`{name}`") for name, kind in df.dtypes
+    ])
+
+
+def query(name: str, sql: str | None = None, digits: int | None = None) -> Callable[[Build], Build]:
+    """Register a query; ``sql`` is left out where the result cannot be stated in SQL. ``digits`` rounds its doubles."""
 
     def register(build: Build) -> Build:
         if name in QUERIES:
             raise ValueError(f"query {name} is registered twice")
-        QUERIES[name] = lambda spark, sf_dir: build(Tables(spark, sf_dir))
+        if digits is None:
+            QUERIES[name] = lambda spark, sf_dir: build(Tables(spark, sf_dir))
+        else:
+            QUERIES[name] = lambda spark, sf_dir: rounded(build(Tables(spark, sf_dir)), digits)
         if sql is not None:
             ORACLES[name] = expand(sql)
         return build

@@ -18,7 +18,7 @@ from reclake.operators.splits import union_splits
 from reclake.plans.evaluation import evaluate, summary_of
 from reclake.session import materialize
 from reclake.workloads.learning import decoy_rows
-from reclake.workloads.registry import query
+from reclake.workloads.registry import query, rounded
 from reclake.workloads.tables import MODELS, Tables
 
 
@@ -243,17 +243,17 @@ def _(t: Tables) -> DataFrame:
     )
 
 
-@query("q1_regression_metrics", "select model, dataset, mse, rmse, rmse_stars, n_samples from fx_pointwise")
+@query("q1_regression_metrics", "select model, dataset, mse, rmse, rmse_stars, n_samples from fx_pointwise", digits=6)
 def _(t: Tables) -> DataFrame:
     return Q.regression_metrics(t.evaluation(), ["model", "dataset"])
 
 
-@query("q2_bce", "select model, dataset, bce from fx_pointwise")
+@query("q2_bce", "select model, dataset, bce from fx_pointwise", digits=6)
 def _(t: Tables) -> DataFrame:
     return Q.bce(t.evaluation(), ["model", "dataset"])
 
 
-@query("q3_masked_mse", "select model, dataset, masked_mse from fx_pointwise")
+@query("q3_masked_mse", "select model, dataset, masked_mse from fx_pointwise", digits=6)
 def _(t: Tables) -> DataFrame:
     return Q.masked_mse(t.evaluation(), ["model", "dataset"])
 
@@ -263,7 +263,7 @@ def _(t: Tables) -> DataFrame:
     return Q.confusion(t.evaluation(), 3.5, ["model", "dataset"])
 
 
-@query("q5_classification_metrics", "select model, dataset, tp, fp, fn, tn, accuracy, precision, recall, f1 from fx_rates")
+@query("q5_classification_metrics", "select model, dataset, tp, fp, fn, tn, accuracy, precision, recall, f1 from fx_rates", digits=6)
 def _(t: Tables) -> DataFrame:
     return Q.classification_metrics(t.evaluation(), 3.5, by=["model", "dataset"])
 
@@ -274,7 +274,7 @@ def _(t: Tables) -> DataFrame:
       round(2 * (tp / (tp + fp + 1e-8)) * (tp / (tp + fn + 1e-8)) / (tp / (tp + fp + 1e-8) + tp / (tp + fn + 1e-8) + 1e-8), 6) as f1
     from (select model, count(*) filter (where p_inter >= 0.5 and y > 0) as tp, count(*) filter (where p_inter >= 0.5 and y <= 0) as fp,
       count(*) filter (where p_inter < 0.5 and y > 0) as fn, count(*) filter (where p_inter < 0.5 and y <= 0) as tn
-      from fx_scored group by model)""")
+      from fx_scored group by model)""", digits=6)
 def _(t: Tables) -> DataFrame:
     return Q.classification_metrics(t.predictions, prob=0.5, by=["model"])
 
@@ -290,7 +290,7 @@ def _(t: Tables) -> DataFrame:
     select source, class, round(precision, 6) as precision, round(recall, 6) as recall, round(f1, 6) as f1, support from s
     union all select source, 'macro', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6), cast(sum(support) as bigint) from s group by source
     union all select source, 'weighted', round(sum(precision * support) / sum(support), 6), round(sum(recall * support) / sum(support), 6),
-      round(sum(f1 * support) / sum(support), 6), cast(sum(support) as bigint) from s group by source""")
+      round(sum(f1 * support) / sum(support), 6), cast(sum(support) as bigint) from s group by source""", digits=6)
 def _(t: Tables) -> DataFrame:
     # The quality label is the truth and the toxicity flag plays the prediction; 1 is five stars, 0 is one star.
     rows = t.read("labels").join(t.read("documents").select("doc_id", "source"), "doc_id").select(
@@ -301,7 +301,7 @@ def _(t: Tables) -> DataFrame:
 
 @query("q8_confusion_pct", """
     select model, dataset, round(tp * 100.0::double / n_samples, 6) as tp_pct, round(fp * 100.0::double / n_samples, 6) as fp_pct,
-      round(fn * 100.0::double / n_samples, 6) as fn_pct, round(tn * 100.0::double / n_samples, 6) as tn_pct from fx_pointwise""")
+      round(fn * 100.0::double / n_samples, 6) as fn_pct, round(tn * 100.0::double / n_samples, 6) as tn_pct from fx_pointwise""", digits=6)
 def _(t: Tables) -> DataFrame:
     return Q.confusion_pct(Q.confusion(t.evaluation(), 3.5, ["model", "dataset"])).drop("tp", "fp", "fn", "tn")
 
@@ -331,12 +331,12 @@ def _(t: Tables) -> DataFrame:
     return ranks(t)
 
 
-@query("q9_hit_rate", "select model, hit_rate_at_k, total_evaluations from fx_ranking")
+@query("q9_hit_rate", "select model, hit_rate_at_k, total_evaluations from fx_ranking", digits=6)
 def _(t: Tables) -> DataFrame:
     return K.hit_rate(ranks(t), 10, ["model"])
 
 
-@query("q10_ndcg_single", "select model, ndcg_at_k, total_evaluations from fx_ranking")
+@query("q10_ndcg_single", "select model, ndcg_at_k, total_evaluations from fx_ranking", digits=6)
 def _(t: Tables) -> DataFrame:
     return K.ndcg_single(ranks(t), 10, ["model"])
 
@@ -349,12 +349,12 @@ def _(t: Tables) -> DataFrame:
       from (select *, row_number() over (partition by model, dataset, user_id order by p_rating desc, item_id) as pr,
           row_number() over (partition by model, dataset, user_id order by y desc, item_id) as ir from fx_evaluation)
       group by model, dataset, user_id)
-    group by model, dataset""")
+    group by model, dataset""", digits=6)
 def _(t: Tables) -> DataFrame:
     return K.ndcg_graded(materialize(t.evaluation(), "evaluation"), 10, ["model", "dataset"])
 
 
-@query("q12_precision_recall_at_k", "select model, dataset, precision_at_k, recall_at_k, users from fx_at_k")
+@query("q12_precision_recall_at_k", "select model, dataset, precision_at_k, recall_at_k, users from fx_at_k", digits=6)
 def _(t: Tables) -> DataFrame:
     return K.precision_recall_at_k(materialize(t.evaluation(), "evaluation"), 10, 3.5, ["model", "dataset"])
 
@@ -362,7 +362,7 @@ def _(t: Tables) -> DataFrame:
 def bundle(t: Tables) -> DataFrame:
     predictions = materialize(t.evaluation(), "evaluation")
     of_test = ranks(t).withColumn("dataset", F.lit("test"))
-    return materialize(evaluate(predictions, of_test), "bundle")
+    return materialize(rounded(evaluate(predictions, of_test)), "bundle")
 
 
 @query("q13_evaluate", """
@@ -379,13 +379,13 @@ def summary(t: Tables) -> DataFrame:
     return summary_of(bundle(t))
 
 
-@query("r1_composite_score", "select model, score from fx_scores")
+@query("r1_composite_score", "select model, score from fx_scores", digits=6)
 def _(t: Tables) -> DataFrame:
     return R.composite_score(summary(t)).select("model", "score")
 
 
 @query("r2_select_winner", """
-    select model as winner, score as winner_score from fx_scores order by score desc, model = 'twoheads' desc limit 1""")
+    select model as winner, score as winner_score from fx_scores order by score desc, model = 'twoheads' desc limit 1""", digits=6)
 def _(t: Tables) -> DataFrame:
     return R.select_winner(R.composite_score(summary(t)))
 
@@ -407,9 +407,9 @@ def _(t: Tables) -> DataFrame:
 
 @query("r5_coldstart_gap", """
     select t.model, t.rmse_stars as test_rmse, c.rmse_stars as coldstart_rmse, round(c.rmse_stars - t.rmse_stars, 6) as gap
-    from fx_pointwise t join fx_pointwise c on t.model = c.model where t.dataset = 'test' and c.dataset = 'coldstart'""")
+    from fx_pointwise t join fx_pointwise c on t.model = c.model where t.dataset = 'test' and c.dataset = 'coldstart'""", digits=6)
 def _(t: Tables) -> DataFrame:
-    return R.coldstart_gap(Q.regression_metrics(t.evaluation(), ["model", "dataset"]))
+    return R.coldstart_gap(rounded(Q.regression_metrics(t.evaluation(), ["model", "dataset"])))
 
 
 @query("r6_score_breakdown", """
@@ -419,7 +419,7 @@ def _(t: Tables) -> DataFrame:
       union all select model, 'rmse_inv', 0.20::double, greatest(0.0::double, 1.0 - rmse_stars / 4.0) from fx_summary
       union all select model, 'precision', 0.15::double, precision_at_k from fx_summary)""")
 def _(t: Tables) -> DataFrame:
-    return R.score_breakdown(summary(t))
+    return R.score_breakdown(summary(t)).withColumn("contribution", F.round("contribution", 6))
 
 
 @query("t2_leaderboard", """

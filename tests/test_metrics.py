@@ -154,11 +154,18 @@ def test_gate(summary):
     assert not any(row["passed"] for row in R.quality_gate(summary.withColumn("rmse_stars", F.lit(None).cast("double"))).collect())
 
 
+def test_a_small_lead_wins_and_nan_loses(spark):
+    scores = spark.createDataFrame([("regression", 0.5 + 1e-7), ("twoheads", 0.5), ("broken", float("nan")), ("none", None)], "model string, score double")
+    assert R.select_winner(scores).first()["winner"] == "regression"
+    broken = spark.createDataFrame([("x", float("nan"), 0.9)], "model string, rmse_stars double, ndcg_at_k double")
+    assert not R.quality_gate(broken).first()["passed"]
+
+
 def test_tables_for_reports(summary, spark):
     table = R.comparison_table(summary, ["rmse_stars", "ndcg_at_k"], ["regression", "twoheads"])
     assert {row["metric"]: row["twoheads"] for row in table.collect()} == {"rmse_stars": SUMMARIES[1][1], "ndcg_at_k": SUMMARIES[1][3]}
     gaps = spark.createDataFrame([("a", "test", 0.7), ("a", "coldstart", 0.9)], "model string, dataset string, rmse_stars double")
-    assert rows(R.coldstart_gap(gaps)) == [("a", 0.7, 0.9, 0.2)]
+    assert rows(R.coldstart_gap(gaps)) == [("a", 0.7, 0.9, pytest.approx(0.2))]
     trials = spark.createDataFrame([(1, 0.5, 1e-3, 64), (2, 0.4, 1e-4, 32), (3, None, 1e-5, 8)], "trial int, loss double, lr double, emb_dim int")
     assert rows(R.leaderboard(trials, "loss", ["lr", "emb"])) == [(0.4, 1e-4, 32)]
 

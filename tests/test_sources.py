@@ -26,6 +26,16 @@ def test_csv_tree(spark, tmp_path):
     assert rows(R.read_csv_prefix(spark, str(tmp_path / "none"), LINKS)) == []
 
 
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    (tmp_path / "links.csv").write_text("movieId,imdbId,tmdbId\n1,114709,862\n2,113497,\n3,5,x\n")
+    assert rows(R.read_csv_prefix(spark, str(tmp_path), LINKS)) == [(1, 862), (2, None), (3, None)]
+    with pytest.raises(ValueError, match="user_id"):
+        R.read_csv_prefix(spark, str(tmp_path), RATINGS)
+    (tmp_path / "ratings").mkdir()
+    (tmp_path / "ratings" / "r.csv").write_text("timestamp,rating,movieId,userId\n964982703,4.0,1,7\n")
+    assert rows(R.read_csv_prefix(spark, str(tmp_path / "ratings"), RATINGS)) == [(7, 1, 4.0, 964982703)]
+
+
 def test_json_lines(spark, tmp_path):
     (tmp_path / "x.jsonl").write_text('{"item_id": 1, "ext_id": 2}\n\n   \n{"item_id": 3}\n')
     (tmp_path / "y.json").write_text('{"item_id": 4}')
