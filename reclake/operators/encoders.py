@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -47,24 +47,37 @@ def apply_labels(df: DataFrame, labels: DataFrame, col: str, name: str) -> DataF
     return df.join(labels.withColumnsRenamed({"value": col, "idx": name}), col)
 
 
-def fit_multihot(df: DataFrame, col: str = "genres", max_words: int = 10_000) -> DataFrame:
-    """Sorted vocabulary of a pipe-joined column, as a ``(value, idx)`` table.
+def fit_multihot(df: DataFrame, col: str = "genres") -> DataFrame:
+    """Sorted vocabulary of a pipe-joined column of any size, as a ``(value, idx)`` table."""
+    texts = df.select(F.col(col).alias("text")).distinct()
+    return fit_labels(texts.select(F.explode(pipe_split(F.col("text"))).alias("word")), "word")
+
 
-    Fails above ``max_words``: each row would hold a vector of that length.
+def apply_word_indices(df: DataFrame, vocabulary: DataFrame, col: str = "genres", name: str = "genre_idx") -> DataFrame:
+    """Sorted vocabulary indices of the words of ``col``; words outside the vocabulary are left out.
+
+    Each distinct text is split and looked up once.
     """
-    texts = df.select(F.col(col).alias("text")).distinct()
-    vocabulary = fit_labels(texts.select(F.explode(pipe_split(F.col("text"))).alias("word")), "word")
-    if vocabulary.count() > max_words:
-        raise ValueError(f"more than {max_words} distinct words in {col}")
-    return vocabulary
+    words = df.select(F.col(col).alias("_text")).distinct().select("_text", F.explode(pipe_split(F.col("_text"))).alias("value"))
+    found = words.join(vocabulary, "value").groupBy("_text").agg(F.sort_array(F.collect_set(F.col("idx").cast("int"))).alias(name))
+    joined = df.join(found, df[col] == found["_text"], "left").drop("_text")
+    return joined.withColumn(name, F.coalesce(name, F.array().cast("array<int>")))
+
+
+def dense_vector(indices: Column, size: Column) -> Column:
+    """0/1 vector of length ``size`` with ones at ``indices``."""
+    places = F.filter(F.sequence(F.lit(0), F.greatest(size, F.lit(1)) - 1), lambda at: at < size)
+    return F.transform(places, lambda at: F.array_contains(indices, at).cast("int"))
 
 
 def apply_multihot(df: DataFrame, vocabulary: DataFrame, col: str = "genres", name: str = "genres_multihot") -> DataFrame:
-    """0/1 vector over the vocabulary, whose size :func:`fit_multihot` has checked."""
-    words = vocabulary.agg(F.sort_array(F.collect_list("value"))).scalar()
-    both = df.withColumns({"_vocabulary": words, "_words": pipe_split(F.col(col))})
-    vector = F.transform("_vocabulary", lambda word: F.array_contains("_words", word).cast("int"))
-    return both.withColumn(name, vector).drop("_vocabulary", "_words")
+    """0/1 vector over the vocabulary, made from the indices of :func:`apply_word_indices`.
+
+    Only the vocabulary's size reaches the rows, never the vocabulary. For very large ones keep the indices instead.
+    """
+    size = vocabulary.agg(F.count("*").cast("int")).scalar()
+    both = apply_word_indices(df, vocabulary, col, "_indices").withColumn("_size", size)
+    return both.withColumn(name, dense_vector(F.col("_indices"), F.col("_size"))).drop("_indices", "_size")
 
 
 def universe(df: DataFrame, encoders: Encoders | None = None) -> DataFrame:

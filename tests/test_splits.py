@@ -162,8 +162,13 @@ def test_features_and_universe(spark):
     assert rows(F_.universe(features)) == rows(F_.universe(features, encoders)) == [(2, 2, 3)]
 
 
-def test_a_vocabulary_that_is_too_large_is_refused(spark):
-    df = spark.createDataFrame([("a|b",), ("c",)], "genres string")
-    assert F_.fit_multihot(df, max_words=3).count() == 3
-    with pytest.raises(ValueError, match="more than 2"):
-        F_.fit_multihot(df, max_words=2)
+def test_a_vocabulary_of_any_size(spark):
+    texts = [("|".join(f"w{n:05d}" for n in range(at, at + 100)),) for at in range(0, 20_000, 100)] + [(None,), ("w00007|w19999|w00007",)]
+    df = spark.createDataFrame(texts, "genres string")
+    vocabulary = F_.fit_multihot(df)
+    assert vocabulary.count() == 20_000
+    found = F_.apply_word_indices(df, vocabulary)
+    assert found.filter("genres = 'w00007|w19999|w00007'").first()["genre_idx"] == [7, 19_999]
+    assert found.filter("genres is null").first()["genre_idx"] == [] and found.count() == len(texts)
+    vector = F_.apply_multihot(df.filter("genres like 'w00007|%'"), vocabulary).first()["genres_multihot"]
+    assert len(vector) == 20_000 and [i for i, bit in enumerate(vector) if bit] == [7, 19_999]
