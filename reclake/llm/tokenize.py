@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from reclake.llm.registry import query, table
 
 MARK = "▁"
-TABLE_ROWS = 600_000
+TABLE_ROWS = 150_000
 STEP = 256
 _CHUNK = re.compile(f"{MARK}+[^{MARK}]*")
 _ENCODERS: dict[str, Chunks] = {}
