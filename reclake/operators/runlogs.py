@@ -105,6 +105,12 @@ def parse_regression_lines(logs: DataFrame, group_rows: int = GROUP_ROWS) -> Dat
     return aligned.withColumn("val_rmse", F.sqrt("val_mse"))
 
 
+def parse_epoch_series(logs: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
+    """Aligned series of epoch lines; jobs without all of the required metrics are left out."""
+    series = to_series(parse_epoch_lines(logs).drop("epoch"), list(LOGGED), group_rows)
+    return align_series(series, REQUIRED_EPOCH_LINES)
+
+
 def best_epoch(history: DataFrame, metric: str, run: str = "job") -> DataFrame:
     """Epoch of the first minimum of a metric per run."""
     rows = history.filter(F.col(metric).isNotNull())

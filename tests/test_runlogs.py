@@ -24,6 +24,15 @@ def logs(spark, *lines):
     return spark.createDataFrame([("j", at, line) for at, line in enumerate(lines)], "job string, seq long, message string")
 
 
+def test_epoch_series_and_blanks_around_lines(spark):
+    line = "Epoch {0} | train_total_loss={0}.5; val_total_loss=2.0; val_bce=0.1; val_mse=0.2; val_rmse_stars=0.{0};"
+    framed = logs(spark, f"\t{line.format(1)}\u00a0", line.format(2) + "\r\n", "\u2003Epoch 3 | train_total_loss=3.5;", "noise")
+    found = rows(L.parse_epoch_series(framed).select("epoch", "train_total", "val_rmse_stars"))
+    assert found == [(1, 1.5, 0.1), (2, 2.5, 0.2)]
+    regression = logs(spark, "\tEpoch 1 | train_mse=0.1; val_mse=0.2; val_rmse_stars=0.3;\t")
+    assert rows(L.parse_regression_lines(regression).select("train_mse", "val_mse", "val_rmse_stars")) == [(0.1, 0.2, 0.3)]
+
+
 @pytest.mark.parametrize("group_rows", [3, 1000])
 def test_best_epoch_stop_and_drops(history, group_rows):
     stop = lambda patience: rows(L.early_stop(history, "val_rmse_stars", patience, group_rows=group_rows))
