@@ -133,11 +133,11 @@ def verify(pairs: DataFrame, base: DataFrame, words: int, percent: int) -> DataF
                 yield part.select(["a", "b"]).filter(pa.array(linked))
 
     pairs = materialize(pairs, "pairs")
-    joined = pairs
-    for side in "ab":
-        keys = materialize(pairs.select(F.col(side).alias("_key")).distinct(), "pair-keys")
-        texts = _only(base.select("_key", "text"), keys, "_key")
-        joined = joined.join(texts.select(F.col("_key").alias(side), F.col("text").alias(f"_t{side}")), side)
+    # The pairs go to the texts of one side; with the texts of the other they meet by a shuffle.
+    joined = _only(base.select(F.col("_key").alias("a"), F.col("text").alias("_ta")), pairs, "a", "inner")
+    keys = materialize(pairs.select(F.col("b").alias("_key")).distinct(), "pair-keys")
+    others = _only(base.select("_key", "text"), keys, "_key").select(F.col("_key").alias("b"), F.col("text").alias("_tb"))
+    joined = joined.join(others, "b")
     return materialize(joined.select("a", "b", "_ta", "_tb").mapInArrow(run, "a long, b long"), "linked")
 
 
@@ -157,10 +157,9 @@ def _candidates(lists: DataFrame, short: DataFrame, comps: DataFrame, percent: i
     apart = (F.col("_key_a") < F.col("_key_b")) & (F.col("comp_a") != F.col("comp_b"))
     pairs = a.join(b, "shingle").filter(apart & near & early).select("_key_a", "_key_b", "n_a", "n_b").distinct()
     pairs = materialize(pairs, "candidates")
-    for side, found in (("a", pairs), ("b", pairs)):
-        keys = materialize(found.select(F.col(f"_key_{side}").alias("_key")).distinct(), "candidate-keys")
-        held = _only(short, keys, "_key").select(F.col("_key").alias(f"_key_{side}"), F.col("short").alias(f"short_{side}"))
-        pairs = pairs.join(held, f"_key_{side}")
+    keys = materialize(pairs.select(F.col("_key_b").alias("_key")).distinct(), "candidate-keys")
+    held = _only(short, keys, "_key").select(F.col("_key").alias("_key_b"), F.col("short").alias("short_b"))
+    pairs = _only(short.withColumnsRenamed({"_key": "_key_a", "short": "short_a"}), pairs, "_key_a", "inner").join(held, "_key_b")
     both = F.size(F.array_intersect("short_a", "short_b"))
     # Shingles shared beyond these stand in the part set aside of the text whose short list ends first in the common order.
     probed = F.greatest(*[F.ceil(F.col(n) * percent / 100) - 1 for n in ("n_a", "n_b")])
