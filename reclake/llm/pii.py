@@ -9,6 +9,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from reclake.llm.common import BLANKS, WORD, word_array
 from reclake.llm.registry import query, table
@@ -106,47 +107,55 @@ def _context(text: str, span: Span, taken: list[Span]) -> list[tuple[str, int, i
     return near
 
 
-FINDINGS = (
-    "spans array<struct<start:int,kind:int,end:int>>, "
-    "near array<struct<entity:string,term:string,context:bigint,places:array<struct<start:int,end:int>>>>"
-)
+def _terms_between(text: str, spans: list[Span]) -> Iterator[tuple[str, int, int]]:
+    """All words of what base spans leave of a text: term, start, end. ``spans`` are sorted."""
+    at = 0
+    for start, _, end in [*spans, (len(text), 0, len(text))]:
+        for m in WORD.finditer(text, at, start) if at < start else ():
+            word = m.group()
+            term = word.strip(OUTER)
+            if term:
+                begin = m.start() + len(word) - len(word.lstrip(OUTER))
+                yield term.lower(), begin, begin + len(term)
+        at = max(at, end)
 
 
-def detect(docs: DataFrame) -> DataFrame:
-    """Per row ``doc_id``, the base ``spans``, and ``near``: the terms around each protected entity of the text."""
+def _run(docs: DataFrame, work, schema: str) -> DataFrame:
+    """``work(text)`` gives the row, a dictionary, of every document; columns by ``schema`` after ``doc_id``."""
+    narrow = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    returned = f"doc_id {narrow.schema['doc_id'].dataType.simpleString()}, {schema}"
+    fields = [(field.name, to_arrow_type(field.dataType)) for field in docs.sparkSession.createDataFrame([], schema).schema]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())])
-        place = pa.struct([("start", pa.int32()), ("end", pa.int32())])
-        near = pa.struct([("entity", pa.string()), ("term", pa.string()), ("context", pa.int64()), ("places", pa.list_(place))])
         for batch in batches:
             for at in range(0, batch.num_rows, STEP):
                 part = batch.slice(at, STEP)
-                texts = [text or "" for text in part.column(1).to_pylist()]
-                found = [base_spans(text) for text in texts]
-                terms = [_near(text, spans) for text, spans in zip(texts, found, strict=True)]
-                yield pa.RecordBatch.from_arrays([
-                    part.column(0),
-                    pa.array([[{"start": s, "kind": k, "end": e} for s, k, e in spans] for spans in found], pa.list_(kinds)),
-                    pa.array(terms, pa.list_(near)),
-                ], ["doc_id", "spans", "near"])
+                rows = [work(text) for text in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), *[pa.array([row[name] for row in rows], kind) for name, kind in fields]],
+                    ["doc_id", *[name for name, _ in fields]])
+
+    return narrow.mapInArrow(run, returned)
+
 
-    narrow = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    return narrow.mapInArrow(run, f"doc_id {narrow.schema['doc_id'].dataType.simpleString()}, {FINDINGS}")
+SPANS = "spans array<struct<start:int,kind:int,end:int,disclosure:double>>"
+NEAR = "near array<struct<entity:string,term:string,context:bigint>>"
+
+
+def detect(docs: DataFrame) -> DataFrame:
+    """Per row ``doc_id`` and ``near``: the terms around each protected entity of the text."""
+    return _run(docs, lambda text: {"near": _near(text, base_spans(text))}, NEAR)
 
 
 def _near(text: str, spans: list[Span]) -> list[dict]:
     """One entry per entity and term of a text; ``context`` is a hash of the words around the entity's first mention."""
-    found: dict[tuple[str, str], tuple[int, set[tuple[int, int]]]] = {}
+    found: dict[tuple[str, str], int] = {}
     for span in spans:
         entity, words = _entity(text, span), _context(text, span, spans)
         digest = xxhash.xxh64_intdigest(" ".join(word for word, _, _ in words)) - (1 << 63)
-        for term, start, end in words:
-            found.setdefault((entity, term), (digest, set()))[1].add((start, end))
-    return [
-        {"entity": e, "term": t, "context": digest, "places": [{"start": s, "end": x} for s, x in sorted(places)]}
-        for (e, t), (digest, places) in found.items()
-    ]
+        for term, _, _ in words:
+            found.setdefault((entity, term), digest)
+    return [{"entity": e, "term": t, "context": digest} for (e, t), digest in found.items()]
 
 
 def revealing_terms(
@@ -186,26 +195,69 @@ def revealing_terms(
     return scored.filter(F.col("disclosure") >= threshold).select("entity", "term", "disclosure")
 
 
-def find_private(docs: DataFrame, min_contexts: int = MIN_CONTEXTS, threshold: float = GENERALISE_AT) -> DataFrame:
-    """Per row ``doc_id`` and ``spans``: the base spans and the terms that reveal their entities, by start and kind.
+def _span(start: int, kind: int, end: int, disclosure: float | None = None) -> dict:
+    return {"start": start, "kind": kind, "end": end, "disclosure": disclosure}
 
-    A span has ``start``, ``kind`` (an index into ``KINDS``), ``end`` (exclusive) and ``disclosure`` (null for base spans).
-    A revealing term is marked wherever it stands near its entity. Null or empty text: no spans. A missing id is kept
-    as it is. Repeated rows count as documents of their own and get the same spans. Other columns are dropped.
+
+def mark(docs: DataFrame, terms: DataFrame, max_broadcast: int = MAX_BROADCAST_TERMS) -> DataFrame:
+    """Per row ``doc_id`` and ``spans``: base spans and every place of the ``terms`` (``term``, ``disclosure``), each once.
+
+    Up to ``max_broadcast`` terms are sent to the tasks, which look up all words of all documents. More are joined with the
+    words by a shuffle; what is found comes back by two hashes of the text, so that no text is shuffled.
     """
-    findings = detect(docs).withColumn("_row", F.monotonically_increasing_id())
-    findings = materialize(findings, "private")
-    shown = revealing_terms(docs, findings, min_contexts, threshold)
-    near = findings.select("_row", F.explode("near").alias("_x")).select("_row", "_x.entity", "_x.term", "_x.places")
-    marked = near.join(shown, ["entity", "term"]).select("_row", "disclosure", F.explode("places").alias("_p"))
-    marked = marked.groupBy("_row", "_p").agg(F.max("disclosure").alias("disclosure"))
-    added = marked.groupBy("_row").agg(F.collect_list(F.struct(
-        F.col("_p.start").alias("start"), F.lit(KINDS.index("term")).alias("kind"), F.col("_p.end").alias("end"), "disclosure",
+    term_kind = KINDS.index("term")
+    if terms.count() <= max_broadcast:
+        shipped = docs.sparkSession.sparkContext.broadcast({row["term"]: row["disclosure"] for row in terms.collect()})
+
+        def all_spans(text: str) -> dict:
+            base, known = base_spans(text), shipped.value
+            spans = [_span(*span) for span in base]
+            if known:
+                spans += [_span(s, term_kind, e, known[t]) for t, s, e in _terms_between(text, base) if t in known]
+                spans.sort(key=lambda span: (span["start"], span["kind"], span["end"]))
+            return {"spans": spans}
+
+        return _run(docs, all_spans, SPANS)
+
+    def digests(text: str) -> dict:
+        data = text.encode("utf-8", "surrogatepass")
+        return {"_one": xxhash.xxh64_intdigest(data) - (1 << 63), "_two": xxhash.xxh64_intdigest(data, 7) - (1 << 63)}
+
+    def base_only(text: str) -> dict:
+        return {**digests(text), "_base": [_span(*span) for span in base_spans(text)]}
+
+    def words(text: str) -> dict:
+        places: dict[str, list[dict]] = {}
+        for term, start, end in _terms_between(text, base_spans(text)):
+            places.setdefault(term, []).append({"start": start, "end": end})
+        return {**digests(text), "words": [{"term": term, "places": at} for term, at in places.items()]}
+
+    listed = _run(docs, words, "_one long, _two long, words array<struct<term:string,places:array<struct<start:int,end:int>>>>")
+    listed = listed.select("_one", "_two", F.explode("words").alias("_x")).select("_one", "_two", "_x.term", "_x.places")
+    marked = listed.join(terms, "term").select("_one", "_two", "disclosure", F.explode("places").alias("_p"))
+    added = marked.groupBy("_one", "_two").agg(F.collect_set(F.struct(
+        F.col("_p.start").alias("start"), F.lit(term_kind).alias("kind"), F.col("_p.end").alias("end"), "disclosure",
     )).alias("_added"))
-    base = F.transform("spans", lambda s: F.struct(
-        s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), F.lit(None).cast("double").alias("disclosure")))
-    both = F.when(F.col("_added").isNull(), base).otherwise(F.array_sort(F.concat(base, F.col("_added"))))
-    return findings.join(added, "_row", "left").select("doc_id", both.alias("spans"))
+    based = _run(docs, base_only, "_one long, _two long, " + SPANS.replace("spans", "_base", 1))
+    both = F.when(F.col("_added").isNull(), F.col("_base")).otherwise(F.array_sort(F.concat("_base", "_added")))
+    return based.join(added, ["_one", "_two"], "left").select("doc_id", both.alias("spans"))
+
+
+def find_private(
+    docs: DataFrame, min_contexts: int = MIN_CONTEXTS, threshold: float = GENERALISE_AT,
+    max_broadcast: int = MAX_BROADCAST_TERMS,
+) -> DataFrame:
+    """Per row ``doc_id`` and ``spans``: the base spans and the terms that reveal an entity, by start and kind.
+
+    A span has ``start``, ``kind`` (an index into ``KINDS``), ``end`` (exclusive) and ``disclosure`` (null for base spans).
+    Contexts of entities only tell which terms reveal one; such a term is marked at all its places in all documents, with its
+    highest disclosure. Null or empty text: no spans. A missing id is kept as it is. Repeated rows count as documents of
+    their own and get the same spans. Other columns are dropped.
+    """
+    findings = materialize(detect(docs), "private")
+    shown = revealing_terms(docs, findings, min_contexts, threshold, max_broadcast)
+    terms = materialize(shown.groupBy("term").agg(F.max("disclosure").alias("disclosure")), "revealing")
+    return mark(docs, terms, max_broadcast)
 
 
 def _shape(word: str) -> str:

@@ -59,6 +59,29 @@ def test_revealing_terms_are_marked_and_taken_out(docs):
     assert "Zorblax" not in clean[0] and "jo@ex.org" not in clean[0] and "[EMAIL]" in clean[0] and clean[10] == dict(pairs)[10]
 
 
+@pytest.mark.parametrize("max_broadcast", [500_000, 0])
+def test_revealing_terms_are_marked_wherever_they_stand(docs, max_broadcast):
+    rng = random.Random(6)
+    noise = ["the", "of", "and", "to", "in"]
+
+    def some(n):
+        return " ".join(rng.choice(noise) for _ in range(n))
+
+    pairs = [(n, f"{some(4)} Zorblax, to jo@ex.org {some(30)} Zorblax, {some(3)}") for n in range(6)]
+    pairs += [(8, f"only (ZORBLAX) {some(5)}"), (9, f"zorblax@ex.org {some(2)} zorblaxes"), (9, f"only zorblax, {some(5)}")]
+    pairs += [(n, some(9)) for n in range(10, 160)]
+    pairs += [pairs[6]]
+    wanted = sorted(
+        (n, [(m.start(), m.end()) for m in re.finditer("zorblax(?![@e])", text, re.I)]) for n, text in pairs)
+    rows = find_private(docs(pairs), max_broadcast=max_broadcast).collect()
+    kind = KINDS.index("term")
+    assert sorted((r.doc_id, [(s.start, s.end) for s in r.spans if s.kind == kind]) for r in rows) == wanted
+    assert all([s.start for s in r.spans] == sorted(s.start for s in r.spans) for r in rows)
+    assert sum(s.kind == 0 for r in rows for s in r.spans) == 7
+    clean = {r.doc_id: r.text for r in sanitise(docs([p for p in pairs if p[0] != 9]), max_broadcast=max_broadcast).collect()}
+    assert not any("zorblax" in text.lower() for text in clean.values())
+
+
 def test_copies_are_one_context(docs):
     pairs = [(n, "the Zorblax wrote jo@ex.org to the of") for n in range(9)] + [(n, "the of") for n in range(20, 60)]
     assert all(s.kind == 0 for r in find_private(docs(pairs)).collect() for s in r.spans)
