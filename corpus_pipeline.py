@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from reclake.llm.decontaminate import drop_contaminated
 from reclake.llm.jaccard import keep_first
 from reclake.llm.line_dedup import drop_shared_lines
-from reclake.llm.quality import ngram_weights, score_quality
+from reclake.llm.quality import fit_quality, score_quality
 from reclake.llm.registry import table
 from reclake.llm.tokenize import decode_ids, digests, encode_texts, public_model
 from reclake.session import materialize
@@ -20,9 +20,9 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules keep; the corpus's n-grams are counted over what the stage is given."""
-    weights = ngram_weights(docs, table(spark, sf_dir, "labels"))
+    weights, min_ratio = fit_quality(docs, table(spark, sf_dir, "labels"))
     # Written first: a filter on the verdict would be pushed below the steps that lead to it and repeat them.
-    scored = materialize(score_quality(docs, weights).select(*docs.columns, F.col("kept").alias("_kept")), "scored")
+    scored = materialize(score_quality(docs, weights, min_ratio=min_ratio).select(*docs.columns, F.col("kept").alias("_kept")), "scored")
     return scored.filter("_kept").drop("_kept")
 
 

@@ -101,6 +101,22 @@ def test_ratio_against_brute_force(docs, labels):
         assert row.kept == (not row.base_failed and row.ratio >= quality.MIN_RATIO)
 
 
+@pytest.mark.parametrize("size", ["sf0.001", "sf0.01"])
+def test_labelled_junk_is_rejected_at_any_size(spark, size):
+    labels = spark.read.parquet(f"/root/testdata/{size}/labels.parquet")
+    known = {r.doc_id: r.quality for r in labels.collect()}
+    rows = [r for r in quality.op6_quality_rules(spark, f"/root/testdata/{size}").collect() if not r.base_failed]
+    bad, good = ([r.kept for r in rows if known.get(r.doc_id) == wanted] for wanted in (0, 1))
+    print(size, "rejected bad", len(bad) - sum(bad), "of", len(bad), "rejected good", len(good) - sum(good), "of", len(good))
+    assert sum(bad) <= 0.2 * len(bad) and sum(good) >= 0.95 * len(good)
+
+
+def test_quality_without_good_documents(docs, labels):
+    frame = docs(list(enumerate(TEXTS, 10)))
+    weights, least = quality.fit_quality(frame, labels.filter("quality = 0"))
+    assert least == float("-inf") and {r.weight for r in weights.collect()} == {0.0}
+
+
 def test_quality_of_empty_tables(docs, spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     frame = docs([])
