@@ -17,7 +17,7 @@ def test_query_equals_its_sql(spark, name):
     assert difference(entry.queries()[name](spark, SF_DIR), connect(SF_DIR), entry.oracle_sql()[name]) == ""
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES) - {"op12_embedding_whitening"}))
 def test_query_answers_for_every_row(spark, name):
     source = "pages" if name == "op9_html_text" else "documents"
     key = "page_id" if source == "pages" else "doc_id"
@@ -26,7 +26,7 @@ def test_query_answers_for_every_row(spark, name):
 
 
 def test_names():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == [*range(1, 11), 12]
     assert [name for name, _ in corpus_pipeline.STAGES][0] == "quality rules" and "pipeline" in entry.queries()
 
 

@@ -1,0 +1,99 @@
+"""Embedding operators against brute force on small tables."""
+
+from __future__ import annotations
+
+import math
+
+import numpy as np
+import pytest
+
+from reclake.llm.whitening import op12_embedding_whitening, whiten_embeddings
+
+SF_DIR = "/root/testdata/sf0.001"
+SCHEMA = "vec_id long, embedding array<float>, label int, x string, w string, one int"
+
+
+@pytest.fixture
+def vectors(spark):
+    """Embeddings out of (vec_id, vector, label) triples, with further columns whose names operators use themselves."""
+
+    def build(rows):
+        return spark.createDataFrame([(key, vector, label, "x", "w", 1) for key, vector, label in rows], SCHEMA)
+
+    return build
+
+
+def _grid(vector):
+    return [math.floor(64 * float(np.float32(c))) + 1_000_000 for c in vector]
+
+
+def _check(answers, rows, size, most=16, by_count=False):
+    """``answers`` as (vec_id, n, deviation, whitened, explained, error) against covariance by hand."""
+    good = [(key, _grid(v)) for key, v, _ in rows if v and None not in v and np.isfinite(np.array(v, float)).all() and len(v) == size]
+    fit = [x for _, x in good] if by_count else sorted({tuple(x) for _, x in good})
+    n, sums = len(fit), [sum(column) for column in zip(*fit, strict=True)]
+    centred = np.array([[(n * c - s) / n for c, s in zip(x, sums, strict=True)] for x in fit])
+    values, axes = np.linalg.eigh(centred.T @ centred / n)
+    order = np.argsort(-values)
+    values, axes = values[order], axes[:, order]
+    kept = min(most, int((values > 1e-12 * values.sum()).sum()))
+    wanted = [
+        (str(key), sum((n * c - s) ** 2 for c, s in zip(x, sums, strict=True)), np.array([(n * c - s) / n for c, s in zip(x, sums, strict=True)]))
+        for key, x in good
+    ]
+    found = sorted(((str(a[0]), int(a[2]), a) for a in answers), key=lambda pair: pair[:2])
+    wanted.sort(key=lambda triple: triple[:2])
+    assert [pair[:2] for pair in found] == [triple[:2] for triple in wanted]
+    assert all(a[1] == n and a[5] <= 1e-6 for _, _, a in found)
+    assert np.allclose([a[4] for _, _, a in found], values[:kept] / values.sum())
+    got, flat = np.array([a[3] for _, _, a in found]), np.array([triple[2] for triple in wanted])
+    gaps = np.abs(np.diff(np.concatenate([[np.inf], values, [-np.inf]])))
+    for at in range(kept):
+        if min(gaps[at], gaps[at + 1]) > 1e-6 * values[0]:
+            by_hand = flat @ axes[:, at] / math.sqrt(values[at])
+            assert min(np.abs(got[:, at] - by_hand).max(), np.abs(got[:, at] + by_hand).max()) < 1e-6
+
+
+@pytest.mark.parametrize("by_count", [False, True])
+def test_whitening_by_hand(vectors, by_count):
+    draw = np.random.default_rng(5)
+    rows = [(k, [float(c) for c in draw.normal(size=5) * [3, 2, 1, 0.5, 0.2]], 1) for k in range(60)]
+    rows += [(100 + k, rows[0][1], 2) for k in range(40)] + [(3, rows[3][1], 1), (None, rows[4][1], None)]
+    rows += [(200, None, 1), (201, [], 1), (202, [1.0, None, 1.0, 1.0, 1.0], 1), (203, [1.0, float("nan"), 1.0, 1.0, 1.0], 1),
+             (204, [float("-inf")] * 5, 1), (205, [1.0, 2.0], 1)]
+    answers = [tuple(r) for r in whiten_embeddings(vectors(rows), by_count=by_count).collect()]
+    _check(answers, rows, 5, by_count=by_count)
+
+
+def test_whitening_without_variance_or_rows(vectors):
+    assert whiten_embeddings(vectors([])).collect() == []
+    assert whiten_embeddings(vectors([(1, None, 1), (2, [], 1)])).collect() == []
+    assert whiten_embeddings(vectors([(1, [1.0, 2.0], 1), (2, [1.0, 2.0], 1)])).collect() == []
+    # one direction varies: one component
+    flat = whiten_embeddings(vectors([(k, [float(k), float(k), 0.0], 1) for k in range(4)])).collect()
+    assert {len(r.whitened) for r in flat} == {1} and abs(flat[0].explained[0] - 1) < 1e-9
+
+
+def test_whitening_of_immense_entries(vectors):
+    rows = [(1, [1e13, 0.0], 1), (2, [-1e13, 1.0], 1), (3, [5e12, 3.0], 1), (4, [1e20, 0.0], 1)]
+    answers = whiten_embeddings(vectors(rows)).collect()
+    exact = {}
+    grid = {key: _grid(v) for key, v, _ in rows[:3]}
+    sums = [sum(c) for c in zip(*grid.values(), strict=True)]
+    for key, x in grid.items():
+        exact[key] = sum((3 * c - s) ** 2 for c, s in zip(x, sums, strict=True))
+    assert {r.vec_id: int(r.deviation) for r in answers} == exact
+
+
+def test_whitening_query(spark):
+    table = spark.read.parquet(f"{SF_DIR}/embeddings.parquet")
+    rows = [(r.vec_id, [float(c) for c in r.embedding], None) for r in table.collect()]
+    lines = {}
+    for r in op12_embedding_whitening(spark, SF_DIR).collect():
+        lines.setdefault(r.vec_id, []).append(r)
+    answers = []
+    for key, of in lines.items():
+        of.sort(key=lambda r: r.component)
+        assert [r.component for r in of] == list(range(1, 17))
+        answers.append((key, of[0].n, of[0].deviation, [r.whitened for r in of], [r.explained for r in of], of[0].identity_error))
+    _check(answers, rows, 64)
