@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from reclake.llm import decontaminate, html_text, jaccard, language, line_dedup, pii  # noqa: F401
-from reclake.llm import quality, substrings, tokenize, toxicity, whitening  # noqa: F401
+from reclake.llm import decontaminate, grid_join, html_text, jaccard, language, lexical, line_dedup  # noqa: F401
+from reclake.llm import pii, quality, substrings, tokenize, toxicity, whitening  # noqa: F401
 from reclake.llm.registry import ORACLES, QUERIES  # noqa: F401

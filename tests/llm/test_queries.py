@@ -26,7 +26,7 @@ def test_query_answers_for_every_row(spark, name):
 
 
 def test_names():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == [*range(1, 11), 12]
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == [*range(1, 14)]
     assert [name for name, _ in corpus_pipeline.STAGES][0] == "quality rules" and "pipeline" in entry.queries()
 
 

@@ -7,6 +7,7 @@ import math
 import numpy as np
 import pytest
 
+from reclake.llm.grid_join import near_vectors, op13_embedding_near_dedup
 from reclake.llm.whitening import op12_embedding_whitening, whiten_embeddings
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -97,3 +98,72 @@ def test_whitening_query(spark):
         assert [r.component for r in of] == list(range(1, 17))
         answers.append((key, of[0].n, of[0].deviation, [r.whitened for r in of], [r.explained for r in of], of[0].identity_error))
     _check(answers, rows, 64)
+
+
+def _links_by_hand(rows, least):
+    """Per row: links, smallest id reachable (None: none), by comparing all rows."""
+    def usable(v):
+        return bool(v) and None not in v and np.isfinite(np.array(v, float)).all() and any(v)
+
+    units = [np.array(v, np.float32).astype(float) if usable(v) and label is not None else None for _, v, label in rows]
+    near = {at: set() for at in range(len(rows))}
+    for a, one in enumerate(units):
+        for b in range(a):
+            other = units[b]
+            if one is not None and other is not None and len(one) == len(other) and rows[a][2] == rows[b][2]:
+                if one @ other / math.sqrt(one @ one) / math.sqrt(other @ other) >= least:
+                    near[a].add(b)
+                    near[b].add(a)
+    answers = []
+    for at, (key, _, _) in enumerate(rows):
+        reached, todo = {at}, [at]
+        while todo:
+            for other in near[todo.pop()] - reached:
+                reached.add(other)
+                todo.append(other)
+        known = [rows[other][0] for other in reached if rows[other][0] is not None]
+        low = min(known) if known else None
+        answers.append((key, len(near[at]), low, key == low))
+    return sorted(answers, key=str)
+
+
+def _cloud(seed, groups, each, dim, spread):
+    draw = np.random.default_rng(seed)
+    rows = []
+    for group in range(groups):
+        centre = draw.normal(size=dim)
+        for _ in range(each):
+            rows.append((len(rows), [float(c) for c in centre * draw.uniform(0.5, 2) + draw.normal(size=dim) * spread * draw.uniform(0.2, 2)], group % 2))
+    return rows
+
+
+ODD_VECTORS = [
+    (None, [1.0, 0.0, 0.0], 0), (None, [1.0, 0.01, 0.0], 0), (None, [0.0, -1.0, 5.0], 7), (900, None, 0), (901, [], 0), (902, [0.0, 0.0, 0.0], 0),
+    (903, [1.0, None, 0.0], 0), (904, [1.0, float("nan"), 0.0], 0), (905, [float("inf"), 1.0, 0.0], 0), (906, [1.0, 0.0, 0.0], None),
+    (907, [1.0, 0.0], 0), (908, [2.0, 0.0], 0), (909, [1e30, 1e28, 0.0], 0), (910, [1e-30, 0.0, 0.0], 0), (911, [1.0, 0.0, 0.0], 1),
+    (912, [5.0, 0.0, 0.0], 0), (912, [5.0, 0.0, 0.0], 0), (912, [0.0, 0.0, -3.0], 0), (913, [-0.0, 0.0, -3.0], 0), (-5, [0.0, 0.0, -3.0], 0),
+]
+
+
+@pytest.mark.parametrize("least, block, fan, leaf", [(0.98, 2048, 8, 128), (0.98, 4, 2, 2), (0.9, 7, 3, 1), (0.5, 5, 2, 3)])
+def test_near_vectors_by_hand(vectors, least, block, fan, leaf):
+    rows = _cloud(3, 6, 20, 6, 0.1) + ODD_VECTORS
+    found = near_vectors(vectors(rows), least, block=block, fan=fan, dims=3, leaf=leaf).collect()
+    assert sorted((tuple(r) for r in found), key=str) == _links_by_hand(rows, least)
+
+
+def test_near_vectors_of_one_tight_group(vectors):
+    """Balls prove whole intervals near: no vector is compared, yet all links count."""
+    rows = _cloud(4, 1, 200, 5, 0.002) + [(500 + at, [1.0, 0.0, 0.0, 0.0, float(at)], 0) for at in range(30)]
+    found = near_vectors(vectors(rows), block=8, fan=2, dims=2, leaf=2).collect()
+    assert sorted((tuple(r) for r in found), key=str) == _links_by_hand(rows, 0.98)
+
+
+def test_near_vectors_of_nothing(vectors):
+    assert near_vectors(vectors([])).collect() == []
+    assert [tuple(r) for r in near_vectors(vectors([(1, None, 1)])).collect()] == [(1, 0, 1, True)]
+
+
+def test_near_vectors_query(spark):
+    table = spark.read.parquet(f"{SF_DIR}/embeddings.parquet")
+    assert op13_embedding_near_dedup(spark, SF_DIR).count() == table.count()
