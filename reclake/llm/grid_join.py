@@ -384,16 +384,16 @@ def near_vectors(
 
 @query("op13_embedding_near_dedup", """
     with recursive v as (
-        select vec_id, label, list_transform(embedding, lambda c: c::double) as e, row_number() over (order by vec_id) as at from embeddings),
-      u as (select at, vec_id, label, e, sqrt(list_sum(list_transform(e, lambda c: c * c))) as norm from v
+        select vec_id, label, list_transform(embedding, lambda c: c::double) as e, row_number() over (order by vec_id) as pos from embeddings),
+      u as (select pos, vec_id, label, e, sqrt(list_sum(list_transform(e, lambda c: c * c))) as norm from v
         where label is not null and len(e) > 0 and len(list_filter(e, lambda c: c is null or not isfinite(c))) = 0
           and len(list_filter(e, lambda c: c <> 0)) > 0),
-      links as (select a.at as a, b.at as b from u a join u b on a.label = b.label and len(a.e) = len(b.e) and a.at <> b.at
+      links as (select a.pos as a, b.pos as b from u a join u b on a.label = b.label and len(a.e) = len(b.e) and a.pos <> b.pos
         where list_sum(list_transform(list_zip(a.e, b.e), lambda p: p[1] * p[2])) / (a.norm * b.norm) >= 0.98),
-      reach as (select at as a, at as b from v union select r.a, l.b from reach r join links l on r.b = l.a),
-      low as (select r.a, min(t.vec_id) as component_id from reach r join v t on r.b = t.at group by r.a),
+      reach as (select pos as a, pos as b from v union select r.a, l.b from reach r join links l on r.b = l.a),
+      low as (select r.a, min(t.vec_id) as component_id from reach r join v t on r.b = t.pos group by r.a),
       n as (select a, count(*) as n_links from links group by a)
     select v.vec_id, coalesce(n.n_links, 0) as n_links, low.component_id, v.vec_id is not distinct from low.component_id as kept
-    from v join low on v.at = low.a left join n on v.at = n.a""")
+    from v join low on v.pos = low.a left join n on v.pos = n.a""")
 def op13_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))
