@@ -149,6 +149,12 @@ _POINTWISE = T.StructType([
     ])),
 ])
 
+SUMMARY_BLOCK = T.StructType([
+    *[T.StructField(name, T.DoubleType()) for name in ("rmse_stars", "hit_rate_at_k", "ndcg_at_k", "precision_at_k", "recall_at_k")],
+    T.StructField("explainability", _SHARES),
+    *[T.StructField(name, T.DoubleType()) for name in ("bce", "f1_quality", "accuracy")],
+])
+
 REPORT = T.StructType([
     T.StructField("mode", T.StringType()),
     T.StructField("test_pointwise", _POINTWISE),
@@ -164,6 +170,23 @@ REPORT = T.StructType([
         T.StructField("recall_at_k", T.DoubleType()),
         T.StructField("k", T.LongType()),
     ])),
+    T.StructField("summary", SUMMARY_BLOCK),
+])
+
+COMPARISON = T.StructType([
+    T.StructField("regression_score", T.DoubleType()),
+    T.StructField("twoheads_score", T.DoubleType()),
+    T.StructField("winner", T.StringType()),
+    T.StructField("winner_summary", SUMMARY_BLOCK),
+    T.StructField("scoring_weights", T.StructType([T.StructField(name, T.DoubleType()) for name in ("ndcg", "hr", "rmse_inv", "precision")])),
+])
+
+WINNER = T.StructType([
+    T.StructField("winner_model", T.StringType()),
+    T.StructField("winner_score", T.DoubleType()),
+    T.StructField("winner_metrics", SUMMARY_BLOCK),
+    T.StructField("evaluation_timestamp", T.StringType()),
+    T.StructField("evaluation_config", T.StructType([T.StructField(name, T.LongType()) for name in ("k", "num_decoys")])),
 ])
 
 ATTENTION = T.StructType([T.StructField(name, T.DoubleType()) for name in ("category", "text", "image")])

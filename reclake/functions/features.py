@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from reclake.contracts import EVENT_TIME_FORMAT, STARS_MIN, STARS_RANGE
 
+PERMUTE_PRIME = 2**31 - 1
+PERMUTE_KEYS = 8
+
 
 def interaction_label(scaled: Column) -> Column:
     """1.0 for a scaled rating above zero, else 0.0. The lowest rating scales to zero, so it counts as negative."""
@@ -45,3 +48,26 @@ def hash_int(*parts: Column) -> Column:
 def hash_unit(*parts: Column) -> Column:
     """Seeded draw in [0, 1)."""
     return hash_int(*parts) / F.lit(float(2**60))
+
+
+def hash_keys(count: int, *parts: Column) -> list[Column]:
+    """``count`` seeded numbers in [0, 2**31 - 1): groups of eight hex digits of md5 digests of the joined parts."""
+    joined = F.concat_ws("|", *[part.cast("string") for part in parts])
+    digests = [F.md5(F.concat(F.lit(f"{number}|"), joined)) for number in range(-(-count // 4))]
+    places = [(digests[at // 4], 8 * (at % 4) + 1) for at in range(count)]
+    return [F.conv(F.substring(digest, place, 8), 16, 10).cast("bigint") % PERMUTE_PRIME for digest, place in places]
+
+
+def permute(number: Column, rows: Column, cols: Column, keys: list[Column]) -> Column:
+    """Keyed permutation of 0 .. rows * cols - 1: a Feistel network whose halves are row and column of the number.
+
+    Each round adds a keyed hash of one half to the other, so it can be undone and no number comes up twice. The hash is linear
+    modulo a prime, with two keys a round.
+    """
+    halves = [F.floor(number / cols), number % cols]
+    for step, size in enumerate((rows, cols, rows, cols)):
+        moved, other = step % 2, 1 - step % 2
+        add, times = keys[2 * step], keys[2 * step + 1] % (PERMUTE_PRIME - 1) + 1
+        hashed = (halves[other] + add) % PERMUTE_PRIME * times % PERMUTE_PRIME
+        halves[moved] = (halves[moved] + hashed) % size
+    return halves[0] * cols + halves[1]

@@ -8,34 +8,23 @@ from pyspark.sql import functions as F
 from reclake.contracts import CATALOG_COLUMNS, RATINGS, UNKNOWN
 from reclake.functions.text import pipe_join
 from reclake.functions.vectors import zeros
-from reclake.operators.cleaning import conform, fill_genre, select_available
+from reclake.operators.cleaning import Funnel, conform, fill_genre, select_available
 
 
-def build_ratings(ratings: DataFrame, links: DataFrame, catalog: DataFrame, assets: DataFrame) -> DataFrame:
+def build_ratings(
+    ratings: DataFrame, links: DataFrame, catalog: DataFrame, assets: DataFrame, funnel: Funnel | None = None,
+) -> DataFrame:
     """Ratings of items that have a link, a catalogue row and an asset; the newest row per (user, item).
 
     The three other tables only decide which rows stay, so all joins are semi-joins on the item. Rows are ordered by
-    time, then rating, highest first.
+    time, then rating, highest first. ``funnel`` counts the rows that are left after each step.
     """
-    kept = (
-        ratings.join(links.dropna(subset=["ext_id"]), "item_id", "left_semi")
-        .join(catalog, "item_id", "left_semi")
-        .join(assets, "item_id", "left_semi")
-    )
+    count = funnel.stage if funnel else lambda _, df: df
+    kept = count("raw", ratings)
+    for name, side in (("linked", links.dropna(subset=["ext_id"])), ("described", catalog), ("with_asset", assets)):
+        kept = count(name, kept.join(side, "item_id", "left_semi"))
     tie_break = [F.desc(name) for name in kept.columns if name not in ("user_id", "item_id", "ts")]
-    return conform(kept, RATINGS, ["user_id", "item_id"], [F.desc("ts"), *tie_break])
-
-
-def silver_counts(ratings: DataFrame, links: DataFrame, catalog: DataFrame, assets: DataFrame) -> DataFrame:
-    """Ratings left after each of the three conditions of :func:`build_ratings`, in one pass over the ratings."""
-    sides = {"linked": links.dropna(subset=["ext_id"]), "described": catalog, "with_asset": assets}
-    marked, passed, counts = ratings.select("item_id"), F.lit(True), [F.count("*").alias("raw")]
-    for name, side in sides.items():
-        ids = side.select("item_id").distinct().withColumn(name, F.lit(True))
-        marked = marked.join(ids, "item_id", "left")
-        passed = passed & F.col(name).isNotNull()
-        counts.append(F.count_if(passed).alias(name))
-    return marked.agg(*counts)
+    return count("silver", conform(kept, RATINGS, ["user_id", "item_id"], [F.desc("ts"), *tie_break]))
 
 
 def build_movies(catalog: DataFrame, ratings: DataFrame, names: list[str] | None = None, key: str = "item_id") -> DataFrame:

@@ -1,4 +1,8 @@
-"""Row positions, running values and quantiles for groups of any size."""
+"""Row positions, running values and quantiles for groups of any size, all by one rule.
+
+Rows are range-partitioned on (group, order), so that a large group covers many partitions. Each partition is a numbered block:
+values run within a block, and every block is handed what the group's earlier blocks come to.
+"""
 
 from __future__ import annotations
 
@@ -8,86 +12,47 @@ from pyspark.sql.window import Window
 
 from reclake.session import materialize
 
-# A group up to this size is sorted by one task; a larger one is spread over many.
-GROUP_ROWS = 5_000_000
-
 
 def _blocks(df: DataFrame, keys: list[str]) -> DataFrame:
     """``df`` range-partitioned on ``keys``, each partition a numbered block; written, so that blocks stay as they are."""
     return materialize(df.repartitionByRange(*keys).withColumn("_block", F.spark_partition_id()), "blocks")
 
 
-def block_rank(df: DataFrame, group: list[str], order: list[str], name: str) -> DataFrame:
-    """1-based position within each group by ``order``, without gathering a group in one task.
+def group_positions(df: DataFrame, group: list[str], order: list[str], name: str = "pos", size: str | None = None) -> DataFrame:
+    """Add the 1-based position by ``order`` and, if ``size`` is given, the number of rows of the group.
 
-    Rows are range-partitioned on (group, order), so a large group covers many partitions. Each partition is a block:
-    positions are counted within a block and shifted by the group's rows in earlier blocks.
+    ``group`` and ``order`` together identify a row. A task holds one block; the sizes of a group's blocks are at most one row
+    per partition.
     """
     blocks = _blocks(df, [*group, *order])
     sizes = blocks.groupBy(*group, "_block").agg(F.count("*").alias("_size"))
-    before = Window.partitionBy(*group).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = sizes.select(*group, "_block", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_shift"))
+    by_block = Window.partitionBy(*group).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = [F.coalesce(F.sum("_size").over(by_block), F.lit(0)).alias("_shift")]
+    if size:
+        shifts.append(F.sum("_size").over(Window.partitionBy(*group)).alias(size))
     inside = Window.partitionBy(*group, "_block").orderBy(*order)
     placed = blocks.withColumn(name, F.row_number().over(inside).cast("bigint"))
-    return (
-        placed.join(shifts, [*group, "_block"])
-        .withColumn(name, F.col(name) + F.col("_shift"))
-        .drop("_block", "_shift")
-    )
-
-
-def _large_groups(df: DataFrame, group: list[str], group_rows: int) -> DataFrame | None:
-    """Groups above ``group_rows`` with their size ``_n``; None when there are none."""
-    large = df.groupBy(*group).agg(F.count("*").alias("_n")).filter(F.col("_n") > group_rows)
-    return None if large.isEmpty() else materialize(large, "large-groups")
-
-
-def group_positions(
-    df: DataFrame, group: list[str], order: list[str], name: str = "pos", size: str | None = None,
-    group_rows: int = GROUP_ROWS,
-) -> DataFrame:
-    """Add the 1-based position by ``order`` and, if ``size`` is given, the number of rows of the group.
-
-    ``group`` and ``order`` together identify a row. Groups above ``group_rows`` take the block path, the others one
-    window; there are at most rows / ``group_rows`` large groups.
-    """
-    large = _large_groups(df, group, group_rows)
-    window = Window.partitionBy(*group)
-
-    def plain(frame: DataFrame) -> DataFrame:
-        frame = frame.withColumn(name, F.row_number().over(window.orderBy(*order)).cast("bigint"))
-        return frame.withColumn(size, F.count("*").over(window)) if size else frame
-
-    if large is None:
-        return plain(df)
-    spread = block_rank(df.join(large.drop("_n"), group, "left_semi"), group, order, name)
-    if size:
-        spread = spread.join(large.withColumnRenamed("_n", size), group)
-    return plain(df.join(large, group, "left_anti")).unionByName(spread)
+    placed = placed.join(sizes.select(*group, "_block", *shifts), [*group, "_block"])
+    return placed.withColumn(name, F.col(name) + F.col("_shift")).drop("_block", "_shift")
 
 
 def _fold(how: str, value: str) -> Column:
-    return {"min": F.min, "max": F.max, "last": F.last}[how](value)
+    return {"min": F.min, "max": F.max, "sum": F.sum, "last": F.last}[how](value)
 
 
-def running(
-    df: DataFrame, group: list[str], order: str, value: str, how: str, name: str, group_rows: int = GROUP_ROWS
-) -> DataFrame:
-    """``min``, ``max`` or ``last`` of ``value`` over the rows before each row, by ``order`` within its group.
+def running(df: DataFrame, group: list[str], order: str | list[str], value: str, how: str, name: str) -> DataFrame:
+    """``min``, ``max``, ``sum`` or ``last`` of ``value`` over the rows before each row, by ``order`` within its group.
 
-    ``last`` is the value of the row just before. Groups above ``group_rows`` are cut into blocks: a row combines the
-    rows before it in its block with what all earlier blocks hand on.
+    ``last`` is the value of the row just before. A row combines the rows before it in its block with what all earlier blocks
+    hand on; null where there is nothing before it.
     """
-    ordered = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    large = _large_groups(df, group, group_rows)
-    if large is None:
-        return df.withColumn(name, _fold(how, value).over(ordered))
-    spread = _blocks(df.join(large, group, "left_semi"), [*group, order])
-    whole = F.max_by(value, order) if how == "last" else _fold(how, value)
+    order = [order] if isinstance(order, str) else order
+    spread = _blocks(df, [*group, *order])
+    whole = F.max_by(value, F.struct(*order)) if how == "last" else _fold(how, value)
     handed = spread.groupBy(*group, "_block").agg(whole.alias("_whole"))
     by_block = Window.partitionBy(*group).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     handed = handed.select(*group, "_block", _fold(how, "_whole").over(by_block).alias("_handed"))
-    inside = Window.partitionBy(*group, "_block").orderBy(order)
+    inside = Window.partitionBy(*group, "_block").orderBy(*order)
     spread = spread.withColumns({
         "_inside": _fold(how, value).over(inside.rowsBetween(Window.unboundedPreceding, -1)),
         "_first": F.row_number().over(inside) == 1,
@@ -95,15 +60,14 @@ def running(
     combined = {
         "min": F.least("_inside", "_handed"),
         "max": F.greatest("_inside", "_handed"),
+        "sum": F.coalesce(F.col("_inside") + F.col("_handed"), "_inside", "_handed"),
         "last": F.when(F.col("_first"), F.col("_handed")).otherwise(F.col("_inside")),
     }[how]
-    spread = spread.withColumn(name, combined).drop("_block", "_inside", "_first", "_handed")
-    calm = df.join(large, group, "left_anti").withColumn(name, _fold(how, value).over(ordered))
-    return calm.unionByName(spread)
+    return spread.withColumn(name, combined).drop("_block", "_inside", "_first", "_handed")
 
 
 def group_quantiles(df: DataFrame, group: list[str], value: str, probabilities: dict[str, float]) -> DataFrame:
-    """Exact interpolated quantiles per group, rounded to six digits, for groups of any size.
+    """Exact interpolated quantiles per group, for groups of any size.
 
     Equal values are counted first; the counts are then range-partitioned and summed block by block, so no task needs
     all values of a group.
@@ -129,8 +93,6 @@ def group_quantiles(df: DataFrame, group: list[str], value: str, probabilities:
             F.max(place - F.floor(place)).alias(f"_{name}_part"),
         ]
     return placed.groupBy(*group).agg(*picks).select(*group, *[
-        F.round(
-            F.col(f"_{name}_low") + (F.col(f"_{name}_high") - F.col(f"_{name}_low")) * F.col(f"_{name}_part"), 6
-        ).alias(name)
+        (F.col(f"_{name}_low") + (F.col(f"_{name}_high") - F.col(f"_{name}_low")) * F.col(f"_{name}_part")).alias(name)
         for name in probabilities
     ])

@@ -39,7 +39,7 @@ def split_balance(df: DataFrame, col: str = "split") -> DataFrame:
     counts = df.groupBy(col).agg(F.count("*").alias("rows"))
     # One row per split reaches this window.
     total = F.sum("rows").over(Window.partitionBy())
-    return counts.withColumn("pct", F.round(F.col("rows") * 100.0 / total, 6))
+    return counts.withColumn("pct", F.col("rows") * 100.0 / total)
 
 
 def sampling_ratio(df: DataFrame) -> DataFrame:
@@ -49,7 +49,7 @@ def sampling_ratio(df: DataFrame) -> DataFrame:
         F.count_if(F.col("rating_scaled") <= 0).alias("negatives"),
     )
     ratio = F.col("negatives") / F.greatest("positives", F.lit(1))
-    return counts.withColumn("ratio", F.round(ratio, 6))
+    return counts.withColumn("ratio", ratio)
 
 
 def describe_cols(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -60,10 +60,10 @@ def describe_cols(df: DataFrame, cols: list[str]) -> DataFrame:
 
     moments = long.groupBy("column").agg(
         F.count("x").alias("n"),
-        F.round(F.avg("x"), 6).alias("mean"),
-        F.round(F.stddev_samp("x"), 6).alias("std"),
-        F.round(F.min("x"), 6).alias("min"),
-        F.round(F.max("x"), 6).alias("max"),
+        F.avg("x").alias("mean"),
+        F.stddev_samp("x").alias("std"),
+        F.min("x").alias("min"),
+        F.max("x").alias("max"),
     )
     quartiles = group_quantiles(long, ["column"], "x", {"q1": 0.25, "median": 0.5, "q3": 0.75})
     return moments.join(quartiles, "column")
@@ -81,6 +81,6 @@ def parse_attention(df: DataFrame, col: str = "attention_weights") -> DataFrame:
 def attention_share(df: DataFrame, weights: str = "weights", by: list[str] | None = None) -> DataFrame:
     """Mean attention share per modality in percent; ``weights`` is an array of category, text and image."""
     return df.groupBy(*(by or [])).agg(*[
-        F.round(F.avg(F.get(weights, F.lit(place))) * 100, 6).alias(name)
+        (F.avg(F.get(weights, F.lit(place))) * 100).alias(name)
         for place, name in enumerate(("category_pct", "text_pct", "image_pct"))
     ])

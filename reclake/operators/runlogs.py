@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reclake.functions.text import strip
-from reclake.operators.positions import GROUP_ROWS, group_positions, running
+from reclake.operators.positions import group_positions, running
 
 # ---- fixed values: names in the log lines, number patterns, required series ----
 LOGGED = {
@@ -49,14 +49,14 @@ def parse_epoch_lines(logs: DataFrame) -> DataFrame:
     )
 
 
-def to_series(values: DataFrame, metrics: list[str], group_rows: int = GROUP_ROWS) -> DataFrame:
+def to_series(values: DataFrame, metrics: list[str]) -> DataFrame:
     """Wide series out of rows ``(job, seq, metric columns)``: the n-th value of each metric goes to epoch n."""
     long = values.unpivot(["job", "seq"], metrics, "metric", "value").dropna(subset=["value"])
-    placed = group_positions(long, ["job", "metric"], ["seq"], "epoch", group_rows=group_rows)
+    placed = group_positions(long, ["job", "metric"], ["seq"], "epoch")
     return placed.groupBy("job", "epoch").pivot("metric", metrics).agg(F.max("value"))
 
 
-def parse_metric_lines(logs: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
+def parse_metric_lines(logs: DataFrame) -> DataFrame:
     """Series out of both log formats: one line per epoch, or one line per metric. Test lines are skipped."""
     line = F.col("_line")
     lines = logs.filter(~F.col("message").contains("test_total_loss=") & ~F.col("message").contains("test_bce="))
@@ -66,7 +66,7 @@ def parse_metric_lines(logs: DataFrame, group_rows: int = GROUP_ROWS) -> DataFra
         F.when(whole, _found(line, _pattern(metric))).otherwise(_found(line, f"^{_pattern(metric)}$")).alias(metric)
         for metric in LOGGED
     ])
-    return to_series(values, list(LOGGED), group_rows)
+    return to_series(values, list(LOGGED))
 
 
 def fill_train_mse(series: DataFrame) -> DataFrame:
@@ -88,26 +88,26 @@ def learning_curve(series: DataFrame) -> DataFrame:
     """Training against validation error per epoch, with roots and gap."""
     return series.select(
         "job", "epoch", "train_mse", "val_mse",
-        F.round(F.sqrt("train_mse"), 6).alias("train_rmse"),
-        F.round(F.sqrt("val_mse"), 6).alias("val_rmse"),
-        F.round(F.col("val_mse") - F.col("train_mse"), 6).alias("gap"),
+        F.sqrt("train_mse").alias("train_rmse"),
+        F.sqrt("val_mse").alias("val_rmse"),
+        (F.col("val_mse") - F.col("train_mse")).alias("gap"),
     )
 
 
-def parse_regression_lines(logs: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
+def parse_regression_lines(logs: DataFrame) -> DataFrame:
     """Aligned series of a regression job: epoch lines only, test lines left out, validation root derived."""
     metrics = [*REQUIRED_REGRESSION, "lr"]
     line = F.col("_line")
     lines = logs.withColumn("_line", strip(F.col("message")))
     lines = lines.filter(line.startswith("Epoch ") & ~line.contains("test_mse="))
     values = lines.select("job", "seq", *[_found(line, _pattern(metric)).alias(metric) for metric in metrics])
-    aligned = align_series(to_series(values, metrics, group_rows), REQUIRED_REGRESSION)
+    aligned = align_series(to_series(values, metrics), REQUIRED_REGRESSION)
     return aligned.withColumn("val_rmse", F.sqrt("val_mse"))
 
 
-def parse_epoch_series(logs: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
+def parse_epoch_series(logs: DataFrame) -> DataFrame:
     """Aligned series of epoch lines; jobs without all of the required metrics are left out."""
-    series = to_series(parse_epoch_lines(logs).drop("epoch"), list(LOGGED), group_rows)
+    series = to_series(parse_epoch_lines(logs).drop("epoch"), list(LOGGED))
     return align_series(series, REQUIRED_EPOCH_LINES)
 
 
@@ -119,14 +119,12 @@ def best_epoch(history: DataFrame, metric: str, run: str = "job") -> DataFrame:
     )
 
 
-def early_stop(
-    history: DataFrame, metric: str, patience: int, run: str = "job", group_rows: int = GROUP_ROWS
-) -> DataFrame:
+def early_stop(history: DataFrame, metric: str, patience: int, run: str = "job") -> DataFrame:
     """Epoch at which training ends: ``patience`` epochs without a new minimum, else the last epoch."""
-    marked = running(history, [run], "epoch", metric, "min", "_before", group_rows)
+    marked = running(history, [run], "epoch", metric, "min", "_before")
     better = F.col("_before").isNull() | (F.col(metric) < F.col("_before"))
     marked = marked.withColumn("_better", F.when(better, F.col("epoch")))
-    marked = running(marked, [run], "epoch", "_better", "max", "_last", group_rows)
+    marked = running(marked, [run], "epoch", "_better", "max", "_last")
     waited = marked.withColumn("_waited", F.col("epoch") - F.coalesce("_better", "_last"))
     ended = F.min(F.when(F.col("_waited") >= patience, F.col("epoch")))
     return waited.groupBy(run).agg(
@@ -134,7 +132,7 @@ def early_stop(
     )
 
 
-def lr_drops(history: DataFrame, run: str = "job", group_rows: int = GROUP_ROWS) -> DataFrame:
+def lr_drops(history: DataFrame, run: str = "job") -> DataFrame:
     """Epochs whose learning rate is below the one before."""
-    with_previous = running(history, [run], "epoch", "lr", "last", "previous_lr", group_rows)
+    with_previous = running(history, [run], "epoch", "lr", "last", "previous_lr")
     return with_previous.filter(F.col("lr") < F.col("previous_lr")).select(run, "epoch", "previous_lr", "lr")

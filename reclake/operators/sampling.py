@@ -3,22 +3,23 @@
 from __future__ import annotations
 
 from functools import reduce
-from math import isqrt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from reclake.contracts import BAD_STARS, DECOYS, MIN_DECOYS, NEGATIVES, QUALITY_STARS, SEED
-from reclake.functions.features import from_stars, hash_int
+from reclake.functions.features import PERMUTE_KEYS, from_stars, hash_keys, permute
 from reclake.operators.cleaning import entity_dim
 from reclake.operators.encoders import fit_labels
-from reclake.operators.positions import group_positions
+from reclake.operators.positions import group_positions, running
 from reclake.operators.profiles import last_seen
 from reclake.session import materialize
 
 SAMPLED_COLUMNS = ["user_id", "item_id", "user_idx", "item_idx", "genres_multihot", "rating_scaled"]
-_CHUNK = 65_536
+_CHUNK = 4096
+# Steps of the walk that every draw takes at once; the few that need more go on by themselves.
+_WALK = 3
 
 
 def shuffle(df: DataFrame, seed: int, keys: list[str]) -> DataFrame:
@@ -31,131 +32,116 @@ def unseen_items(pool: DataFrame, history: DataFrame) -> DataFrame:
     return pool.join(history, [name for name in pool.columns if name in history.columns], "left_anti")
 
 
-def _next_prime(n: int) -> int:
-    n = max(n, 2)
-    while any(n % d == 0 for d in range(2, isqrt(n) + 1)):
-        n += 1
-    return n
+def _draws(requests: DataFrame, key: list[str], seed: int) -> DataFrame:
+    """``key``, ``user_id``, ``draw`` and ``place``: distinct places in 0 .. free - 1, in the order of the request's permutation.
 
-
-def _wanted(requests: DataFrame) -> int:
-    return requests.agg(F.coalesce(F.sum("need"), F.lit(0))).first()[0]
-
-
-def _walk(requests: DataFrame, key: list[str], seen: DataFrame, n: int, size: int, seed: int) -> list[DataFrame]:
-    """First ``need`` unseen pool numbers on the seeded walk of each request.
-
-    The walk steps through 0..p-1 with a fixed stride; p is prime, so it meets every number once and nothing is drawn
-    twice. Only requests still short go on to the next, longer stretch; the last stretch ends with the whole pool.
+    The permutation covers the smallest grid that holds all ``free`` places; a number beyond them is permuted again until it is
+    one of them, which ends since its cycle leads back to the place it came from. Draws are made in chunks, so no row holds all
+    of a large request.
     """
-    prime = _next_prime(n)
-    seeds = [F.lit(seed), *[F.col(name) for name in key]]
-    state = requests.withColumns({
-        "_start": hash_int(F.lit("start"), *seeds) % prime,
-        "_stride": hash_int(F.lit("stride"), *seeds) % (prime - 1) + 1,
-    })
-    low, high, rounds = 0, min(prime, 2 * size + 8), []
-    while True:
-        steps = state.withColumn("draw", F.explode(F.sequence(F.lit(low).cast("bigint"), F.lit(high - 1).cast("bigint"))))
-        steps = steps.withColumn("idx", (F.col("_start") + F.col("draw") * F.col("_stride")) % prime)
-        fresh = steps.filter(F.col("idx") < n).join(seen, ["user_id", "idx"], "left_anti")
-        rank = F.row_number().over(Window.partitionBy(*key).orderBy("draw"))
-        picked = fresh.withColumn("_rank", rank).filter((F.col("_rank") <= size) & (F.col("_rank") <= F.col("need")))
-        rounds.append(materialize(picked.select(*requests.columns, "idx", "draw").drop("need"), "draws"))
-        if high >= prime or rounds[-1].count() == _wanted(state):
-            return rounds
-        got = rounds[-1].groupBy(*key).agg(F.count("*").alias("_got"))
-        left = F.col("need") - F.coalesce("_got", F.lit(0))
-        state = state.join(got, key, "left").withColumn("need", left).drop("_got").filter("need > 0")
-        if state.isEmpty():
-            return rounds
-        low, high = high, min(prime, high * 8)
-
-
-def _pick_open(requests: DataFrame, dense: DataFrame, key: list[str], seen: DataFrame, n: int, seed: int) -> DataFrame:
-    """Draws for users who have seen more than half of the pool.
-
-    Their unseen items are listed and put in a seeded order; a request takes ``need`` neighbours from a seeded place.
-    The list of a user is shorter than their history, so it stays linear in the input.
+    keys = [f"_k{at}" for at in range(PERMUTE_KEYS)]
+    parts = [F.lit(seed), *[F.col(name) for name in key]]
+    rows = F.ceil(F.sqrt("free")).cast("bigint")
+    keyed = requests.withColumns(dict(zip(keys, hash_keys(PERMUTE_KEYS, *parts), strict=True)))
+    keyed = keyed.withColumn("_rows", rows).withColumn("_cols", F.ceil(F.col("free") / F.col("_rows")).cast("bigint"))
+    count = F.least("need", "free").cast("bigint")
+    first = F.explode(F.sequence(F.lit(0).cast("bigint"), count - 1, F.lit(_CHUNK).cast("bigint")))
+    chunks = keyed.filter(count > 0).withColumn("_count", count).withColumn("_first", first)
+    last = F.least(F.col("_first") + _CHUNK, F.col("_count")) - 1
+    drawn = chunks.withColumn("draw", F.explode(F.sequence("_first", last)))
+
+    def step(place: str) -> Column:
+        return permute(F.col(place), F.col("_rows"), F.col("_cols"), [F.col(name) for name in keys])
+
+    drawn = drawn.withColumn("place", step("draw"))
+    for _ in range(_WALK):
+        drawn = drawn.withColumn("_again", step("place"))
+        drawn = drawn.withColumn("place", F.when(F.col("place") < F.col("free"), F.col("place")).otherwise(F.col("_again")))
+    names = list(dict.fromkeys(["user_id", *key, "draw", "place"]))
+    held = ["free", "_rows", "_cols", *keys]
+    drawn = materialize(drawn.select(*names, *[F.when(F.col("place") >= F.col("free"), F.col(c)).alias(c) for c in held]), "draws")
+    done, walking = [drawn.filter("free is null").select(names)], drawn.filter("free is not null")
+    while not walking.isEmpty():
+        walking = materialize(walking.withColumn("place", step("place")), "draws")
+        done.append(walking.filter("place < free").select(names))
+        walking = walking.filter("place >= free")
+    return reduce(DataFrame.unionByName, done)
+
+
+def _unseen_at(draws: DataFrame, seen: DataFrame, key: list[str]) -> DataFrame:
+    """``draws`` with ``idx``, the number of the ``place``-th item that the user has not seen.
+
+    Of a user's seen numbers in order, the i-th has (number - i) unseen ones before it. So the place-th unseen number is the
+    place plus the number of seen ones whose difference is not above it: a running count over both, in blocks.
     """
-    base = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint"), F.lit(_CHUNK).cast("bigint")))
-    last = F.least(F.col("_base") + _CHUNK - 1, F.lit(n - 1))
-    slots = dense.select("user_id", base.alias("_base")).select(
-        "user_id", F.explode(F.sequence(F.col("_base"), last)).alias("idx")
-    )
-    open_items = slots.join(seen, ["user_id", "idx"], "left_anti")
-    open_items = open_items.withColumn("_order", hash_int(F.lit(seed), F.col("user_id"), F.col("idx")))
-    placed = group_positions(open_items, ["user_id"], ["_order", "idx"], "_place").drop("_order")
-    asked = requests.join(dense, "user_id").filter("_free > 0")
-    start = hash_int(F.lit("start"), F.lit(seed), *[F.col(name) for name in key])
-    count = F.least("need", "_free").cast("bigint")
-    asked = asked.withColumn("draw", F.explode(F.sequence(F.lit(0).cast("bigint"), count - 1)))
-    asked = asked.withColumn("_place", (start + F.col("draw")) % F.col("_free") + 1)
-    return asked.join(placed, ["user_id", "_place"]).select(*requests.columns, "idx", "draw").drop("need")
-
-
-def draw_unseen(
-    requests: DataFrame, key: list[str], pool: DataFrame, history: DataFrame, size: int, seed: int
-) -> DataFrame:
-    """For each request draw distinct items of the pool that its user has not seen.
-
-    ``requests`` has one row per ``key``, with ``user_id`` and the wanted number ``need`` (at most ``size``). A
-    request gets min(need, unseen) items, exactly. Items are numbered, and draws are compared with the history by an
-    anti-join on (user, number), so neither a heavy user nor a popular item makes a large group. Returns the request
-    columns without ``need``, plus ``item_id`` and ``draw``.
+    ranked = group_positions(seen, ["user_id"], ["idx"], "_at")
+    gaps = ranked.select("user_id", (F.col("idx") - F.col("_at") + 1).alias("place"), F.col("idx").alias("_own"), F.lit(0).alias("_drawn"))
+    both = gaps.unionByName(draws.withColumn("_drawn", F.lit(1)), allowMissingColumns=True).withColumn("_seen", 1 - F.col("_drawn"))
+    # seen numbers come before a draw of the same place; the rest of the order only tells rows apart
+    counted = running(both, ["user_id"], ["place", "_drawn", "_own", *key, "draw"], "_seen", "sum", "_before")
+    idx = F.col("place") + F.coalesce("_before", F.lit(0))
+    return counted.filter("_drawn = 1").withColumn("idx", idx).select(*draws.columns, "idx")
+
+
+def draw_unseen(requests: DataFrame, key: list[str], pool: DataFrame, history: DataFrame, seed: int) -> DataFrame:
+    """For each request draw distinct items of the pool that its user has not seen, in a seeded random order.
+
+    ``requests`` has one row per ``key``, with ``user_id`` and the wanted number ``need``. A request gets exactly min(need, unseen)
+    items. One rule for light and heavy users: the user's unseen items are permuted, no draw is ever rejected, and which item
+    stands at a place is counted in blocks of (user, number), so neither a heavy user nor a popular item makes a large group.
+    The work is that of sorting history and draws. Returns ``key`` and ``user_id`` with ``item_id`` and ``draw``.
     """
-    numbered = fit_labels(pool, "item_id").withColumnRenamed("value", "item_id")
-    n = numbered.count()
-    if n == 0:
-        empty = requests.drop("need").withColumns({"item_id": F.lit(None).cast("bigint"), "draw": F.lit(None).cast("bigint")})
-        return empty.filter(F.lit(False))
+    numbered = fit_labels(pool.select("item_id"), "item_id").select(F.col("value").alias("item_id"), F.col("idx").cast("bigint").alias("idx"))
+    numbered = materialize(numbered, "pool")
     seen = history.select("user_id", "item_id").join(numbered, "item_id").select("user_id", "idx").distinct()
     seen = materialize(seen, "seen")
-    counts = seen.groupBy("user_id").agg(F.count("*").alias("_seen")).filter(F.col("_seen") * 2 > n)
-    dense = materialize(counts.select("user_id", (F.lit(n) - F.col("_seen")).alias("_free")), "dense-users")
-    parts = []
-    if not dense.isEmpty():
-        parts.append(_pick_open(requests, dense, key, seen, n, seed))
-        requests = requests.join(dense, "user_id", "left_anti")
-    parts += _walk(requests, key, seen, n, size, seed)
-    drawn = reduce(DataFrame.unionByName, parts)
-    return drawn.join(numbered, "idx").drop("idx")
+    counts = seen.groupBy("user_id").agg(F.count("*").alias("_seen"))
+    names = list(dict.fromkeys(["user_id", *key, "need"]))
+    asked = requests.select(names).join(counts, "user_id", "left")
+    asked = asked.withColumn("free", F.lit(numbered.count()) - F.coalesce("_seen", F.lit(0))).drop("_seen").filter("free > 0")
+    draws = _draws(asked, key, seed)
+    return _unseen_at(draws, seen, key).join(numbered, "idx").drop("idx", "place")
 
 
-def _with_attributes(draws: DataFrame, interactions: DataFrame) -> DataFrame:
-    items = entity_dim(interactions, "item_id", ["item_idx", "genres_multihot"])
-    return draws.join(items, "item_id").withColumn("rating_scaled", F.lit(0.0))
+def item_attributes(interactions: DataFrame) -> DataFrame:
+    """``item_idx`` and multi-hot genres per item, for :func:`negatives_per_positive`; store it where it is used more than once."""
+    return entity_dim(interactions, "item_id", ["item_idx", "genres_multihot"])
 
 
-def _with_positives(train: DataFrame, negatives: DataFrame, with_ts: bool) -> DataFrame:
+def _sampled(train: DataFrame, draws: DataFrame, items: DataFrame, with_ts: bool) -> DataFrame:
+    """Training rows and drawn rows; vectors are joined last."""
     columns = list(SAMPLED_COLUMNS)
     if with_ts:
         columns.append("ts")
-        negatives = negatives.join(last_seen(train), "user_id").withColumnRenamed("last_ts", "ts")
+        draws = draws.join(last_seen(train), "user_id").withColumnRenamed("last_ts", "ts")
+    users = entity_dim(train, "user_id", ["user_idx"])
+    negatives = draws.join(users, "user_id").join(items, "item_id").withColumn("rating_scaled", F.lit(0.0))
     return train.select(columns).unionByName(negatives.select(columns))
 
 
 def negatives_per_positive(
-    train: DataFrame, interactions: DataFrame, ratio: int = NEGATIVES, seed: int = SEED, with_ts: bool = False
+    train: DataFrame, interactions: DataFrame, ratio: int = NEGATIVES, seed: int = SEED, with_ts: bool = False,
+    items: DataFrame | None = None,
 ) -> DataFrame:
     """Training rows plus ``ratio`` unseen items per training row, rated 0.
 
     An item counts as unseen if the user has it in no split (``interactions`` is the union of the splits). ``train``
-    is unique on (user, item). With ``with_ts`` negatives carry the user's last training time.
+    is unique on (user, item). With ``with_ts`` negatives carry the user's last training time. ``items`` is a stored
+    :func:`item_attributes`, if there is one.
     """
-    requests = train.select("user_id", "user_idx", F.col("item_id").alias("positive"), F.lit(ratio).alias("need"))
-    draws = draw_unseen(
-        requests, ["user_id", "positive"], interactions.select("item_id"), interactions, ratio, seed
-    )
-    return _with_positives(train, _with_attributes(draws, interactions), with_ts)
+    items = item_attributes(interactions) if items is None else items
+    requests = train.select("user_id", F.col("item_id").alias("positive"), F.lit(ratio).alias("need"))
+    draws = draw_unseen(requests, ["user_id", "positive"], items, interactions, seed)
+    return _sampled(train, draws, items, with_ts)
 
 
-def negatives_per_user(train: DataFrame, interactions: DataFrame, n: int, seed: int = SEED) -> DataFrame:
+def negatives_per_user(
+    train: DataFrame, interactions: DataFrame, n: int, seed: int = SEED, items: DataFrame | None = None,
+) -> DataFrame:
     """Training rows plus ``n`` unseen items per user, rated 0 and stamped with the user's last training time."""
-    users = entity_dim(train, "user_id", ["user_idx"])
-    requests = users.withColumn("need", F.lit(n))
-    draws = draw_unseen(requests, ["user_id"], interactions.select("item_id"), interactions, n, seed)
-    return _with_positives(train, _with_attributes(draws, interactions), with_ts=True)
+    items = item_attributes(interactions) if items is None else items
+    requests = train.select("user_id").distinct().withColumn("need", F.lit(n))
+    return _sampled(train, draw_unseen(requests, ["user_id"], items, interactions, seed), items, with_ts=True)
 
 
 def test_positives(test: DataFrame, stars: float = QUALITY_STARS) -> DataFrame:
@@ -177,16 +163,14 @@ def decoys(
     key = ["user_id", "target"]
     asked = targets.join(embedded, "item_id", "left_semi").select("user_id", F.col("item_id").alias("target"))
     asked = asked.withColumn("need", F.lit(n))
-    drawn = draw_unseen(asked, key, bad, interactions, n, seed)
-    drawn = drawn.select(*key, "item_id")
-    if drawn.count() < _wanted(asked):
-        got = drawn.groupBy(*key).agg(F.count("*").alias("_got"))
-        left = F.col("need") - F.coalesce("_got", F.lit(0))
-        short = asked.join(got, key, "left").withColumn("need", left).drop("_got").filter("need > 0")
-        short = materialize(short, "short-targets")
+    drawn = materialize(draw_unseen(asked, key, bad, interactions, seed).select(*key, "item_id"), "decoys")
+    got = drawn.groupBy(*key).agg(F.count("*").alias("_got"))
+    left = F.col("need") - F.coalesce("_got", F.lit(0))
+    short = asked.join(got, key, "left").withColumn("need", left).drop("_got").filter("need > 0")
+    short = materialize(short, "short-targets")
+    if not short.isEmpty():
         others = unseen_items(interactions.select("item_id").distinct(), bad)
-        more = draw_unseen(short, key, others, interactions, n, seed + 1)
-        drawn = drawn.unionByName(more.select(*key, "item_id"))
+        drawn = drawn.unionByName(draw_unseen(short, key, others, interactions, seed + 1).select(*key, "item_id"))
     usable = drawn.join(embedded, "item_id", "left_semi").select(*key, "item_id")
     count = F.count("*").over(Window.partitionBy(*key))
     return usable.withColumn("_count", count).filter(F.col("_count") >= min_decoys).drop("_count")

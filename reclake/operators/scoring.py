@@ -117,13 +117,16 @@ def score_pairs(
     """Predicted rating, stars and attention JSON per pair; with an interaction head also its probability and the
     hybrid score.
 
-    Each tower has run once per user and per item; a pair costs two joins and a native dot product.
+    Each tower has run once per user and per item; a pair costs two joins and a native dot product. Every pair is answered: a
+    user or item without a vector counts as a zero vector, and an item without weights has no attention text.
     """
-    joined = pairs.join(users.select("user_id", "user_vector"), "user_id")
-    joined = joined.join(items.select("item_id", "item_vector", "weights"), "item_id")
+    joined = pairs.join(users.select("user_id", "user_vector"), "user_id", "left")
+    joined = joined.join(items.select("item_id", "item_vector", "weights"), "item_id", "left")
+    nothing = F.array_repeat(F.lit(0.0), len(rating[0]))
+    joined = joined.withColumns({name: F.coalesce(V.doubles(F.col(name)), nothing) for name in ("user_vector", "item_vector")})
     scored = gmf_score(joined, *rating, name="p_rating").withColumn("stars", to_stars(F.col("p_rating")))
     shares = [F.get("weights", F.lit(place)) for place in range(3)]
-    scored = scored.withColumn("attention_weights", attention_json(*shares))
+    scored = scored.withColumn("attention_weights", F.when(F.col("weights").isNotNull(), attention_json(*shares)))
     if interaction is not None:
         scored = hybrid_score(gmf_score(scored, *interaction, name="p_inter"))
     return scored.drop("user_vector", "item_vector")
@@ -139,6 +142,19 @@ def explain(scored: DataFrame, user: int, item: int) -> DataFrame:
     return scored.filter(wanted).select("user_id", "item_id", "stars", *shares)
 
 
+def recommendations(
+    best: DataFrame, users: DataFrame, items: DataFrame, rating: tuple[list[float], float],
+    interaction: tuple[list[float], float] | None = None,
+) -> DataFrame:
+    """The table of recommendations out of a top-k search ``(user_id, item_id, rank)``: stars and attention JSON per place.
+
+    Columns ``user_id, item_id, rank, stars, attention_weights`` and, with an interaction head, ``hybrid_score``.
+    """
+    scored = score_pairs(best.select("user_id", "item_id", "rank"), users, items, rating, interaction)
+    more = ["hybrid_score"] if interaction is not None else []
+    return scored.select("user_id", "item_id", "rank", "stars", "attention_weights", *more)
+
+
 def recommend_top_k(
     users: DataFrame, items: DataFrame, seen: DataFrame, k: int = TOP_K, block: int = 8192
 ) -> DataFrame:
@@ -181,20 +197,19 @@ def recommend_top_k(
         cols = item_at.reindex(block_seen["item_id"].to_numpy(dtype=np.int64)).to_numpy()
         both = ~(np.isnan(rows) | np.isnan(cols))
         rows, cols = rows[both].astype(int), cols[both].astype(int)
-        user_ids, found = block_users["user_id"].to_numpy(dtype=np.int64), []
+        user_ids, found = block_users["user_id"].to_numpy(dtype=np.int64), [empty]
         for start in range(0, len(user_ids), 512):
             scores = np.stack(block_users["user_vector"].iloc[start:start + 512]).astype(float) @ matrix.T
             here = (rows >= start) & (rows < start + 512)
             scores[rows[here] - start, cols[here]] = -np.inf
             top = min(k, scores.shape[1])
-            floors = np.partition(scores, -top, axis=1)[:, -top]
-            for at, line in enumerate(scores):
-                good = np.flatnonzero((line >= floors[at]) & (line > -np.inf))
-                good = good[np.lexsort((item_ids[good], -line[good]))][:k]
-                found.append(pd.DataFrame({
-                    "user_id": user_ids[start + at], "item_id": item_ids[good], "score": line[good]
-                }))
-        return pd.concat(found) if found else empty
+            # all that reach the top-th score of their user; ties are cut by item id
+            floors = np.partition(scores, -top, axis=1)[:, -top:].min(axis=1, keepdims=True)
+            at, which = np.nonzero((scores >= floors) & (scores > -np.inf))
+            part = pd.DataFrame({"user_id": user_ids[start + at], "item_id": item_ids[which], "score": scores[at, which]})
+            part = part.sort_values(["user_id", "score", "item_id"], ascending=[True, False, True])
+            found.append(part.groupby("user_id").head(k))
+        return pd.concat(found)
 
     schema = "user_id bigint, item_id bigint, score double"
     candidates = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(best, schema)

@@ -17,7 +17,7 @@ from reclake.contracts import (
     VAL_RATIO,
 )
 from reclake.operators.joins import keep_in
-from reclake.operators.positions import GROUP_ROWS, group_positions
+from reclake.operators.positions import group_positions
 from reclake.operators.profiles import active_ids
 from reclake.session import materialize
 
@@ -96,14 +96,12 @@ def _cut(share: Column, train: float, val: float) -> Column:
     return F.when(share <= train, "train").when(share <= train + val, "val").otherwise("test")
 
 
-def temporal_split(
-    df: DataFrame, train: float = TRAIN_RATIO, val: float = VAL_RATIO, group_rows: int = GROUP_ROWS
-) -> DataFrame:
+def temporal_split(df: DataFrame, train: float = TRAIN_RATIO, val: float = VAL_RATIO) -> DataFrame:
     """Label each row ``train``, ``val`` or ``test`` by its place in the user's history, oldest first.
 
-    Ordered by (ts, item_id). Users with more than ``group_rows`` rows are ranked in blocks, not by one task.
+    Ordered by (ts, item_id). Positions are counted in blocks, so no task sorts the whole history of a user.
     """
-    ranked = group_positions(df, ["user_id"], ["ts", "item_id"], "_pos", "_size", group_rows)
+    ranked = group_positions(df, ["user_id"], ["ts", "item_id"], "_pos", "_size")
     return ranked.withColumn("split", _cut(F.col("_pos") / F.col("_size"), train, val)).drop("_pos", "_size")
 
 

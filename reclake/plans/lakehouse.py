@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from reclake.contracts import NOISE_MIN_ITEM, NOISE_MIN_USER
-from reclake.operators.cleaning import clean_links
+from reclake.operators.cleaning import Funnel, clean_links
 from reclake.operators.encoders import build_features
-from reclake.operators.joins import build_movies, build_ratings, silver_counts
+from reclake.operators.joins import build_movies, build_ratings
 from reclake.operators.splits import by_split, filter_noise, temporal_split
 from reclake.session import materialize
 from reclake.sources.writers import Encoders
@@ -17,12 +16,10 @@ from reclake.sources.writers import Encoders
 def build_silver(
     ratings: DataFrame, links: DataFrame, catalog: DataFrame, assets: DataFrame, names: list[str]
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Silver ratings, silver movies and the row counts on the way. Ratings are worked out once."""
-    links = clean_links(links)
-    silver = materialize(build_ratings(ratings, links, catalog, assets), "silver-ratings")
-    movies = build_movies(catalog, silver, names)
-    counts = silver_counts(ratings, links, catalog, assets).withColumn("silver", silver.agg(F.count("*")).scalar())
-    return silver, movies, counts
+    """Silver ratings, silver movies and the row counts on the way (``step``, ``stage``, ``rows``), all in one run."""
+    funnel = Funnel()
+    silver = materialize(build_ratings(ratings, clean_links(links), catalog, assets, funnel), "silver-ratings")
+    return silver, build_movies(catalog, silver, names), funnel.counts(ratings.sparkSession)
 
 
 def build_splits(

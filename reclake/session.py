@@ -15,6 +15,7 @@ _SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.scheduler.mode": "FAIR",
     "spark.ui.enabled": "false",
 }
 

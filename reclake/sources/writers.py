@@ -25,18 +25,6 @@ def write_jsonl(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def replace_table(df: DataFrame, table: str, path: str | None = None, provider: str = "parquet") -> int:
-    """Replace the whole content of a catalogue table, creating it when missing; returns its row count."""
-    spark = df.sparkSession
-    if not spark.catalog.tableExists(table):
-        writer = df.limit(0).write.format(provider)
-        if path:
-            writer = writer.option("path", f"{path.rstrip('/')}/{table.split('.')[-1]}")
-        writer.saveAsTable(table)
-    df.select(spark.table(table).columns).write.insertInto(table, overwrite=True)
-    return spark.table(table).count()
-
-
 def write_splits(frames: dict[str, DataFrame], base: str, max_files: int | None = None) -> None:
     """One parquet folder per split. ``max_files`` limits the files of each; by default the write stays parallel."""
     for name, frame in frames.items():

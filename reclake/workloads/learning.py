@@ -13,7 +13,7 @@ from reclake.operators import splits as W
 from reclake.session import materialize
 from reclake.workloads.registry import query
 from reclake.workloads.tables import Tables
-from reclake.workloads.views import draw
+from reclake.workloads.views import decoys, drawn
 
 
 def _joined(col: str, name: str):
@@ -67,12 +67,18 @@ def _(t: Tables) -> DataFrame:
     )
 
 
-@query("f6_embed_text")
+@query("f6_embed_text", """
+    with words as (select doc_id, md5(word) as h from (
+        select doc_id, unnest(regexp_split_to_array(lower(text), '[ \\t\\n\\r\\f\\v]+')) as word from documents) where word <> ''),
+      counts as (select doc_id, cast(('0x' || substr(h, 1, 8)) as bigint) % 256 as place,
+        sum(case when substr(h, 9, 1) <= '7' then 1 else -1 end) as tf from words group by 1, 2),
+      idf as (select place, ln(((select count(*) from documents) + 1)::double / (count(*) + 1)) as idf from counts group by place),
+      weights as (select doc_id, place, tf * idf as w from counts join idf using (place) where tf * idf <> 0)
+    select doc_id as item_id, place as pos, round(cast(w / sqrt(sum(w * w) over (partition by doc_id)) as float)::double, 5) as weight from weights""")
 def _(t: Tables) -> DataFrame:
     docs = t.read("documents").select(F.col("doc_id").alias("item_id"), "text")
-    vectors = M.embed_text(docs, "text", 256)
-    norm = F.sqrt(F.aggregate("text_emb", F.lit(0.0), lambda acc, x: acc + (x * x).cast("double")))
-    return vectors.select("item_id", F.size("text_emb").alias("dim"), F.round(norm, 4).alias("norm"))
+    vectors = M.embed_text(docs, "text", 256).select("item_id", F.posexplode("text_emb").alias("pos", "weight")).filter("weight <> 0")
+    return vectors.select("item_id", F.col("pos").cast("bigint").alias("pos"), F.round(F.col("weight").cast("double"), 5).alias("weight"))
 
 
 @query("f7_assemble_embeddings", """
@@ -146,7 +152,7 @@ def _(t: Tables) -> DataFrame:
 
 
 @query("a5_split_balance", """
-    select split, count(*) as rows, round(count(*) * 100.0::double / (select count(*) from fx_split), 6) as pct from fx_split group by split""")
+    select split, count(*) as rows, round(count(*) * 100.0::double / (select count(*) from fx_split), 6) as pct from fx_split group by split""", digits=6)
 def _(t: Tables) -> DataFrame:
     return A.split_balance(t.split())
 
@@ -165,66 +171,64 @@ def _(t: Tables) -> DataFrame:
 
 
 @query("t5_unseen_items", """
-    select item_id from fx_catalog where item_id not in (select l_partkey from lineitem where l_quantity = 50)""")
+    select s.c_mktsegment as segment, c.item_id from (select distinct c_mktsegment from customer) s cross join fx_catalog c
+    where not exists (select 1 from fx_ratings r join customer u on r.user_id = u.c_custkey
+      where u.c_mktsegment = s.c_mktsegment and r.item_id = c.item_id)""")
 def _(t: Tables) -> DataFrame:
-    history = t.read("lineitem").filter("l_quantity = 50").select(F.col("l_partkey").alias("item_id"))
-    return N.unseen_items(t.catalog.select("item_id"), history)
+    # The history of a market segment is what any of its customers has ordered.
+    customers = t.read("customer").select(F.col("c_custkey").alias("user_id"), F.col("c_mktsegment").alias("segment"))
+    history = t.ratings.select("user_id", "item_id").join(customers, "user_id").select("segment", "item_id")
+    names = [row["segment"] for row in customers.select("segment").distinct().orderBy("segment").collect()]
+    pool = t.catalog.select(F.explode(F.array(*[F.lit(name) for name in names])).alias("segment"), "item_id")
+    return N.unseen_items(pool, history)
 
 
-def _walk_sql(requests: str, key: list[str], size: int, steps: int) -> str:
-    """First ``size`` unseen items on the seeded walk of each request over the pool of the clean interactions."""
-    keys = ", ".join(key)
-    parts = [f"q.{name}" for name in key]
-    return f"""select {keys}, item_id from (
-        select d.*, l.item_id, row_number() over (partition by {", ".join("d." + name for name in key)} order by d.draw) as rn
-        from (select q.*, r.draw, ({draw("'start'", "42", *parts)} % z.p
-            + r.draw * ({draw("'stride'", "42", *parts)} % (z.p - 1) + 1)) % z.p as idx
-          from ({requests}) q, fx_pool_size z, (select unnest(range(least(p, {steps}))) as draw from fx_pool_size) r) d
-        join fx_pool l on d.idx = l.idx left join fx_seen s on s.user_id = d.user_id and s.idx = d.idx
-        where s.user_id is null) where rn <= {size}"""
-
-
-_TRAIN = "select user_id, item_id as positive from fx_split where split = 'train'"
+def _negatives_sql(ratio: int) -> str:
+    """``ratio`` unseen items per training row."""
+    asked = f"select user_id, item_id as positive, {ratio} as need from fx_split where split = 'train'"
+    return drawn(asked, ["user_id", "positive"], "select item_id from fx_split", "select user_id, item_id from fx_split")
 
 
 @query("n1_negatives_per_positive", f"""
     select user_id, item_id, user_idx, item_idx, multihot, rating_scaled, count(*) as n from (
       select user_id, item_id, user_idx, item_idx, multihot, rating_scaled from fx_feature_split where split = 'train'
       union all select w.user_id, w.item_id, u.user_idx, d.item_idx, d.multihot, 0.0::double
-        from ({_walk_sql(_TRAIN, ["user_id", "positive"], 4, 128)}) w
+        from {_negatives_sql(4)} w
         join fx_user_dim u on w.user_id = u.user_id join fx_item_dim d on w.item_id = d.item_id)
     group by user_id, item_id, user_idx, item_idx, multihot, rating_scaled""")
 def _(t: Tables) -> DataFrame:
     parts = t.feature_splits()
-    sampled = N.negatives_per_positive(parts["train"], W.union_splits(*parts.values()), 4)
+    sampled = N.negatives_per_positive(parts["train"], W.union_splits(*parts.values()), 4, items=t.item_attributes())
     columns = ["user_id", "item_id", "user_idx", "item_idx", "multihot", "rating_scaled"]
     return sampled.withColumn("multihot", _joined("genres_multihot", "multihot")).groupBy(*columns).agg(F.count("*").alias("n"))
 
 
-_USERS = "select distinct user_id from fx_split where split = 'train'"
+_USERS = drawn(
+    "select distinct user_id, 20 as need from fx_split where split = 'train'", ["user_id"], "select item_id from fx_split",
+    "select user_id, item_id from fx_split")
 
 
 @query("n2_negatives_per_user", f"""
     select user_id, item_id, user_idx, item_idx, rating_scaled, ts from fx_feature_split where split = 'train'
     union all select w.user_id, w.item_id, u.user_idx, d.item_idx, 0.0::double, l.ts
-      from ({_walk_sql(_USERS, ["user_id"], 20, 4096)}) w
+      from {_USERS} w
       join fx_user_dim u on w.user_id = u.user_id join fx_item_dim d on w.item_id = d.item_id
       join (select user_id, max(ts) as ts from fx_split where split = 'train' group by user_id) l on w.user_id = l.user_id""")
 def _(t: Tables) -> DataFrame:
     parts = t.feature_splits()
-    return N.negatives_per_user(parts["train"], W.union_splits(*parts.values()), 20).drop("genres_multihot")
+    return N.negatives_per_user(parts["train"], W.union_splits(*parts.values()), 20, items=t.item_attributes()).drop("genres_multihot")
 
 
 @query("n3_negatives_with_time", f"""
     select user_id, ts, rating_scaled, count(*) as n, cast(sum(item_idx) as bigint) as items from (
       select user_id, ts, rating_scaled, item_idx from fx_feature_split where split = 'train'
       union all select w.user_id, l.ts, 0.0::double, d.item_idx
-        from ({_walk_sql(_TRAIN, ["user_id", "positive"], 2, 128)}) w join fx_item_dim d on w.item_id = d.item_id
+        from {_negatives_sql(2)} w join fx_item_dim d on w.item_id = d.item_id
         join (select user_id, max(ts) as ts from fx_split where split = 'train' group by user_id) l on w.user_id = l.user_id)
     group by user_id, ts, rating_scaled""")
 def _(t: Tables) -> DataFrame:
     parts = t.feature_splits()
-    sampled = N.negatives_per_positive(parts["train"], W.union_splits(*parts.values()), 2, with_ts=True)
+    sampled = N.negatives_per_positive(parts["train"], W.union_splits(*parts.values()), 2, with_ts=True, items=t.item_attributes())
     return sampled.groupBy("user_id", "ts", "rating_scaled").agg(
         F.count("*").alias("n"), F.sum("item_idx").cast("bigint").alias("items")
     )
@@ -233,11 +237,11 @@ def _(t: Tables) -> DataFrame:
 @query("t4_positives_and_negatives", f"""
     select rating_scaled > 0 as positive, count(*) as n, count(distinct user_id) as users from (
       select user_id, rating_scaled from fx_feature_split where split = 'train'
-      union all select user_id, 0.0::double from ({_walk_sql(_TRAIN, ["user_id", "positive"], 1, 128)}))
+      union all select user_id, 0.0::double from {_negatives_sql(1)})
     group by 1""")
 def _(t: Tables) -> DataFrame:
     parts = t.feature_splits()
-    sampled = N.negatives_per_positive(parts["train"], W.union_splits(*parts.values()), 1)
+    sampled = N.negatives_per_positive(parts["train"], W.union_splits(*parts.values()), 1, items=t.item_attributes())
     return sampled.groupBy((F.col("rating_scaled") > 0).alias("positive")).agg(
         F.count("*").alias("n"), F.count_distinct("user_id").alias("users")
     )
@@ -247,10 +251,25 @@ def _(t: Tables) -> DataFrame:
     select positives, negatives, round(negatives / greatest(positives, 1), 6) as ratio from (
       select count(*) filter (where rating_scaled > 0) as positives, count(*) filter (where rating_scaled <= 0) as negatives
       from (select rating_scaled from fx_feature_split where split = 'train'
-        union all select 0.0::double from ({_walk_sql(_TRAIN, ["user_id", "positive"], 1, 128)})))""")
+        union all select 0.0::double from {_negatives_sql(1)}))""", digits=6)
 def _(t: Tables) -> DataFrame:
     parts = t.feature_splits()
-    return A.sampling_ratio(N.negatives_per_positive(parts["train"], W.union_splits(*parts.values()), 1))
+    return A.sampling_ratio(N.negatives_per_positive(parts["train"], W.union_splits(*parts.values()), 1, items=t.item_attributes()))
+
+
+_FOLDED = "select distinct user_id, item_id % 20 as item_id from fx_interactions"
+
+
+@query("n2_heavy_users", f"""
+    select d.user_id, d.item_id, d.draw, s.seen from {drawn(
+        f"select distinct user_id, 5 as need from ({_FOLDED})", ["user_id"], f"select item_id from ({_FOLDED})", _FOLDED)} d
+    join (select user_id, count(*) as seen from ({_FOLDED}) group by user_id) s on d.user_id = s.user_id""")
+def _(t: Tables) -> DataFrame:
+    """Items folded to a pool of twenty, nearly all of which most users have seen; some have seen them all."""
+    folded = t.stored().select("user_id", (F.col("item_id") % 20).alias("item_id")).distinct()
+    seen = folded.groupBy("user_id").agg(F.count("*").alias("seen"))
+    requests = seen.select("user_id", F.lit(5).alias("need"))
+    return N.draw_unseen(requests, ["user_id"], folded, folded, N.SEED).join(seen, "user_id").select("user_id", "item_id", "draw", "seen")
 
 
 @query("n4_decoys", "select user_id, target, item_id from fx_decoys")
@@ -265,6 +284,22 @@ def decoy_rows(t: Tables) -> DataFrame:
     )
 
 
+# Items folded to 120, of which only every third can have bad ratings: fewer than the 60 decoys wanted.
+_FEW_BAD = """select user_id, item_id % 120 as item_id,
+    max(case when item_id % 3 = 0 then rating_scaled else 1.0::double end) as rating_scaled from fx_feature_split group by 1, 2"""
+_FEW_TARGETS = """select distinct user_id, item_id % 120 as target from fx_feature_split where split = 'test'
+    and item_id % 120 in (select vec_id from embeddings)"""
+
+
+@query("n4_decoys_top_up", decoys(_FEW_TARGETS, _FEW_BAD, 60))
+def _(t: Tables) -> DataFrame:
+    parts = t.feature_splits()
+    rating = F.max(F.when(F.col("item_id") % 3 == 0, F.col("rating_scaled")).otherwise(1.0)).alias("rating_scaled")
+    folded = materialize(W.union_splits(*parts.values()).groupBy("user_id", (F.col("item_id") % 120).alias("item_id")).agg(rating), "folded")
+    targets = parts["test"].select("user_id", (F.col("item_id") % 120).alias("item_id")).distinct()
+    return N.decoys(targets, folded, t.vectors.select("item_id"), 60)
+
+
 @query("n5_test_positives", """
     select user_id, item_id, rating_scaled from fx_feature_split where split = 'test' and rating_scaled >= (3.5 - 1) / 4""")
 def _(t: Tables) -> DataFrame:

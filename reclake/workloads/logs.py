@@ -54,7 +54,7 @@ def _(t: Tables) -> DataFrame:
 
 @query("l5_learning_curve", """
     select job, epoch, train_mse, val_mse, round(sqrt(train_mse), 6) as train_rmse, round(sqrt(val_mse), 6) as val_rmse,
-      round(val_mse - train_mse, 6) as gap from fx_aligned""")
+      round(val_mse - train_mse, 6) as gap from fx_aligned""", digits=6)
 def _(t: Tables) -> DataFrame:
     return L.learning_curve(L.align_series(L.parse_metric_lines(t.logs)))
 
@@ -62,11 +62,12 @@ def _(t: Tables) -> DataFrame:
 @query("l6_parse_regression_lines", """
     with lines as (select job, seq, try_cast(regexp_extract(message, 'train_mse=([0-9.]+);', 1) as double) as train_mse,
         try_cast(regexp_extract(message, 'val_mse=([0-9.]+);', 1) as double) as val_mse,
+        try_cast(regexp_extract(message, 'val_rmse_stars=([0-9.]+);', 1) as double) as val_rmse_stars,
         try_cast(regexp_extract(message, 'lr=([0-9.eE+\\-]+);', 1) as double) as lr
       from fx_regression_logs where not contains(message, 'test_mse=')),
     tr as (select job, train_mse, lr, row_number() over (partition by job order by seq) as epoch from lines),
-    va as (select job, val_mse, row_number() over (partition by job order by seq) as epoch from lines where val_mse is not null)
-    select tr.job, tr.epoch, train_mse, val_mse, val_mse as val_rmse_stars, lr, round(sqrt(val_mse), 6) as val_rmse
+    va as (select job, val_mse, val_rmse_stars, row_number() over (partition by job order by seq) as epoch from lines where val_mse is not null)
+    select tr.job, tr.epoch, train_mse, val_mse, val_rmse_stars, lr, round(sqrt(val_mse), 6) as val_rmse
     from tr join va on tr.job = va.job and tr.epoch = va.epoch""")
 def _(t: Tables) -> DataFrame:
     return L.parse_regression_lines(t.regression_logs).withColumn("val_rmse", F.round("val_rmse", 6))

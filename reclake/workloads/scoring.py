@@ -2,20 +2,26 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from math import ceil
+
 import numpy as np
+from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from reclake.functions import vectors as V
 from reclake.functions.features import hash_unit
+from reclake.operators import itemindex as I
 from reclake.operators import metrics as Q
 from reclake.operators import models as M
 from reclake.operators import ranking as K
 from reclake.operators import scoring as S
 from reclake.operators import selection as R
 from reclake.operators.sampling import negatives_per_positive
-from reclake.operators.splits import union_splits
-from reclake.plans.evaluation import evaluate, summary_of
+from reclake.operators.splits import temporal_split, union_splits
+from reclake.plans.evaluation import evaluate, fitted_bundle, summary_of
 from reclake.session import materialize
 from reclake.workloads.learning import decoy_rows
 from reclake.workloads.registry import query, rounded
@@ -23,6 +29,7 @@ from reclake.workloads.tables import MODELS, Tables
 
 
 DIM, OUT, GENRES = 64, 16, 10
+PROBED = 0.6
 
 
 def rule_layer(outputs: int, inputs: int, salt: int) -> S.Layer:
@@ -97,15 +104,17 @@ def _head_sql(head_salt: int, bias: float) -> str:
     return _SIGMOID.format(f"{dot_sql(f'({product})', OUT, head_salt)} + {bias}::double")
 
 
-def user_vectors(t: Tables) -> DataFrame:
+def user_vectors(t: Tables, only: DataFrame | None = None) -> DataFrame:
+    """Tower vectors of all users, or of those in ``only``; the tower runs for no others."""
     users = t.vectors.select(F.col("item_id").alias("user_id"), F.col("text_emb").alias("emb"))
-    return S.score_user_tower(users, rule_layer(OUT, DIM, 0))
+    return S.score_user_tower(users if only is None else users.join(only, "user_id", "left_semi"), rule_layer(OUT, DIM, 0))
 
 
-def item_vectors(t: Tables) -> DataFrame:
+def item_vectors(t: Tables, only: DataFrame | None = None) -> DataFrame:
     vector = F.col("embedding")
     places = F.array(*[(F.col("label") == place).cast("int") for place in range(GENRES)])
-    items = t.read("embeddings").select(
+    rows = t.read("embeddings") if only is None else t.read("embeddings").join(only, F.col("vec_id") == only["item_id"], "left_semi")
+    items = rows.select(
         F.col("vec_id").alias("item_id"), F.col("label").cast("bigint").alias("item_idx"), vector.alias("emb"),
         places.alias("genres_multihot"), vector.alias("text_emb"), F.transform(vector, lambda x: -x).alias("img_emb"),
     )
@@ -131,17 +140,73 @@ def _(t: Tables) -> DataFrame:
     return M.predict_ratings(model, parts["test"], cold).select("user_id", "item_id", "rating_scaled", "p_rating")
 
 
+@query("m1_fit_checks", """
+    select split as dataset, count(*) as n, count(*) as in_range, case when split = 'train' then true end as beats_mean
+    from fx_feature_split where split in ('train', 'test') group by split""")
+def _(t: Tables) -> DataFrame:
+    """What holds for any fit: a prediction in [0, 1] per row, and on its own rows a smaller error than their mean has."""
+    parts = t.feature_splits()
+    model = M.fit_rating_model(parts["train"])
+    mean = parts["train"].agg(F.avg("rating_scaled")).first()[0]
+    rows = parts["train"].withColumn("dataset", F.lit("train")).unionByName(parts["test"].withColumn("dataset", F.lit("test")))
+    scored = M.predict_ratings(model, rows, mean)
+    fitted, plain = ((F.col("rating_scaled") - value) ** 2 for value in (F.col("p_rating"), F.lit(mean)))
+    better = F.when(F.col("dataset") == "train", F.avg(fitted) < F.avg(plain))
+    return scored.groupBy("dataset").agg(
+        F.count("*").alias("n"), F.count_if(F.col("p_rating").between(0, 1)).alias("in_range"), better.alias("beats_mean"))
+
+
 @query("m2_two_heads")
 def _(t: Tables) -> DataFrame:
     parts = t.feature_splits()
-    factors = M.fit_rating_model(parts["train"])
-    sampled = materialize(negatives_per_positive(parts["train"], union_splits(*parts.values()), 2), "sampled")
-    heads = M.fit_two_heads(sampled, factors)
+    heads, _ = two_heads(t)
     return S.hybrid_score(M.predict_two_heads(heads, parts["test"])).select(
         "user_id", "item_id", "rating_scaled", "p_inter", "p_rating", "hybrid_score"
     )
 
 
+def two_heads(t: Tables) -> tuple[M.TwoHeads, ALSModel]:
+    parts = t.feature_splits()
+    factors = M.fit_rating_model(parts["train"])
+    sampled = negatives_per_positive(parts["train"], union_splits(*parts.values()), 2, items=t.item_attributes())
+    return M.fit_two_heads(materialize(sampled, "sampled"), factors), factors
+
+
+@query("m2_cold_start", """
+    with cold as (select f.*, row_number() over (partition by f.user_id order by f.ts, f.item_id) / count(*) over (partition by f.user_id) as share
+        from fx_features f join fx_marked k on f.user_id = k.user_id and f.item_id = k.item_id where not k.kept),
+      train as (select user_id, item_id from fx_split where split = 'train'),
+      users as (select c.user_id, case when c.user_id in (select user_id from train) then 'fitted'
+          when bool_or(share <= 0.5 and c.item_id in (select item_id from train)) then 'folded in' else 'none' end as user_state
+        from cold c group by c.user_id),
+      items as (select c.item_id, case when c.item_id in (select item_id from train) then 'fitted'
+          when bool_or(share <= 0.5 and c.user_id in (select user_id from train)) then 'folded in' else 'none' end as item_state
+        from cold c group by c.item_id)
+    select user_id, item_id, user_state, item_state, true as in_range,
+      case when user_state = 'none' or item_state = 'none' then true end as as_zero
+    from cold join users using (user_id) join items using (item_id) where share > 0.5""")
+def _(t: Tables) -> DataFrame:
+    """Every cold pair is answered: with factors of the fit, with factors folded in from the user's older half, or as zero."""
+    heads, factors = two_heads(t)
+    features, _ = t.features()
+    cold = features.join(t.marked().filter("not kept").select("user_id", "item_id"), ["user_id", "item_id"], "left_semi")
+    halves = materialize(temporal_split(cold, 0.5, 0.0), "cold-halves")
+    known = M.complete_factors(factors, halves.filter("split = 'train'"))
+    rows = M.predict_two_heads(M.with_factors(heads, *known), halves.filter("split <> 'train'"))
+    for key, fitted, complete in (("user", factors.userFactors, known[0]), ("item", factors.itemFactors, known[1])):
+        ids = complete.select(F.col("id").alias(f"{key}_idx"), F.lit("folded in").alias(f"{key}_state")).join(
+            fitted.select(F.col("id").cast("bigint").alias(f"{key}_idx"), F.lit("fitted").alias("_fitted")), f"{key}_idx", "left")
+        state = F.coalesce("_fitted", f"{key}_state", F.lit("none")).alias(f"{key}_state")
+        rows = rows.join(ids, f"{key}_idx", "left").withColumn(f"{key}_state", state).drop("_fitted")
+    zero = 1 / (1 + F.exp(F.lit(-float(heads.interaction.intercept))))
+    alone = (F.col("user_state") == "none") | (F.col("item_state") == "none")
+    return rows.select(
+        "user_id", "item_id", "user_state", "item_state",
+        (F.col("p_inter").between(0, 1) & F.col("p_rating").between(0, 1)).alias("in_range"),
+        F.when(alone, F.abs(F.col("p_inter") - zero) < 1e-9).alias("as_zero"),
+    )
+
+
 @query("m3_gmf_score", f"""
     select a.vec_id as item_id, round({_SIGMOID.format(
         "list_sum(list_transform(range(64), lambda j: a.embedding[j + 1]::double * b.embedding[j + 1]::double "
@@ -189,14 +254,10 @@ def _(t: Tables) -> DataFrame:
 
 
 _PAIRS_SQL = f"""
-    select p.user_id, p.item_id, {_head_sql(9, 0.05)} as p_rating, {_head_sql(10, -0.05)} as p_inter, i.weights
-    from fx_interactions p join ({_USER_SQL}) u on p.user_id = u.user_id join ({_ITEM_SQL}) i on p.item_id = i.item_id"""
-
-
-def pair_scores(t: Tables) -> DataFrame:
-    return S.score_pairs(
-        t.interactions.select("user_id", "item_id"), user_vectors(t), item_vectors(t), RATING_HEAD, INTERACTION_HEAD
-    )
+    select user_id, item_id, {_head_sql(9, 0.05)} as p_rating, {_head_sql(10, -0.05)} as p_inter, weights from (
+      select p.user_id, p.item_id, coalesce(u.user_vector, z.zero) as user_vector, coalesce(i.item_vector, z.zero) as item_vector, i.weights
+      from fx_interactions p left join ({_USER_SQL}) u on p.user_id = u.user_id left join ({_ITEM_SQL}) i on p.item_id = i.item_id,
+        (select list_transform(range({OUT}), lambda n: 0.0::double) as zero) z)"""
 
 
 @query("m8_score_pairs", f"""
@@ -205,30 +266,99 @@ def pair_scores(t: Tables) -> DataFrame:
 def _(t: Tables) -> DataFrame:
     names = ("p_rating", "stars", "p_inter", "hybrid_score")
     text = F.get_json_object("attention_weights", "$.text").cast("double")
-    return pair_scores(t).select(
+    pairs = t.interactions.select("user_id", "item_id")
+    return S.score_pairs(pairs, user_vectors(t), item_vectors(t), RATING_HEAD, INTERACTION_HEAD).select(
         "user_id", "item_id", *[F.round(name, 6).alias(name) for name in names], F.round(text, 6).alias("text_share")
     )
 
 
-@query("m9_recommend_top_k", """
-    select user_id, item_id, rank, round(score, 6) as score from (
+_EXACT_SQL = """
+    select user_id, item_id, rank, score from (
       select *, row_number() over (partition by user_id order by score desc, item_id) as rank from (
         select u.vec_id as user_id, i.vec_id as item_id,
           list_dot_product(u.embedding::double[], i.embedding::double[]) as score
         from embeddings u, embeddings i
         where not exists (select 1 from fx_interactions s where s.user_id = u.vec_id and s.item_id = i.vec_id)))
-    where rank <= 10""")
-def _(t: Tables) -> DataFrame:
+    where rank <= 10"""
+
+
+def _exact(t: Tables) -> DataFrame:
     items = t.vectors.select("item_id", F.col("text_emb").alias("vector"))
-    users = items.withColumnRenamed("item_id", "user_id")
-    best = S.recommend_top_k(users, items, t.interactions, 10, block=1024)
-    return best.select("user_id", "item_id", "rank", F.round("score", 6).alias("score"))
+    return S.recommend_top_k(items.withColumnRenamed("item_id", "user_id"), items, t.interactions, 10, block=128)
+
+
+def _by_index(t: Tables) -> DataFrame:
+    items = t.vectors.select("item_id", F.col("text_emb").alias("vector"))
+    index = I.fit_item_index(items)
+    return I.search_top_k(items.withColumnRenamed("item_id", "user_id"), index, t.stored(), 10, probes=ceil(len(index.centres) * PROBED))
+
 
+@query("m9_recommend_top_k", f"select user_id, item_id, rank, round(score, 6) as score from ({_EXACT_SQL})")
+def _(t: Tables) -> DataFrame:
+    return _exact(t).select("user_id", "item_id", "rank", F.round("score", 6).alias("score"))
+
+
+@query("m9_index_search")
+def _(t: Tables) -> DataFrame:
+    return _by_index(t).select("user_id", "item_id", "rank", F.round("score", 6).alias("score"))
+
+
+@query("m9_index_recall", """
+    select count(*) as users, sum(least(10, unseen)) as wanted, true as enough, sum(least(10, unseen)) as exact_scores from (
+      select u.vec_id, (select count(*) from embeddings) - count(s.item_id) as unseen
+      from embeddings u left join fx_interactions s on s.user_id = u.vec_id and s.item_id in (select vec_id from embeddings) group by u.vec_id)""")
+def _(t: Tables) -> DataFrame:
+    """The index against the exact search: recall at 10 of at least 0.9, and the true score for every pair it returns."""
+    found = materialize(_by_index(t), "index-search")
+    recall = I.recall_at_k(found, _exact(t)).select("wanted", (F.col("recall") >= 0.9).alias("enough"))
+    vectors = t.vectors.select("item_id", V.doubles(F.col("text_emb")).alias("_v"))
+    scored = found.join(vectors, "item_id").join(vectors.select(F.col("item_id").alias("user_id"), F.col("_v").alias("_u")), "user_id")
+    right = scored.agg(
+        F.count_distinct("user_id").alias("users"), F.count_if(F.abs(V.dot(F.col("_u"), F.col("_v")) - F.col("score")) < 1e-9).alias("exact_scores"))
+    return recall.join(right)
+
+
+@query("m9_recommendations", f"""
+    select r.user_id, r.item_id, r.rank, round({_head_sql(9, 0.05)} * 4.0 + 1.0, 6) as stars, round(weights[2], 6) as text_share,
+      round({_head_sql(9, 0.05)} * {_head_sql(10, -0.05)}, 6) as hybrid_score
+    from ({_EXACT_SQL}) r join ({_USER_SQL}) u on r.user_id = u.user_id join ({_ITEM_SQL}) i on r.item_id = i.item_id""")
+def _(t: Tables) -> DataFrame:
+    """Recommendations as a table: the ten best items of every user with stars, attention text and hybrid score."""
+    table = S.recommendations(_exact(t), user_vectors(t), item_vectors(t), RATING_HEAD, INTERACTION_HEAD)
+    text = F.get_json_object("attention_weights", "$.text").cast("double")
+    return table.select(
+        "user_id", "item_id", "rank", F.round("stars", 6).alias("stars"), F.round(text, 6).alias("text_share"),
+        F.round("hybrid_score", 6).alias("hybrid_score"))
 
-@query("m10_tune")
+
+@query("m10_tune", """
+    select t.trial, t.rank, t.reg, r.rung, r.iterations, true as finite, true as in_order
+    from (select row_number() over (order by rank, reg) as trial, rank, reg from (select unnest([4, 6, 8, 10]) as rank), (select unnest([0.05, 0.1, 0.2]) as reg)) t,
+      (select 0 as rung, 2 as iterations) r""")
+def _(t: Tables) -> DataFrame:
+    """First rung of a search over twelve trials, three at once; ``in_order``: the four best of it, and no others, went on."""
+    parts = t.feature_splits()
+    trials = materialize(M.tune(parts["train"], parts["val"], [4, 6, 8, 10], [0.05, 0.1, 0.2], iterations=8), "trials")
+    place = F.row_number().over(Window.partitionBy("rung").orderBy("objective", "trial"))
+    next_rung = trials.select((F.col("rung") - 1).alias("rung"), "trial", F.lit(True).alias("_went_on"))
+    placed = trials.withColumn("_place", place).join(next_rung, ["rung", "trial"], "left")
+    in_order = (F.col("_place") <= 4) == F.coalesce("_went_on", F.lit(False))
+    return placed.filter("rung = 0").select(
+        "trial", "rank", "reg", F.col("rung").cast("int").alias("rung"), F.col("iterations").cast("int").alias("iterations"),
+        (~F.isnan("objective") & (F.col("objective") < 4)).alias("finite"), in_order.alias("in_order"))
+
+
+@query("m10_search_rungs", """
+    select rung, trials, iterations, trials as distinct_trials, true as best_first
+    from (select unnest([0, 1, 2]) as rung, unnest([12, 4, 2]) as trials, unnest([2, 4, 8]) as iterations)""")
 def _(t: Tables) -> DataFrame:
+    """Trials and iterations per rung of the search; ``best_first``: nobody who left a rung was better than who stayed."""
     parts = t.feature_splits()
-    return M.tune(parts["train"], parts["val"], [4, 8], [0.05, 0.2], iterations=5)
+    trials = M.tune(parts["train"], parts["val"], [4, 6, 8, 10], [0.05, 0.1, 0.2], iterations=8)
+    stayed, left = F.max(F.when(F.col("survived"), F.col("objective"))), F.min(F.when(~F.col("survived"), F.col("objective")))
+    return trials.groupBy(F.col("rung").cast("int").alias("rung")).agg(
+        F.count("*").alias("trials"), F.max("iterations").cast("int").alias("iterations"), F.count_distinct("trial").alias("distinct_trials"),
+        (stayed <= left).alias("best_first"))
 
 
 @query("m11_explain", f"""
@@ -237,8 +367,10 @@ def _(t: Tables) -> DataFrame:
     where user_id = 7 and item_id = (select min(item_id) from fx_interactions where user_id = 7)""")
 def _(t: Tables) -> DataFrame:
     item = t.interactions.filter("user_id = 7").agg(F.min("item_id")).first()[0]
+    pair = t.spark.createDataFrame([(7, item)], "user_id long, item_id long")
+    scored = S.score_pairs(pair, user_vectors(t, pair), item_vectors(t, pair), RATING_HEAD, INTERACTION_HEAD)
     names = ("stars", "category_pct", "text_pct", "image_pct")
-    return S.explain(pair_scores(t), 7, item).select(
+    return S.explain(scored, 7, item).select(
         "user_id", "item_id", *[F.round(name, 6).alias(name) for name in names]
     )
 
@@ -362,19 +494,50 @@ def _(t: Tables) -> DataFrame:
 def bundle(t: Tables) -> DataFrame:
     predictions = materialize(t.evaluation(), "evaluation")
     of_test = ranks(t).withColumn("dataset", F.lit("test"))
-    return materialize(rounded(evaluate(predictions, of_test)), "bundle")
+    return materialize(rounded(evaluate(predictions, of_test, attention=item_vectors(t))), "bundle")
+
 
+ATTENTION_SQL = f"""
+    select model, dataset, round(avg(weights[1]) * 100, 6) as category_pct, round(avg(weights[2]) * 100, 6) as text_pct,
+      round(avg(weights[3]) * 100, 6) as image_pct from fx_evaluation e join ({_ITEM_SQL}) i on e.item_id = i.item_id group by model, dataset"""
 
-@query("q13_evaluate", """
-    select p.model, p.dataset, p.mse, p.rmse, p.rmse_stars, p.n_samples, p.bce, p.masked_mse, p.tp, p.fp, p.fn, p.tn, p.accuracy,
+
+@query("q13_evaluate", f"""
+    select a.category_pct, a.text_pct, a.image_pct, p.model, p.dataset, p.mse, p.rmse, p.rmse_stars, p.n_samples, p.bce, p.masked_mse, p.tp, p.fp, p.fn, p.tn, p.accuracy,
       p.precision, p.recall, p.f1, k.precision_at_k, k.recall_at_k,
       coalesce(r.hit_rate_at_k, -1) as hit_rate_at_k, coalesce(r.ndcg_at_k, -1) as ndcg_at_k, coalesce(r.total_evaluations, 0) as total_evaluations
     from fx_rates p left join fx_at_k k on p.model = k.model and p.dataset = k.dataset
-    left join fx_ranking r on p.model = r.model and p.dataset = r.dataset""")
+    left join fx_ranking r on p.model = r.model and p.dataset = r.dataset
+    left join ({ATTENTION_SQL}) a on p.model = a.model and p.dataset = a.dataset""")
 def _(t: Tables) -> DataFrame:
     return bundle(t).fillna({"hit_rate_at_k": -1.0, "ndcg_at_k": -1.0, "total_evaluations": 0})
 
 
+@query("q13_from_splits", """
+    with halves as (select k.user_id, row_number() over (partition by k.user_id order by k.ts, k.item_id) / count(*) over (partition by k.user_id) as share
+        from fx_marked k where not k.kept),
+      n as (select 'test' as dataset, count(*) as n_samples, (select count(distinct (user_id, target)) from fx_decoys) as total_evaluations
+          from fx_split where split = 'test'
+        union all select 'coldstart', count(*), 0 from halves where share > 0.5)
+    select model, dataset, n_samples, total_evaluations, true as rates_in_range, true as scored
+    from n, (select unnest(['regression', 'twoheads']) as model)""")
+def _(t: Tables) -> DataFrame:
+    """From splits to a winner with fitted models: what holds for any fit. ``scored``: exactly one winner, with the best score."""
+    parts = t.feature_splits()
+    features, _ = t.features()
+    cold = features.join(t.marked().filter("not kept").select("user_id", "item_id"), ["user_id", "item_id"], "left_semi")
+    found = materialize(fitted_bundle(parts, cold, t.vectors.select("item_id")), "fitted-bundle")
+    scores = R.composite_score(summary_of(found))
+    winner = R.select_winner(scores)
+    fine = scores.agg(F.max("score").alias("_best")).join(winner).select(
+        (F.col("_best").eqNullSafe(F.col("winner_score")) & F.col("winner").isin(*MODELS)).alias("scored"))
+    rates = [F.coalesce(name, F.lit(0.0)).between(0, 1) for name in (
+        "accuracy", "precision", "recall", "f1", "precision_at_k", "recall_at_k", "hit_rate_at_k", "ndcg_at_k", "mse")]
+    return found.join(fine).select(
+        "model", "dataset", "n_samples", F.coalesce("total_evaluations", F.lit(0)).alias("total_evaluations"),
+        reduce(lambda a, b: a & b, rates).alias("rates_in_range"), "scored")
+
+
 def summary(t: Tables) -> DataFrame:
     return summary_of(bundle(t))
 

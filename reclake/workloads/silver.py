@@ -12,6 +12,7 @@ from reclake.operators import cleaning as C
 from reclake.operators import joins as J
 from reclake.operators import profiles as A
 from reclake.session import materialize
+from reclake.plans.lakehouse import build_silver
 from reclake.workloads.registry import query
 from reclake.workloads.tables import Tables
 from reclake.workloads.views import draw
@@ -112,14 +113,14 @@ def _(t: Tables) -> DataFrame:
 @query("c11_funnel", """
     select 0 as step, 'raw' as stage, count(*) as rows from fx_ratings
     union all select 1, 'linked', count(*) from fx_ratings where item_id in (select item_id from fx_links where ext_id is not null)
-    union all select 2, 'silver', count(*) from fx_silver""")
+    union all select 2, 'described', count(*) from fx_ratings where item_id in (select item_id from fx_links where ext_id is not null)
+      and item_id in (select item_id from fx_catalog)
+    union all select 3, 'with_asset', count(*) from fx_ratings where item_id in (select item_id from fx_links where ext_id is not null)
+      and item_id in (select item_id from fx_catalog) and item_id in (select item_id from fx_assets)
+    union all select 4, 'silver', count(*) from fx_silver""")
 def _(t: Tables) -> DataFrame:
-    links = C.clean_links(t.links)
-    return C.funnel({
-        "raw": t.ratings,
-        "linked": t.ratings.join(links, "item_id", "left_semi"),
-        "silver": silver(t),
-    })
+    _, _, counts = build_silver(t.ratings, t.links, t.catalog, t.assets, ["item_id"])
+    return counts
 
 
 @query("e1_pipe_join", "select item_id, replace(genre_words, ' ', '|') as genres from fx_catalog")
@@ -287,14 +288,14 @@ def _(t: Tables) -> DataFrame:
       round(stddev_samp(value), 6) as std, round(min(value), 6) as min, round(max(value), 6) as max,
       round(quantile_cont(value, 0.25), 6) as q1, round(quantile_cont(value, 0.75), 6) as q3 from events
     union all select 'user_id', count(user_id), round(avg(user_id), 6), round(median(user_id), 6), round(stddev_samp(user_id), 6),
-      min(user_id), max(user_id), round(quantile_cont(user_id, 0.25), 6), round(quantile_cont(user_id, 0.75), 6) from events""")
+      min(user_id), max(user_id), round(quantile_cont(user_id, 0.25), 6), round(quantile_cont(user_id, 0.75), 6) from events""", digits=6)
 def _(t: Tables) -> DataFrame:
     return A.describe_cols(t.read("events"), ["value", "user_id"])
 
 
 @query("a8_attention_share", """
     select round(avg(l_discount) * 100, 6) as category_pct, round(avg(l_tax) * 100, 6) as text_pct,
-      round(avg(l_quantity / 50) * 100, 6) as image_pct, l_returnflag as model from lineitem group by l_returnflag""")
+      round(avg(l_quantity / 50) * 100, 6) as image_pct, l_returnflag as model from lineitem group by l_returnflag""", digits=6)
 def _(t: Tables) -> DataFrame:
     weights = F.array("l_discount", "l_tax", F.col("l_quantity") / 50)
     return A.attention_share(

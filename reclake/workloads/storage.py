@@ -2,27 +2,33 @@
 
 from __future__ import annotations
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reclake.contracts import LINKS, RATINGS
+from reclake.contracts import COMPARISON, LINKS, RATINGS, WINNER
+from reclake.functions.features import event_time
 from reclake.operators.cleaning import drop_deleted
-from reclake.plans.evaluation import report_documents
+from reclake.plans.evaluation import report_documents, write_evaluation
 from reclake.session import scratch_path
 from reclake.sources import readers as R
+from reclake.sources import snapshots as S
 from reclake.sources import writers as W
+from reclake.sources.featurelog import FeatureLog
 from reclake.workloads.registry import query
-from reclake.workloads.scoring import bundle
-from reclake.workloads.tables import Tables
+from reclake.workloads.scoring import ATTENTION_SQL, bundle
+from reclake.workloads.tables import MODELS, Tables
 
 
 @query("s1_read_csv_prefix", "select user_id, item_id, rating, ts from fx_ratings")
 def _(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "csv")
-    # Files with names and order of their own, and a column that nobody asks for.
-    written = t.ratings.select(
+    # Files of one prefix with columns in two orders, under two sets of names, some with a column that nobody asks for.
+    one = t.ratings.filter("rating < 3").select(
         F.col("ts").alias("timestamp"), F.lit("x").alias("note"), "rating", F.col("item_id").alias("movieId"), F.col("user_id").alias("userId"))
-    written.write.option("header", True).csv(f"{path}/2024/ratings")
+    other = t.ratings.filter("rating >= 3").select("user_id", "item_id", "rating", "ts")
+    one.write.option("header", True).csv(f"{path}/2024/ratings")
+    other.write.option("header", True).csv(f"{path}/2025")
     return R.read_csv_prefix(t.spark, path, RATINGS)
 
 
@@ -36,16 +42,24 @@ def _(t: Tables) -> DataFrame:
 
 @query("s3_read_parquet_tree", "select user_id, item_id, rating, ts from fx_interactions")
 def _(t: Tables) -> DataFrame:
+    # The folder holds a table's data next to a description of it in another format.
     path = scratch_path(t.spark, "tree")
     t.interactions.write.parquet(f"{path}/data/part=a")
+    t.links.limit(1).write.json(f"{path}/metadata")
     return R.read_parquet_tree(t.spark, path)
 
 
-@query("s4_read_table_or_path", "select item_id, ext_id from fx_links where ext_id is not null")
+@query("s4_read_table_or_path", """
+    select 'path' as source, item_id, ext_id from fx_links where ext_id is not null
+    union all select 'table', item_id, ext_id from fx_links where ext_id > 100500""")
 def _(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "links")
     t.links.write.option("header", True).csv(path)
-    return R.read_table_or_path(t.spark, "reclake_no_such_table", path, "csv", LINKS).dropna()
+    table = f"links_{path.rsplit('-', 1)[-1]}"
+    before = R.read_table_or_path(t.spark, table, path, "csv", LINKS).dropna().withColumn("source", F.lit("path"))
+    S.replace_table(t.links.filter("ext_id > 100500"), table, scratch_path(t.spark, "warehouse"))
+    after = R.read_table_or_path(t.spark, table, path, "csv", LINKS).withColumn("source", F.lit("table"))
+    return before.unionByName(after)
 
 
 @query("s5_asset_ids", """
@@ -57,11 +71,19 @@ def _(t: Tables) -> DataFrame:
     return R.listed_ids(listing)
 
 
-@query("s6_compact", "select user_id, count(*) as n from fx_ratings group by user_id")
+@query("s6_compact", """
+    select user_id, count(*) as n, true as within from fx_ratings group by user_id""")
 def _(t: Tables) -> DataFrame:
-    path = scratch_path(t.spark, "small-files")
-    t.ratings.repartition(64).write.parquet(path)
-    return R.compact(t.spark.read.parquet(path)).groupBy("user_id").agg(F.count("*").alias("n"))
+    """Small files and a large one, read in partitions of 64 KB of files; ``within`` says that no partition holds more."""
+    path, target = scratch_path(t.spark, "small-files"), 65_536
+    t.ratings.filter("user_id % 2 = 0").repartition(64).write.parquet(path)
+    t.ratings.filter("user_id % 2 = 1").coalesce(1).write.mode("append").parquet(path)
+    sizes = R.list_files(t.spark, path).select(F.col("path").alias("file"), "length")
+    packed = R.pack_files(sizes, target)
+    full = packed.filter("pieces = 1").groupBy("bin").agg(F.sum("length").alias("total")).agg(F.coalesce(F.max("total"), F.lit(0)))
+    cut = packed.agg(F.max(F.col("length") / F.col("pieces")))
+    within = (full.scalar() <= target) & (cut.scalar() <= target)
+    return R.read_packed(t.spark, path, target).groupBy("user_id").agg(F.count("*").alias("n")).withColumn("within", within)
 
 
 @query("s7_sql_table", """
@@ -86,8 +108,8 @@ def _(t: Tables) -> DataFrame:
         F.struct(values.alias("val_mse"), F.transform(values, lambda x: x / 2).alias("train_mse")).alias("training_history"),
     )
     W.write_jsonl(runs, path)
-    documents = t.spark.read.schema(R.TRAINING_RUN).json(path).withColumn("run", F.col("mode"))
-    return R.epochs(documents).select(F.col("run").cast("bigint").alias("job"), "epoch", "val_mse", "train_mse")
+    history = R.read_training_history(t.spark, path, run=F.col("mode"), lines=True)
+    return history.select(F.col("run").cast("bigint").alias("job"), "epoch", "val_mse", "train_mse")
 
 
 @query("s9_read_report", """
@@ -98,8 +120,7 @@ def _(t: Tables) -> DataFrame:
 def _(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "reports")
     W.write_report(report_documents(bundle(t)), path)
-    documents = t.spark.read.schema(R.REPORT).json(path)
-    return documents.select(
+    return R.read_report(t.spark, path, lines=True).select(
         "mode", "test_pointwise.rmse_stars", "test_pointwise.confusion_matrix.tp",
         F.col("coldstart_pointwise.rmse_stars").alias("cold_rmse_stars"),
         "ranking_true_neg.hit_rate_at_k", "precision_recall.precision_at_k",
@@ -107,13 +128,15 @@ def _(t: Tables) -> DataFrame:
 
 
 @query("s10_dataset_inventory", """
-    select name, exists (select 1 from fx_split s where s.split = name) as found
+    select name, exists (select 1 from fx_split s where s.split = name) as found,
+      case when name = 'embeddings' then 0 else 1 end as files, name <> 'embeddings' as has_bytes
     from (select unnest(['train', 'val', 'test', 'embeddings']) as name)""")
 def _(t: Tables) -> DataFrame:
     base = scratch_path(t.spark, "datasets")
     split = t.split()
-    W.write_splits({name: split.filter(F.col("split") == name) for name in ("train", "val", "test")}, base)
-    return R.dataset_inventory(t.spark, base, ["train", "val", "test", "embeddings"]).select("name", "found")
+    W.write_splits({name: split.filter(F.col("split") == name) for name in ("train", "val", "test")}, base, max_files=1)
+    found = R.dataset_inventory(t.spark, base, ["train", "val", "test", "embeddings"])
+    return found.select("name", "found", F.col("files").cast("int").alias("files"), (F.col("bytes") > 0).alias("has_bytes"))
 
 
 @query("k1_write_jsonl", "select doc_id, text, lang from documents")
@@ -123,15 +146,38 @@ def _(t: Tables) -> DataFrame:
     return R.read_jsonl_prefix(t.spark, path, t.read("documents").select("doc_id", "text", "lang").schema)
 
 
-@query("k2_replace_table", "select user_id, item_id, rating, ts from fx_silver")
-def _(t: Tables) -> DataFrame:
+def _silver_table(t: Tables) -> str:
+    """A table replaced twice: all interactions, then the silver rows; a third replace fails half way."""
     from reclake.workloads.silver import silver
 
     path = scratch_path(t.spark, "warehouse")
     table = f"silver_{path.rsplit('-', 1)[-1]}"
-    W.replace_table(t.interactions, table, path)
-    W.replace_table(silver(t), table, path)
-    return t.spark.table(table)
+    S.replace_table(t.interactions, table, path)
+    S.replace_table(silver(t), table, path)
+    broken = t.interactions.withColumn("rating", F.when(F.col("rating") >= 5, F.raise_error(F.lit("broken row"))).otherwise(F.col("rating")))
+    try:
+        S.replace_table(broken, table, path)
+    except PySparkException:
+        return table
+    raise RuntimeError("the broken replace went through")
+
+
+@query("k2_replace_table", "select user_id, item_id, rating, ts from fx_silver")
+def _(t: Tables) -> DataFrame:
+    return t.spark.table(_silver_table(t))
+
+
+@query("k2_snapshots", """
+    select cast(1 as bigint) as version, true as current, count(*) as rows, sum(rating) as total from fx_interactions
+    union all select 2, false, count(*), sum(rating) from fx_silver""")
+def _(t: Tables) -> DataFrame:
+    table = _silver_table(t)
+    S.restore_snapshot(t.spark, table, 1)
+    totals = [
+        S.read_snapshot(t.spark, table, version).agg(F.count("*").alias("rows"), F.sum("rating").alias("total"))
+        .withColumn("version", F.lit(version).cast("long")) for version in (1, 2)
+    ]
+    return S.snapshots(t.spark, table).select("version", "current").join(totals[0].unionByName(totals[1]), "version")
 
 
 @query("k3_write_splits", "select split, count(*) as n, sum(rating) as total from fx_split group by split")
@@ -157,6 +203,42 @@ def _(t: Tables) -> DataFrame:
     )
 
 
+def log_versions(t: Tables) -> list[DataFrame]:
+    """Three versions of the feature records: as built; a third of the users rated anew an hour later, with some late rows that are
+    older; every fifth item deleted another hour later, and one in ten of these written again."""
+    features, _ = t.features()
+    first = W.with_record(features).select("record_id", "event_time", "user_id", "item_id", "rating_scaled")
+    moved = lambda hours: event_time(F.unix_timestamp("event_time", "yyyy-MM-dd'T'HH:mm:ssX") + hours * 3600)
+    anew = first.filter("user_id % 3 = 0").withColumn("rating_scaled", 1 - F.col("rating_scaled"))
+    late = first.filter("user_id % 3 = 1").withColumn("rating_scaled", F.lit(-1.0)).withColumn("event_time", moved(-1))
+    gone = first.filter("item_id % 5 = 0").withColumn("event_time", moved(2)).withColumn("is_deleted", F.lit(True))
+    back = first.filter("item_id % 50 = 0").withColumn("event_time", moved(3)).withColumn("is_deleted", F.lit(False))
+    return [first, anew.withColumn("event_time", moved(1)).unionByName(late), gone.unionByName(back)]
+
+
+@query("k4_feature_log", """
+    with moved as (select cast(user_id as varchar) || '_' || cast(item_id as varchar) as record_id, user_id, item_id, rating_scaled, ts from fx_features),
+      log as (select *, ts as moved_at, false as gone, 1 as version from moved
+        union all select record_id, user_id, item_id, 1 - rating_scaled, ts, ts + 3600, false, 2 from moved where user_id % 3 = 0
+        union all select record_id, user_id, item_id, -1.0::double, ts, ts - 3600, false, 2 from moved where user_id % 3 = 1
+        union all select record_id, user_id, item_id, rating_scaled, ts, ts + 7200, true, 3 from moved where item_id % 5 = 0
+        union all select record_id, user_id, item_id, rating_scaled, ts, ts + 10800, false, 3 from moved where item_id % 50 = 0),
+      newest as (select *, row_number() over (partition by record_id order by moved_at desc, version desc) as rn from log)
+    select state, record_id, user_id, item_id, rating_scaled, strftime(make_timestamp(moved_at * 1000000), '%Y-%m-%dT%H:%M:%SZ') as event_time
+    from newest, (select unnest(['deltas', 'half merged', 'merged']) as state) where rn = 1 and not gone""")
+def _(t: Tables) -> DataFrame:
+    versions = log_versions(t)
+    states = []
+    for state in ("deltas", "half merged", "merged"):
+        log = FeatureLog(t.spark, scratch_path(t.spark, "feature-log"), buckets=8)
+        for number, version in enumerate(versions, 1):
+            log.append(version)
+            if number == (2 if state == "half merged" else 3 if state == "merged" else 0):
+                log.compact()
+        states.append(log.records().withColumn("state", F.lit(state)))
+    return states[0].unionByName(states[1]).unionByName(states[2])
+
+
 @query("k5_write_features", "select user_id, item_id, rating, ts, genres, rating_scaled, user_idx, item_idx, multihot from fx_features")
 def _(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "features")
@@ -195,12 +277,34 @@ def _(t: Tables) -> DataFrame:
     )
 
 
-@query("k8_write_report", "select model, rmse_stars, f1, n_samples from fx_rates where dataset = 'test'")
+@query("k8_write_report", f"""
+    select 'report' as document, r.model, r.rmse_stars, r.f1, r.n_samples, a.text_pct, c.text_pct as cold_text_pct, s.score
+    from fx_rates r join fx_scores s on r.model = s.model join ({ATTENTION_SQL}) a on a.model = r.model and a.dataset = 'test'
+    join ({ATTENTION_SQL}) c on c.model = r.model and c.dataset = 'coldstart' where r.dataset = 'test'
+    union all select * from (select d.document, s.model, s.rmse_stars, r.f1, r.n_samples, a.text_pct, c.text_pct, s.score
+      from fx_scores s join fx_rates r on r.model = s.model and r.dataset = 'test' join ({ATTENTION_SQL}) a on a.model = s.model and a.dataset = 'test'
+      join ({ATTENTION_SQL}) c on c.model = s.model and c.dataset = 'coldstart', (select unnest(['comparison', 'winner']) as document) d
+      qualify row_number() over (partition by d.document order by s.score desc, s.model = 'twoheads' desc) = 1)""")
 def _(t: Tables) -> DataFrame:
-    path = scratch_path(t.spark, "report")
-    W.write_report(report_documents(bundle(t)), path)
-    documents = t.spark.read.schema(R.REPORT).json(path)
-    return documents.select(
-        F.col("mode").alias("model"), "test_pointwise.rmse_stars",
-        F.col("test_pointwise.f1_quality").alias("f1"), "test_pointwise.n_samples",
-    )
+    path = scratch_path(t.spark, "evaluation")
+    write_evaluation(bundle(t), path, at=F.to_timestamp(F.lit("2024-01-02 03:04:05")))
+    reports = R.read_report(t.spark, f"{path}/reports/evaluation", lines=True)
+    comparison = t.spark.read.schema(COMPARISON).json(f"{path}/reports/model_comparison")
+    winner = t.spark.read.schema(WINNER).json(f"{path}/winner")
+    scores = comparison.select(F.explode(F.array(*[
+        F.struct(F.lit(name).alias("model"), F.col(f"{name}_score").alias("score")) for name in MODELS])).alias("s")).select("s.*")
+    rows = reports.join(scores, F.col("mode") == F.col("model")).select(
+        F.lit("report").alias("document"), "model", "summary.rmse_stars", F.col("test_pointwise.f1_quality").alias("f1"),
+        "test_pointwise.n_samples", "test_pointwise.explainability.text_pct",
+        F.col("coldstart_pointwise.explainability.text_pct").alias("cold_text_pct"), F.round("score", 6).alias("score"))
+    of_report = rows.select("model", "n_samples", "cold_text_pct")
+    best = [
+        comparison.select(F.lit("comparison").alias("document"), F.col("winner").alias("model"), "winner_summary.*", F.greatest(
+            *[F.col(f"{name}_score") for name in MODELS]).alias("score")),
+        winner.filter("evaluation_timestamp = '2024-01-02T03:04:05Z' and evaluation_config.num_decoys = 99").select(
+            F.lit("winner").alias("document"), F.col("winner_model").alias("model"), "winner_metrics.*", F.col("winner_score").alias("score")),
+    ]
+    named = best[0].unionByName(best[1]).join(of_report, "model").select(
+        "document", "model", "rmse_stars", F.col("f1_quality").alias("f1"), "n_samples", "explainability.text_pct", "cold_text_pct",
+        F.round("score", 6).alias("score"))
+    return rows.unionByName(named)

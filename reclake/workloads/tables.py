@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,7 +12,8 @@ from reclake.contracts import RATINGS
 from reclake.functions.features import hash_unit
 from reclake.operators.cleaning import conform, has_asset_path
 from reclake.operators.encoders import build_features
-from reclake.operators.splits import by_split, mark_noise, temporal_split
+from reclake.operators.sampling import item_attributes
+from reclake.operators.splits import by_split, mark_noise, temporal_split, union_splits
 from reclake.session import materialize
 from reclake.sources.writers import Encoders
 
@@ -21,11 +25,23 @@ def scaled_truth() -> Column:
     return (F.col("rating") - 0.5) / 4.5
 
 
+def _once(derive: Callable) -> Callable:
+    """Derive a table at the first call and hand out the same one afterwards, as long as the ``Tables`` are in use."""
+
+    @wraps(derive)
+    def kept(self: Tables):
+        if derive.__name__ not in self.derived:
+            self.derived[derive.__name__] = derive(self)
+        return self.derived[derive.__name__]
+
+    return kept
+
+
 class Tables:
     """The given tables by name, and the inputs derived from them."""
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
-        self.spark, self.sf_dir = spark, sf_dir.rstrip("/")
+        self.spark, self.sf_dir, self.derived = spark, sf_dir.rstrip("/"), {}
         # The tables hold times without a zone; both engines take them as UTC.
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
@@ -90,26 +106,36 @@ class Tables:
     def movies(self) -> DataFrame:
         return self.catalog.select("item_id", F.split("genre_words", " ").alias("genres"))
 
+    @_once
     def stored(self) -> DataFrame:
-        """The interactions as a table, as the jobs after the silver step read them."""
+        """The interactions as a table, as the jobs after the silver step read them; derived once, as all tables below."""
         return materialize(self.interactions, "interactions")
 
+    @_once
     def features(self) -> tuple[DataFrame, Encoders]:
         features, encoders = build_features(self.stored(), self.movies)
         return materialize(features, "features"), encoders
 
+    @_once
     def marked(self) -> DataFrame:
-        return mark_noise(self.stored(), MIN_USER, MIN_ITEM)
+        """The interactions with ``kept``: whether the noise filter leaves them."""
+        return materialize(mark_noise(self.stored(), MIN_USER, MIN_ITEM), "marked")
 
+    @_once
     def split(self) -> DataFrame:
         """Clean interactions with the column ``split``."""
-        return temporal_split(self.marked().filter("kept").drop("kept"))
+        return materialize(temporal_split(self.marked().filter("kept").drop("kept")), "split")
 
+    @_once
     def feature_splits(self) -> dict[str, DataFrame]:
         """Feature rows of the clean interactions, by split."""
         features, _ = self.features()
-        clean = mark_noise(features, MIN_USER, MIN_ITEM).filter("kept").drop("kept")
-        return by_split(materialize(temporal_split(clean), "splits"))
+        places = self.split().select("user_id", "item_id", "split")
+        return by_split(materialize(features.join(places, ["user_id", "item_id"]), "splits"))
+
+    @_once
+    def item_attributes(self) -> DataFrame:
+        return materialize(item_attributes(union_splits(*self.feature_splits().values())), "item-attributes")
 
     def scored(self, pairs: DataFrame) -> DataFrame:
         """Stand-in predictions of two models: truth and a seeded draw for the rating, a draw for the interaction."""
@@ -128,9 +154,8 @@ class Tables:
 
     def evaluation(self) -> DataFrame:
         """Predictions on the test split and on the interactions that the noise filter dropped."""
-        marked = materialize(self.marked(), "marked")
-        test = temporal_split(marked.filter("kept").drop("kept")).filter("split = 'test'")
-        cold = marked.filter("not kept").drop("kept")
+        test = self.split().filter("split = 'test'")
+        cold = self.marked().filter("not kept").drop("kept")
         rows = test.withColumn("dataset", F.lit("test")).drop("split").unionByName(
             cold.withColumn("dataset", F.lit("coldstart"))
         )
@@ -165,7 +190,7 @@ class Tables:
             F.when(kind == "error", F.concat(start, F.lit("test_mse="), value, F.lit(";")))
             .when(kind == "signup", F.concat(start, F.lit("train_mse="), value, F.lit("; lr=1.00e-03;")))
             .otherwise(F.concat(
-                start, F.lit("train_mse="), value, F.lit("; val_mse="), value, F.lit("; val_rmse_stars="), value,
+                start, F.lit("train_mse="), value, F.lit("; val_mse=1"), value, F.lit("; val_rmse_stars=2"), value,
                 F.lit("; lr=5.00e-04;"),
             ))
         )

@@ -13,12 +13,55 @@ def unit(*parts: str) -> str:
     return f"({draw(*parts)} / 1152921504606846976.0::double)"
 
 
-def prime_from(n: str) -> str:
-    """SQL for the smallest prime not below ``n``."""
-    return (
-        f"(select min(p) from range(greatest({n}, 2), 2 * greatest({n}, 2) + 1) t(p) "
-        "where not exists (select 1 from range(2, cast(floor(sqrt(p)) as bigint) + 1) d(q) where p % q = 0))"
-    )
+def _permuted(place: str) -> str:
+    """SQL of ``functions.features.permute`` over the columns a (rows), b (cols) and k0 to k7."""
+    halves = [f"({place} // b)", f"({place} % b)"]
+    for step, size in enumerate("abab"):
+        moved, other = step % 2, 1 - step % 2
+        hashed = f"(({halves[other]} + k{2 * step}) % 2147483647 * (k{2 * step + 1} % 2147483646 + 1) % 2147483647)"
+        halves[moved] = f"(({halves[moved]} + {hashed}) % {size})"
+    return f"({halves[0]} * b + {halves[1]})"
+
+
+def drawn(requests: str, key: list[str], pool: str, history: str, seed: int = 42) -> str:
+    """SQL of ``operators.sampling.draw_unseen``: the requests' ``key`` with ``item_id`` and ``draw``."""
+    keys = ", ".join(key)
+    digests = [f"md5('{at}|{seed}|' || {" || '|' || ".join(f'cast(q.{name} as varchar)' for name in key)})" for at in (0, 1)]
+    numbers = ", ".join(
+        f"cast(('0x' || substr({digests[at // 4]}, {8 * (at % 4) + 1}, 8)) as bigint) % 2147483647 as k{at}" for at in range(8))
+    held = f"{keys}, user_id, m, a, b, {', '.join(f'k{at}' for at in range(8))}, draw"
+    held = held if "user_id" not in key else held.replace(" user_id, m,", " m,")
+    return f"""(with recursive
+      pool_ as (select item_id, row_number() over (order by item_id) - 1 as idx from (select distinct item_id from ({pool}))),
+      asked_ as (select * from ({requests})),
+      seen_ as (select distinct h.user_id, l.idx from ({history}) h join pool_ l on h.item_id = l.item_id
+        where h.user_id in (select user_id from asked_)),
+      free_ as (select u.user_id, l.item_id, row_number() over (partition by u.user_id order by l.idx) - 1 as place
+        from (select distinct user_id from asked_) u cross join pool_ l left join seen_ s on s.user_id = u.user_id and s.idx = l.idx
+        where s.user_id is null),
+      sizes_ as (select user_id, count(*) as m, cast(ceil(sqrt(count(*))) as bigint) as a from free_ group by user_id),
+      keyed_ as (select q.*, z.m, z.a, cast(ceil(z.m / z.a) as bigint) as b, {numbers}, unnest(range(least(q.need, z.m))) as draw
+        from asked_ q join sizes_ z on q.user_id = z.user_id),
+      walk_ as (select {held}, {_permuted("draw")} as place from keyed_
+        union all select {held}, {_permuted("place")} from walk_ where place >= m)
+      select {", ".join("w." + name for name in key)}, f.item_id, w.draw from walk_ w join free_ f on f.user_id = w.user_id and f.place = w.place
+      where w.place < w.m)"""
+
+
+def decoys(targets: str, interactions: str, wanted: int = 99, bad_stars: str = "2.5", least: int = 10) -> str:
+    """SQL of ``operators.sampling.decoys`` over all embedded items."""
+    key = ["user_id", "target"]
+    bad = f"select item_id from ({interactions}) where rating_scaled <= ({bad_stars} - 1) / 4"
+    others = f"select item_id from ({interactions}) where item_id not in ({bad})"
+    first = drawn(f"select user_id, target, {wanted} as need from ({targets})", key, bad, interactions)
+    short = f"""select t.user_id, t.target, {wanted} - count(d.item_id) as need from ({targets}) t left join ({first}) d
+        on t.user_id = d.user_id and t.target = d.target group by t.user_id, t.target having count(d.item_id) < {wanted}"""
+    more = drawn(short, key, others, interactions, 43)
+    return f"""select user_id, target, item_id from (
+        select *, count(*) over (partition by user_id, target) as usable from (
+          select user_id, target, item_id from {first} union all select user_id, target, item_id from {more})
+        where item_id in (select vec_id from embeddings))
+      where usable >= {least}"""
 
 
 VIEWS = {
@@ -113,8 +156,8 @@ VIEWS = {
         select user_id % 10 as job, event_id as seq, 'Epoch ' || cast(event_id as varchar) || ' | ' || case
           when event_type = 'error' then 'test_mse=' || cast(value as varchar) || ';'
           when event_type = 'signup' then 'train_mse=' || cast(value as varchar) || '; lr=1.00e-03;'
-          else 'train_mse=' || cast(value as varchar) || '; val_mse=' || cast(value as varchar)
-            || '; val_rmse_stars=' || cast(value as varchar) || '; lr=5.00e-04;' end as message
+          else 'train_mse=' || cast(value as varchar) || '; val_mse=1' || cast(value as varchar)
+            || '; val_rmse_stars=2' || cast(value as varchar) || '; lr=5.00e-04;' end as message
         from events""",
     "fx_history": """
         select user_id as job, event_id as epoch, value as val_mse, cast(floor(value / 50) as double) as lr from events""",
@@ -134,33 +177,10 @@ VIEWS = {
         from (select rec_id, case when json_valid(attention_weights) then cast(attention_weights as json) end as w
           from fx_attention)""",
     "fx_images": "select vec_id as item_id, embedding as img_emb from embeddings where label < 5",
-    "fx_pool": """
-        select item_id, row_number() over (order by item_id) - 1 as idx
-        from (select distinct item_id from fx_split)""",
-    "fx_pool_size": f"""
-        select n, {prime_from("n")} as p from (select count(*) as n from fx_pool)""",
-    "fx_seen": "select s.user_id, l.idx from fx_split s join fx_pool l on s.item_id = l.item_id",
-    "fx_bad_pool": """
-        select item_id, row_number() over (order by item_id) - 1 as idx
-        from (select distinct item_id from fx_feature_split where rating_scaled <= (2.5 - 1) / 4)""",
-    "fx_bad_size": f"""
-        select n, {prime_from("n")} as p from (select count(*) as n from fx_bad_pool)""",
     "fx_targets": """
         select user_id, item_id as target from fx_feature_split
         where split = 'test' and rating_scaled >= (3.5 - 1) / 4 and item_id in (select vec_id from embeddings)""",
-    "fx_decoys": f"""
-        select user_id, target, item_id from (
-          select *, count(*) over (partition by user_id, target) as usable from (
-            select d.user_id, d.target, b.item_id, row_number() over (partition by d.user_id, d.target order by d.draw) as rn
-            from (select t.user_id, t.target, r.draw,
-                ({draw("'start'", "42", "t.user_id", "t.target")} % z.p
-                  + r.draw * ({draw("'stride'", "42", "t.user_id", "t.target")} % (z.p - 1) + 1)) % z.p as idx
-              from fx_targets t, fx_bad_size z, (select unnest(range(p)) as draw from fx_bad_size) r) d
-            join fx_bad_pool b on d.idx = b.idx
-            left join fx_split s on s.user_id = d.user_id and s.item_id = b.item_id
-            where s.user_id is null)
-          where rn <= 99 and item_id in (select vec_id from embeddings))
-        where usable >= 10""",
+    "fx_decoys": decoys("select * from fx_targets", "select user_id, item_id, rating_scaled from fx_feature_split"),
     "fx_ranked": f"""
         select m.model, c.user_id, c.target, c.is_target,
           case when m.model = 'twoheads' then {unit("m.model", "'i'", "c.user_id", "c.item_id")} else 1.0::double end

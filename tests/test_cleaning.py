@@ -72,7 +72,10 @@ def test_adopt_names(spark):
 
 def test_funnel_and_empty_profile(spark):
     df = spark.createDataFrame([(1, 1), (1, 2)], "user_id int, item_id int")
-    assert rows(C.funnel({"all": df, "none": df.filter("false")})) == [(0, "all", 2), (1, "none", 0)]
+    funnel = C.Funnel()
+    kept = funnel.stage("one", funnel.stage("all", df).filter("item_id = 1"))
+    funnel.stage("none", kept.filter("item_id = 2")).write.format("noop").mode("overwrite").save()
+    assert rows(funnel.counts(spark)) == [(0, "all", 2), (1, "one", 1), (2, "none", 0)]
     assert rows(profile(df)) == [(2, 1, 2)] and rows(profile(df.filter("false"))) == [(0, 0, 0)]
 
 

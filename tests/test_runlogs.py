@@ -33,14 +33,13 @@ def test_epoch_series_and_blanks_around_lines(spark):
     assert rows(L.parse_regression_lines(regression).select("train_mse", "val_mse", "val_rmse_stars")) == [(0.1, 0.2, 0.3)]
 
 
-@pytest.mark.parametrize("group_rows", [3, 1000])
-def test_best_epoch_stop_and_drops(history, group_rows):
-    stop = lambda patience: rows(L.early_stop(history, "val_rmse_stars", patience, group_rows=group_rows))
+def test_best_epoch_stop_and_drops(history):
+    stop = lambda patience: rows(L.early_stop(history, "val_rmse_stars", patience))
     assert rows(L.best_epoch(history, "val_rmse_stars")) == [("run", 9, 0.7392546903973816)]
     assert stop(5) == [("run", 14, True)]
     assert stop(6) == [("run", 14, False)]
     assert stop(1) == [("run", 8, True)]
-    assert rows(L.lr_drops(history, group_rows=group_rows).select("job", "epoch")) == [("run", 13)]
+    assert rows(L.lr_drops(history).select("job", "epoch")) == [("run", 13)]
 
 
 def test_first_minimum_wins(spark):
@@ -58,13 +57,12 @@ def test_epoch_lines(spark):
     assert found[1]["epoch"] is None and found[1]["val_mse"] is None
 
 
-@pytest.mark.parametrize("group_rows", [2, 1000])
-def test_both_formats(spark, group_rows):
+def test_both_formats(spark):
     series = L.parse_metric_lines(logs(
         spark, "train_total_loss=1.5;", "train_bce=0.5;", "val_mse=0.4;", "xval_mse=9.0;", "val_mse=9.0; more", "test_bce=7.0;",
         "Epoch 2 | train_total_loss=1.2; train_bce=0.4; val_mse=0.3; val_rmse_stars=0.8; lr=1e-4;", " val_rmse_stars=0.7; ", "val_mse=0.2;",
         "Epoch 3 | test_total_loss=1.0; train_total_loss=8.0;",
-    ), group_rows)
+    ))
     found = {row["epoch"]: row.asDict() for row in series.collect()}
     assert sorted(found) == [1, 2, 3]
     assert [found[at]["val_mse"] for at in (1, 2, 3)] == [0.4, 0.3, 0.2]

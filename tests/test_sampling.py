@@ -1,7 +1,9 @@
 from __future__ import annotations
 
+import hashlib
+import math
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
@@ -41,7 +43,7 @@ def test_draws_are_exact(spark, histories, size):
     everything = frame(spark, histories)
     requests = everything.select("user_id", F.col("item_id").alias("positive"), F.lit(size).alias("need"))
     found = drawn_by(
-        N.draw_unseen(requests, ["user_id", "positive"], everything.select("item_id"), everything, size, 7), ["user_id", "positive"]
+        N.draw_unseen(requests, ["user_id", "positive"], everything, everything, 7), ["user_id", "positive"]
     )
     for user, items in histories.items():
         unseen = set(range(60)) - set(items)
@@ -53,15 +55,58 @@ def test_draws_are_exact(spark, histories, size):
 def test_draws_reach_every_item_about_evenly(spark):
     everything = frame(spark, {user: [user % 40, (user + 1) % 40] for user in range(2000)})
     requests = everything.select("user_id", F.col("item_id").alias("positive"), F.lit(2).alias("need"))
-    draws = N.draw_unseen(requests, ["user_id", "positive"], everything.select("item_id"), everything, 2, 7)
+    draws = N.draw_unseen(requests, ["user_id", "positive"], everything, everything, 7)
     counts = [row["count"] for row in draws.groupBy("item_id").count().collect()]
     assert len(counts) == 40 and min(counts) > 120 and max(counts) < 280
 
 
+@pytest.mark.parametrize("chunk, walk", [(4096, 3), (3, 0)])
+def test_draws_are_the_same_in_chunks_and_without_a_head_start(spark, histories, monkeypatch, chunk, walk):
+    monkeypatch.setattr(N, "_CHUNK", chunk)
+    monkeypatch.setattr(N, "_WALK", walk)
+    everything = frame(spark, histories)
+    requests = everything.select("user_id").distinct().withColumn("need", F.lit(40))
+    found = drawn_by(N.draw_unseen(requests, ["user_id"], everything, everything, 7).orderBy("user_id", "draw"), ["user_id"])
+    for user, items in histories.items():
+        unseen = sorted(set(range(60)) - set(items))
+        assert found.get((user,), []) == [unseen[at] for at in _order(len(unseen), 7, user)[:40]]
+
+
+def _order(size, seed, user):
+    """All places 0 .. size - 1 in the order of the permutation, by plain arithmetic."""
+    prime = 2**31 - 1
+    digests = [hashlib.md5(f"{number}|{seed}|{user}".encode()).hexdigest() for number in (0, 1)]
+    keys = [int(digest[at:at + 8], 16) % prime for digest in digests for at in range(0, 32, 8)]
+    rows = math.ceil(math.sqrt(size))
+    cols = math.ceil(size / rows) if size else 0
+    places = []
+    for start in range(size):
+        place = start
+        while True:
+            halves = list(divmod(place, cols))
+            for step in range(4):
+                hashed = (halves[1 - step % 2] + keys[2 * step]) % prime * (keys[2 * step + 1] % (prime - 1) + 1) % prime
+                halves[step % 2] = (halves[step % 2] + hashed) % (rows, cols)[step % 2]
+            place = halves[0] * cols + halves[1]
+            if place < size:
+                break
+        places.append(place)
+    return places
+
+
+def test_orders_of_a_small_pool_are_about_equally_likely(spark):
+    pool = spark.range(4).toDF("item_id")
+    requests = spark.range(4800).select(F.col("id").alias("user_id"), F.lit(4).alias("need"))
+    nothing = spark.createDataFrame([], "user_id long, item_id long")
+    found = drawn_by(N.draw_unseen(requests, ["user_id"], pool, nothing, 7).orderBy("user_id", "draw"), ["user_id"])
+    counts = Counter(tuple(draws) for draws in found.values())
+    assert len(counts) == 24 and min(counts.values()) > 100 and max(counts.values()) < 330
+
+
 def test_an_empty_pool_gives_no_draws(spark, histories):
     everything = frame(spark, histories)
     requests = everything.select("user_id", F.lit(1).alias("need")).distinct()
-    assert N.draw_unseen(requests, ["user_id"], everything.select("item_id").filter("false"), everything, 1, 7).count() == 0
+    assert N.draw_unseen(requests, ["user_id"], everything.filter("false"), everything, 7).count() == 0
 
 
 def test_negatives_per_positive(spark, histories):

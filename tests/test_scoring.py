@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import hashlib
 import json
 import math
 
@@ -8,8 +9,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from reclake.operators import embeddings as M
+from reclake.operators import itemindex as I
 from reclake.operators import models
 from reclake.operators import scoring as S
+from reclake.operators.selection import leaderboard
 from reclake.workloads.scoring import rule_layer, rule_weights
 
 
@@ -79,7 +82,13 @@ def test_item_tower_and_pairs(spark, draw):
     pairs = spark.createDataFrame([(1, 3), (1, 4), (1, 99)], "user_id long, item_id long")
     head = ([0.1, 0.2, 0.3, 0.4], 0.05)
     plain = S.score_pairs(pairs, users, scored, head)
-    assert "p_inter" not in plain.columns and plain.count() == 2
+    assert "p_inter" not in plain.columns and plain.count() == 3
+    # item 99 has no vector: the score of a zero vector, and no attention
+    unknown = plain.filter("item_id = 99").first()
+    assert unknown["p_rating"] == pytest.approx(1 / (1 + math.exp(-0.05))) and unknown["attention_weights"] is None
+    best = pairs.withColumn("rank", F.lit(1))
+    table = S.recommendations(best, users, scored, head, head)
+    assert table.columns == ["user_id", "item_id", "rank", "stars", "attention_weights", "hybrid_score"] and table.count() == 3
     row = S.score_pairs(pairs, users, scored, head, head).filter("item_id = 3").first()
     value = 1 / (1 + math.exp(-(np.array([1.0, 0.5, 0.0, 2.0]) * final[3] @ np.array(head[0]) + 0.05)))
     assert row["p_rating"] == pytest.approx(value) and row["stars"] == pytest.approx(value * 4 + 1)
@@ -116,7 +125,62 @@ def test_text_vectors(spark):
     tf, idf = {"red": 2, "ring": 1}, {"red": math.log(5 / 4), "ring": math.log(5 / 2)}
     weights = {word: tf[word] * idf[word] for word in tf}
     norm = math.sqrt(sum(value * value for value in weights.values()))
-    assert sorted(found[1][found[1] > 0]) == pytest.approx(sorted(value / norm for value in weights.values()), abs=1e-5)
+    assert sorted(abs(x) for x in found[1] if x) == pytest.approx(sorted(value / norm for value in weights.values()), abs=1e-5)
+    digest = hashlib.md5(b"ring").hexdigest()
+    assert found[1][int(digest[:8], 16) % 512] * (1 if digest[8] <= "7" else -1) > 0
+    # every text holds the only term, or none does
+    assert not np.array(M.embed_text(spark.createDataFrame([(1, "a"), (2, "A")], "item_id long, text string"), dim=4).first()["text_emb"]).any()
+    assert M.embed_text(df.filter("false"), dim=4).count() == 0
+
+
+@pytest.fixture(scope="module")
+def cloud(draw):
+    """Items of very different lengths, users that look their way."""
+    centres = draw.normal(size=(12, 8))
+    items = centres[draw.integers(0, 12, 600)] * draw.uniform(0.2, 3, (600, 1)) + draw.normal(size=(600, 8)) * 0.2
+    users = centres[draw.integers(0, 12, 90)] + draw.normal(size=(90, 8)) * 0.3
+    return users, items
+
+
+@pytest.mark.parametrize("block", [20, 2048])
+def test_item_index_against_the_exact_search(spark, cloud, block):
+    users, items = cloud
+    as_rows = lambda part: [(at, [float(x) for x in row]) for at, row in enumerate(part)]
+    asked = spark.createDataFrame(as_rows(users), "user_id long, vector array<double>").repartition(3)
+    known = spark.createDataFrame(as_rows(items), "item_id long, vector array<double>").repartition(3)
+    seen = spark.createDataFrame([(user, item) for user in range(0, 90, 2) for item in range(user, 600, 7)], "user_id long, item_id long")
+    index = I.fit_item_index(known, cells=25)
+    assert index.items.count() == 600 and index.items.select("cell").distinct().count() > 10
+    exact = S.recommend_top_k(asked, known, seen, 10)
+    found = I.search_top_k(asked, index, seen, 10, probes=8, block=block)
+    assert found.groupBy("user_id").count().filter("count <> 10").count() == 0
+    assert found.join(seen, ["user_id", "item_id"], "left_semi").count() == 0
+    scores = users @ items.T
+    assert all(row["score"] == pytest.approx(scores[row["user_id"], row["item_id"]]) for row in found.collect())
+    assert I.recall_at_k(found, exact).first()["recall"] > 0.9
+    # all cells probed: the exact answer
+    everything = I.search_top_k(asked, index, seen, 10, probes=25, block=block)
+    picked = lambda df: sorted((row["user_id"], row["rank"], row["item_id"]) for row in df.collect())
+    assert picked(everything) == picked(exact)
+
+
+def test_item_index_of_few_items(spark):
+    some = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, [0.0, 0.0])], "item_id long, vector array<double>")
+    users = spark.createDataFrame([(7, [2.0, 1.0])], "user_id long, vector array<double>")
+    seen = spark.createDataFrame([(7, 2)], "user_id long, item_id long")
+    found = I.search_top_k(users, I.fit_item_index(some), seen, 5, probes=9)
+    assert [(row["item_id"], row["rank"]) for row in found.orderBy("rank").collect()] == [(1, 1), (3, 2)]
+    assert I.search_top_k(users, I.fit_item_index(some.filter("false")), seen, 5).count() == 0
+
+
+def test_item_index_makes_no_pairs_of_all(spark, cloud):
+    users, items = cloud
+    as_rows = lambda part: [(at, [float(x) for x in row]) for at, row in enumerate(part)]
+    asked = spark.createDataFrame(as_rows(users), "user_id long, vector array<double>")
+    index = I.fit_item_index(spark.createDataFrame(as_rows(items), "item_id long, vector array<double>"), cells=25)
+    plan = I.search_top_k(asked, index, spark.createDataFrame([], "user_id long, item_id long"), 10, probes=3)._jdf.queryExecution().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    assert I.probe(asked, index, 3).count() == 90 * 3
 
 
 def test_assembled_vectors(spark):
@@ -144,8 +208,55 @@ def test_rating_model_finds_the_factors(planted, spark):
     assert error < 0.06 and scored.count() == val.count()
     cold = spark.createDataFrame([(999, 1)], "user_idx long, item_idx long")
     assert models.predict_ratings(model, cold, 0.5).first()["p_rating"] == 0.5
-    trials = models.tune(train, val, [2, 4], [0.01, 5.0], iterations=4)
-    assert trials.count() == 4 and trials.orderBy("objective").first()["reg"] == 0.01
+
+
+def test_search_by_successive_halving(planted, spark):
+    train, val = planted.randomSplit([0.8, 0.2], 3)
+    trials = models.tune(train, val, [2, 4, 5], [0.01, 5.0], iterations=8, parallel=3)
+    by_rung = {rung: [row for row in trials.collect() if row["rung"] == rung] for rung in range(3)}
+    assert [len(by_rung[rung]) for rung in range(3)] == [6, 2, 1] and [by_rung[rung][0]["iterations"] for rung in range(3)] == [2, 4, 8]
+    for rung in range(2):
+        stayed = {row["trial"] for row in by_rung[rung] if row["survived"]}
+        assert stayed == {row["trial"] for row in by_rung[rung + 1]}
+        assert max(row["objective"] for row in by_rung[rung] if row["survived"]) <= min(row["objective"] for row in by_rung[rung] if not row["survived"])
+    assert leaderboard(trials.filter("rung = 2"), "objective", ["rank", "reg"], ["trial"]).first()["reg"] == 0.01
+    assert [(row["trial"], row["rank"], row["reg"]) for row in sorted(by_rung[0], key=lambda row: row["trial"])][:3] == [(1, 2, 0.01), (2, 2, 5.0), (3, 4, 0.01)]
+
+
+def test_folded_in_factors_solve_the_normal_equations(planted, spark):
+    known = planted.filter("user_idx < 30 and item_idx < 25")
+    model = models.fit_rating_model(known, rank=3, reg=0.01)
+    later = planted.filter("(user_idx < 30) <> (item_idx < 25)")
+    users, items = models.complete_factors(model, later, 0.01)
+    assert users.count() == 40 and items.count() == 30
+    factors = {row["id"]: np.array(row["features"]) for row in model.itemFactors.collect()}
+    found = {row["id"]: np.array(row["features"]) for row in users.collect()}
+    for user in range(30, 40):
+        own = [(factors[row["item_idx"]], row["rating_scaled"]) for row in later.filter(F.col("user_idx") == user).collect() if row["item_idx"] in factors]
+        left = sum(np.outer(v, v) for v, _ in own) + 0.01 * len(own) * np.eye(3)
+        assert found[user] == pytest.approx(np.linalg.solve(left, sum(v * r for v, r in own)), abs=1e-4)
+    # users and items that neither fit knew: folded-in factors predict them
+    both = planted.filter("user_idx >= 30 and item_idx >= 25")
+    scored = both.join(users.withColumnsRenamed({"id": "user_idx", "features": "u"}), "user_idx").join(
+        items.withColumnsRenamed({"id": "item_idx", "features": "v"}), "item_idx")
+    errors = [np.dot(row["u"], row["v"]) - row["rating_scaled"] for row in scored.collect()]
+    assert len(errors) == both.count() and np.sqrt(np.mean(np.square(errors))) < 0.1
+    assert models.fold_in(later.filter("false"), model.itemFactors, "user_idx", "item_idx").count() == 0
+
+
+def test_two_heads_answer_every_pair(planted, spark):
+    factors = models.fit_rating_model(planted, rank=3, reg=0.01)
+    heads = models.fit_two_heads(planted.withColumn("rating_scaled", F.when(F.col("rating_scaled") > 0.4, F.col("rating_scaled")).otherwise(0.0)), factors)
+    pairs = spark.createDataFrame([(1, 1), (999, 1), (1, 999), (999, 999)], "user_idx long, item_idx long")
+    scored = {(row["user_idx"], row["item_idx"]): row for row in models.predict_two_heads(heads, pairs).collect()}
+    assert len(scored) == 4
+    base = 1 / (1 + math.exp(-heads.interaction.intercept))
+    assert all(scored[key]["p_inter"] == pytest.approx(base) for key in scored if 999 in key)
+    users = spark.createDataFrame([(999, [1.0, 1.0, 1.0])], "id long, features array<float>").unionByName(
+        factors.userFactors.select(F.col("id").cast("long").alias("id"), "features"))
+    folded = models.predict_two_heads(models.with_factors(heads, users, factors.itemFactors), pairs)
+    answers = {(row["user_idx"], row["item_idx"]): row["p_inter"] for row in folded.collect()}
+    assert answers[999, 1] != answers[999, 999] == pytest.approx(base)
 
 
 def test_two_heads(planted):

@@ -2,18 +2,23 @@ from __future__ import annotations
 
 import json
 import os
+import random
 import subprocess
 import sys
+from collections import Counter
 from pathlib import Path
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from reclake.contracts import LINKS, RATINGS
 from reclake.operators.encoders import build_features
 from reclake.session import checkpoint_root, materialize, scratch_path
 from reclake.sources import readers as R
+from reclake.sources import snapshots as S
 from reclake.sources import writers as W
+from reclake.sources.featurelog import FeatureLog
 from tests.conftest import rows
 
 
@@ -59,14 +64,79 @@ def test_table_first_then_path(spark, tmp_path):
     table = f"links_{tmp_path.name}".replace("-", "_")
     (tmp_path / "l.csv").write_text("item_id,ext_id\n7,8\n")
     assert rows(R.read_table_or_path(spark, table, str(tmp_path), "csv", LINKS)) == [(7, 8)]
-    assert W.replace_table(df, table, path) == 1
+    assert S.replace_table(df, table, path) == 1
     assert rows(R.read_table_or_path(spark, table, str(tmp_path), "csv", LINKS)) == [(1, 2)]
-    assert W.replace_table(df.union(df).select("ext_id", "item_id"), table, path) == 2
+    assert S.replace_table(df.union(df).select("ext_id", "item_id"), table, path) == 2
     assert rows(spark.table(table)) == [(1, 2), (1, 2)]
     assert rows(R.sql_table(spark, f"select count(*) from {table}")) == [(2,)]
     spark.sql(f"drop table {table}")
 
 
+@pytest.fixture
+def kept_table(spark, tmp_path):
+    table = f"kept_{tmp_path.name}".replace("-", "_")
+    S.replace_table(spark.createDataFrame([(n, n) for n in range(5)], LINKS), table, str(tmp_path / "w"))
+    yield table
+    spark.sql(f"drop table {table}")
+
+
+def test_a_failing_replace_leaves_the_old_rows(spark, kept_table):
+    broken = spark.range(0, 2000, 1, 8).select(
+        F.col("id").alias("item_id"), F.when(F.col("id") == 1999, F.raise_error(F.lit("no"))).otherwise(F.col("id")).alias("ext_id"))
+    for bad in (broken, spark.createDataFrame([(1, "x")], "item_id long, ext_id string"), spark.range(3)):
+        with pytest.raises(PySparkException):
+            S.replace_table(bad, kept_table)
+        assert rows(spark.table(kept_table)) == [(n, n) for n in range(5)]
+    assert [r["version"] for r in S.snapshots(spark, kept_table).collect()] == [1]
+
+
+def test_readers_keep_their_rows_during_a_replace(spark, kept_table):
+    before = spark.table(kept_table)
+    assert before.count() == 5
+    assert S.replace_table(spark.createDataFrame([(9, 9)], LINKS), kept_table) == 1
+    assert rows(before) == [(n, n) for n in range(5)] and rows(spark.table(kept_table)) == [(9, 9)]
+    # a table may be replaced by rows read from itself
+    assert S.replace_table(spark.table(kept_table).union(spark.table(kept_table)), kept_table) == 2
+    assert S.replace_table(spark.createDataFrame([], LINKS), kept_table) == 0 and rows(spark.table(kept_table)) == []
+
+
+def test_versions_can_be_read_restored_and_expired(spark, kept_table):
+    for n in (6, 7, 8):
+        S.replace_table(spark.createDataFrame([(n, n)], LINKS), kept_table)
+    found = {r["version"]: r["current"] for r in S.snapshots(spark, kept_table).collect()}
+    assert found == {1: False, 2: False, 3: False, 4: True}
+    assert rows(S.read_snapshot(spark, kept_table, 2)) == [(6, 6)]
+    S.restore_snapshot(spark, kept_table, 1)
+    assert spark.table(kept_table).count() == 5
+    assert S.replace_table(spark.createDataFrame([(5, 5)], LINKS), kept_table) == 1
+    assert sorted(r["version"] for r in S.snapshots(spark, kept_table).collect()) == [1, 2, 3, 4, 5]
+    S.restore_snapshot(spark, kept_table, 1)
+    assert S.expire_snapshots(spark, kept_table, keep=2) == [2, 3]  # 1 is the current one
+    assert spark.table(kept_table).count() == 5
+    with pytest.raises(ValueError, match="no version 2"):
+        S.read_snapshot(spark, kept_table, 2)
+
+
+def test_another_writer_is_noticed(spark, kept_table, monkeypatch):
+    places = iter([S.table_location(spark, kept_table), "elsewhere"])
+    monkeypatch.setattr(S, "table_location", lambda *_: next(places))
+    with pytest.raises(S.ReplacedMeanwhile):
+        S.replace_table(spark.createDataFrame([(1, 1)], LINKS), kept_table)
+    assert spark.table(kept_table).count() == 5
+
+
+def test_tables_made_elsewhere_are_taken_over(spark, tmp_path):
+    table = f"plain_{tmp_path.name}".replace("-", "_")
+    spark.range(3).write.option("path", str(tmp_path / "plain")).saveAsTable(table)
+    assert S.replace_table(spark.range(7), table) == 7 and spark.table(table).count() == 7
+    assert spark.read.parquet(str(tmp_path / "plain")).count() == 3
+    spark.sql(f"drop table {table}")
+    spark.range(3).withColumn("p", F.lit(1)).write.partitionBy("p").option("path", str(tmp_path / "parts")).saveAsTable(table)
+    with pytest.raises(ValueError, match="partitioned"):
+        S.replace_table(spark.table(table), table)
+    spark.sql(f"drop table {table}")
+
+
 def test_assets_and_inventory(spark, tmp_path):
     for name in ("1.jpg", "x.jpg", "2.png", "30.jpg", "4.jpg.tmp"):
         (tmp_path / "posters").mkdir(exist_ok=True)
@@ -80,10 +150,92 @@ def test_assets_and_inventory(spark, tmp_path):
     assert found == [("posters", 5, 15, True), ("train", 0, 0, False)]
 
 
-def test_compact(spark, tmp_path):
-    spark.range(1000).repartition(40).write.parquet(str(tmp_path / "p"))
-    df = spark.read.option("recursiveFileLookup", True).parquet(str(tmp_path / "p")).repartition(40)
-    assert R.compact(df, 2, 4).rdd.getNumPartitions() == 20 and R.compact(df).rdd.getNumPartitions() == 4
+def test_first_fit_decreasing():
+    draw = random.Random(8)
+    for size in (0, 1, 2, 50, 333):
+        lengths = [draw.randrange(0, 100) for _ in range(size)]
+        bins = []
+        for at in sorted(range(size), key=lambda at: -lengths[at]):
+            room = next((n for n, held in enumerate(bins) if sum(lengths[x] for x in held) + lengths[at] <= 100), None)
+            if room is None:
+                bins.append([])
+                room = len(bins) - 1
+            bins[room].append(at)
+        wanted = {at: n for n, held in enumerate(bins) for at in held}
+        assert dict(enumerate(R.first_fit(lengths, 100))) == wanted
+
+
+@pytest.mark.parametrize("group_files", [10, 50_000])
+def test_files_of_mixed_sizes_are_packed(spark, group_files):
+    draw = random.Random(9)
+    lengths = [draw.choice([0, 10, 300, 999, 1000, 1001, 5500]) for _ in range(80)]
+    files = spark.createDataFrame([(f"f{at}", length) for at, length in enumerate(lengths)], "file string, length long")
+    packed = R.pack_files(files, 1000, group_files).collect()
+    assert sorted(row["file"] for row in packed) == sorted(f"f{at}" for at in range(80))
+    held = Counter()
+    for row in packed:
+        assert row["pieces"] == max(1, -(-row["length"] // 1000))
+        for piece in range(row["pieces"]):
+            held[row["bin"] + piece] += row["length"] / row["pieces"]
+    assert max(held.values()) <= 1000
+    if group_files > 80:
+        assert len(held) <= sum(lengths) / 1000 * 1.3 + 1
+    assert R.pack_files(files.filter("false"), 1000).count() == 0
+
+
+def test_packed_reads_hold_every_row_in_few_partitions(spark, tmp_path):
+    path = str(tmp_path / "many files")
+    spark.range(1000).repartition(40).write.parquet(path)
+    spark.range(1000, 60_000).coalesce(1).write.mode("append").parquet(path)
+    largest = max(file.stat().st_size for file in (tmp_path / "many files").glob("*.parquet"))
+    packed = R.read_packed(spark, path, 20_000)
+    assert rows(packed) == [(n,) for n in sorted(range(60_000), key=lambda n: str((n,)))]
+    packed.write.parquet(str(tmp_path / "few"))
+    sizes = [file.stat().st_size for file in (tmp_path / "few").glob("*.parquet")]
+    assert len(sizes) < 40 and len(sizes) > largest // 20_000
+
+
+def test_csv_files_with_different_headers(spark, tmp_path):
+    (tmp_path / "a b").mkdir()
+    (tmp_path / "a b" / "one [1].csv").write_text("userId,movieId,rating,timestamp\n1,2,3.5,4\n")
+    (tmp_path / "two.csv").write_text("\ufefftimestamp,note,rating,movieId,userId\r\n8,x,1.5,6,5\r\n")
+    (tmp_path / "three.csv").write_text("user_id,item_id,rating,ts\n9,9,bad,9\n10,10\n")
+    (tmp_path / "four.csv").write_text("userId,movieId,rating,timestamp\n11,12,0.5,14\n")
+    (tmp_path / "empty.csv").write_text("")
+    (tmp_path / "only a header.csv").write_text("rating,userId,movieId,timestamp\n")
+    assert len(R.csv_headers(spark, str(tmp_path))) == 4
+    found = R.read_csv_prefix(spark, str(tmp_path), RATINGS)
+    assert found.schema.fieldNames() == RATINGS.fieldNames()
+    assert {tuple(row) for row in found.collect()} == {(1, 2, 3.5, 4), (5, 6, 1.5, 8), (9, 9, None, 9), (10, 10, None, None), (11, 12, 0.5, 14)}
+    (tmp_path / "short.csv").write_text("userId,movieId\n1,2\n")
+    with pytest.raises(ValueError, match="rating"):
+        R.read_csv_prefix(spark, str(tmp_path), RATINGS)
+
+
+def test_csv_headers_are_found_in_large_files(spark, tmp_path):
+    spark.range(20_000).selectExpr("id as item_id", "id as ext_id").coalesce(1).write.option("header", True).csv(str(tmp_path / "x"))
+    spark.range(20_000, 20_010).selectExpr("id as ext_id", "id as item_id").coalesce(1).write.option("header", True).csv(str(tmp_path / "y"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "10000")
+    try:
+        assert R.read_csv_prefix(spark, str(tmp_path), LINKS).filter("item_id = ext_id").count() == 20_010
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_parquet_trees_next_to_other_files(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "t" / "data"))
+    (tmp_path / "t" / "metadata").mkdir()
+    (tmp_path / "t" / "metadata" / "v1.json").write_text("{}")
+    schema = spark.range(1).schema
+    for given in (None, schema):
+        assert R.read_parquet_tree(spark, str(tmp_path / "t"), given).count() == 3
+    odd = tmp_path / "odd names"
+    odd.mkdir()
+    for at, file in enumerate((tmp_path / "t" / "data").glob("*.parquet")):
+        (odd / f"part{at}").write_bytes(file.read_bytes())
+    assert R.read_parquet_tree(spark, str(odd)).count() == 3
+    with pytest.raises(PySparkException):
+        R.read_parquet_tree(spark, str(tmp_path / "nowhere"))
 
 
 def test_training_documents_and_reports(spark, tmp_path):
@@ -119,6 +271,69 @@ def test_feature_sinks(spark, tmp_path):
     assert rows(W.read_embeddings(spark, str(tmp_path / "vectors"))) == [(1, [1.0], [2.0])]
 
 
+LOGGED = "record_id string, event_time string, value int, is_deleted boolean"
+
+
+def _kept(log, commit=None):
+    return {r["record_id"]: r["value"] for r in log.records(commit).collect()}
+
+
+def test_feature_log_versions_deletes_and_compaction(spark, tmp_path):
+    log = FeatureLog(spark, str(tmp_path / "log"), buckets=4)
+    with pytest.raises(ValueError, match="empty"):
+        log.records()
+    record = lambda *given: spark.createDataFrame(given, LOGGED)
+    assert log.append(record(*[(f"r{n}", "2024-01-01", n, False) for n in range(20)])) == 1
+    log.append(record(("r1", "2024-01-03", 100, False), ("r2", "2023-12-31", 200, False), ("r3", "2024-01-01", 300, False)))
+    wanted = {f"r{n}": n for n in range(20)} | {"r1": 100, "r3": 300}  # r2 came late, r3 is as old and was written later
+    assert _kept(log) == wanted
+    log.append(record(("r1", "2024-01-02", None, True), ("r4", "2024-01-02", None, True), ("r5", "2024-01-02", None, True)))
+    log.append(record(("r5", "2024-01-04", 500, False)))
+    del wanted["r4"]
+    wanted["r5"] = 500  # r1 was deleted before its newest version
+    assert _kept(log) == wanted
+    assert log.compact() == 5 and _kept(log) == wanted and {kind for kind, _, _ in log.parts()} == {"base"}
+    assert log.compact() == 5
+    assert _kept(log, 4) == wanted and len(_kept(log, 2)) == 20
+
+
+def test_feature_log_rewrites_touched_buckets_only(spark, tmp_path):
+    log = FeatureLog(spark, str(tmp_path / "log"), buckets=8)
+    log.append(spark.createDataFrame([(f"r{n}", "2024-01-01", n, False) for n in range(200)], LOGGED))
+    log.compact()
+    before = set(log.parts())
+    log.append(spark.createDataFrame([("r7", "2024-01-02", -7, False)], LOGGED))
+    log.compact()
+    after = set(log.parts())
+    assert len(before) == len(after) == 8 and len(before & after) == 7
+    gone = log.vacuum()
+    assert len(gone) == 10 and len(_kept(log)) == 200 and _kept(log)["r7"] == -7  # 8 + 1 deltas and the old bucket
+
+
+def test_feature_log_without_survivors_and_with_two_writers(spark, tmp_path):
+    log = FeatureLog(spark, str(tmp_path / "log"), buckets=2)
+    log.append(spark.createDataFrame([("a", "2024-01-01", 1, False)], LOGGED))
+    log.append(spark.createDataFrame([("a", "2024-01-02", None, True)], LOGGED))
+    log.compact()
+    assert log.parts() == [] and log.last_commit() == 3
+    log.append(spark.createDataFrame([("b", "2024-01-01", 2)], "record_id string, event_time string, value int"))
+    assert _kept(log) == {"b": 2}
+    with pytest.raises(PySparkException):
+        log._commit(4, [])  # the other writer was first
+
+
+def test_a_failing_append_changes_nothing(spark, tmp_path):
+    log = FeatureLog(spark, str(tmp_path / "log"), buckets=2)
+    log.append(spark.createDataFrame([("a", "2024-01-01", 1, False)], LOGGED))
+    with pytest.raises(PySparkException):
+        log.append(spark.range(50).select(
+            F.col("id").cast("string").alias("record_id"), F.lit("2025-01-01").alias("event_time"),
+            F.when(F.col("id") == 49, F.raise_error(F.lit("no")).cast("int")).otherwise(1).alias("value")))
+    assert log.last_commit() == 1 and _kept(log) == {"a": 1}
+    log.append(spark.createDataFrame([("b", "2024-01-01", 2, False)], LOGGED))
+    assert _kept(log) == {"a": 1, "b": 2}
+
+
 def test_splits_json_and_reports(spark, tmp_path):
     df = spark.range(10).withColumn("text", F.lit("año"))
     W.write_splits({"train": df, "val": df.limit(2)}, str(tmp_path / "s"), max_files=1)

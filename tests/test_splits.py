@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from reclake.contracts import RATINGS
 from reclake.operators import encoders as F_
 from reclake.operators import splits as W
-from reclake.operators.positions import block_rank, group_positions, group_quantiles, running
+from reclake.operators.positions import group_positions, group_quantiles, running
 from reclake.workloads.tables import Tables
 from tests.conftest import rows
 
@@ -36,35 +36,42 @@ def expected_split(data):
     return out
 
 
-@pytest.mark.parametrize("group_rows", [10, 100, 10_000])
-def test_temporal_split_is_the_same_for_any_group_limit(interactions, group_rows):
-    split = W.temporal_split(interactions, group_rows=group_rows)
+@pytest.fixture(params=["many blocks", "few blocks"])
+def blocks(request, spark):
+    """Small partitions are merged by adaptive execution, unless it is told not to."""
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(name, str(request.param == "few blocks").lower())
+    yield
+    spark.conf.unset(name)
+
+
+def test_temporal_split_is_the_same_for_any_blocks(interactions, blocks):
+    split = W.temporal_split(interactions)
     found = {(row["user_id"], row["item_id"]): row["split"] for row in split.collect()}
     assert found == expected_split(interactions.collect())
     assert split.columns == [*RATINGS.fieldNames(), "split"]
 
 
-def test_block_rank_spreads_one_group(spark):
+def test_positions_of_one_group(spark, blocks):
     df = spark.range(3000).select(F.lit(1).alias("g"), (F.col("id") * 7919 % 3001).alias("x")).repartition(5)
-    ranked = block_rank(df, ["g"], ["x"], "place")
+    ranked = group_positions(df, ["g"], ["x"], "place")
     values = sorted(row["x"] for row in df.collect())
     assert {row["x"]: row["place"] for row in ranked.collect()} == {x: at for at, x in enumerate(values, 1)}
 
 
-def test_group_positions_with_sizes(interactions):
-    for limit in (20, 10_000):
-        placed = group_positions(interactions, ["user_id"], ["ts", "item_id"], "place", "size", limit)
-        counts = Counter(row["user_id"] for row in interactions.collect())
-        assert all(row["size"] == counts[row["user_id"]] and 1 <= row["place"] <= row["size"] for row in placed.collect())
-        assert placed.select("user_id", "place").distinct().count() == placed.count() == interactions.count()
+def test_group_positions_with_sizes(interactions, blocks):
+    placed = group_positions(interactions, ["user_id"], ["ts", "item_id"], "place", "size")
+    counts = Counter(row["user_id"] for row in interactions.collect())
+    assert all(row["size"] == counts[row["user_id"]] and 1 <= row["place"] <= row["size"] for row in placed.collect())
+    assert placed.select("user_id", "place").distinct().count() == placed.count() == interactions.count()
 
 
-@pytest.mark.parametrize("how", ["min", "max", "last"])
-def test_running_values_of_a_large_group(spark, how):
+@pytest.mark.parametrize("how", ["min", "max", "sum", "last"])
+def test_running_values_of_a_large_group(spark, how, blocks):
     draw = random.Random(2)
     data = [(0, at, draw.choice([None, *range(50)])) for at in range(900)] + [(user, at, draw.randrange(9)) for user in range(1, 9) for at in range(7)]
     df = spark.createDataFrame(data, "g int, at int, x int").repartition(6)
-    fold = {"min": min, "max": max, "last": lambda seen: seen[-1]}[how]
+    fold = {"min": min, "max": max, "sum": sum, "last": lambda seen: seen[-1]}[how]
     expected = {}
     for group in range(9):
         seen = []
@@ -72,9 +79,8 @@ def test_running_values_of_a_large_group(spark, how):
             known = seen if how == "last" else [value for value in seen if value is not None]
             expected[group, at] = fold(known) if known else None
             seen.append(x)
-    for limit in (100, 10_000):
-        found = running(df, ["g"], "at", "x", how, "before", limit)
-        assert {(row["g"], row["at"]): row["before"] for row in found.collect()} == expected
+    found = running(df, ["g"], "at", "x", how, "before")
+    assert {(row["g"], row["at"]): row["before"] for row in found.collect()} == expected
 
 
 def test_quantiles(interactions):
