@@ -199,10 +199,10 @@ def _span(start: int, kind: int, end: int, disclosure: float | None = None) -> d
     return {"start": start, "kind": kind, "end": end, "disclosure": disclosure}
 
 
-def mark(docs: DataFrame, terms: DataFrame, max_broadcast: int = MAX_BROADCAST_TERMS) -> DataFrame:
+def mark(docs: DataFrame, terms: DataFrame, max_broadcast: int = MAX_BROADCAST_TERMS, clean: bool = False) -> DataFrame:
     """Per row ``doc_id`` and ``spans``: base spans and every place of the ``terms`` (``term``, ``disclosure``), each once.
 
-    Up to ``max_broadcast`` terms are sent to the tasks, which look up all words of all documents. More are joined with the
+    With ``clean`` also ``text``, sanitised in the same pass over the row, so that every row gets the spans of its own text. Up to ``max_broadcast`` terms are sent to the tasks, which look up all words of all documents. More are joined with the
     words by a shuffle; what is found comes back by two hashes of the text, so that no text is shuffled.
     """
     term_kind = KINDS.index("term")
@@ -215,16 +215,17 @@ def mark(docs: DataFrame, terms: DataFrame, max_broadcast: int = MAX_BROADCAST_T
             if known:
                 spans += [_span(s, term_kind, e, known[t]) for t, s, e in _terms_between(text, base) if t in known]
                 spans.sort(key=lambda span: (span["start"], span["kind"], span["end"]))
-            return {"spans": spans}
+            return {"spans": spans, "text": sanitise_text(text, spans)} if clean else {"spans": spans}
 
-        return _run(docs, all_spans, SPANS)
+        return _run(docs, all_spans, f"text string, {SPANS}" if clean else SPANS)
 
     def digests(text: str) -> dict:
         data = text.encode("utf-8", "surrogatepass")
         return {"_one": xxhash.xxh64_intdigest(data) - (1 << 63), "_two": xxhash.xxh64_intdigest(data, 7) - (1 << 63)}
 
     def base_only(text: str) -> dict:
-        return {**digests(text), "_base": [_span(*span) for span in base_spans(text)]}
+        found = {**digests(text), "_base": [_span(*span) for span in base_spans(text)]}
+        return {**found, "_text": text} if clean else found
 
     def words(text: str) -> dict:
         places: dict[str, list[dict]] = {}
@@ -238,9 +239,25 @@ def mark(docs: DataFrame, terms: DataFrame, max_broadcast: int = MAX_BROADCAST_T
     added = marked.groupBy("_one", "_two").agg(F.collect_set(F.struct(
         F.col("_p.start").alias("start"), F.lit(term_kind).alias("kind"), F.col("_p.end").alias("end"), "disclosure",
     )).alias("_added"))
-    based = _run(docs, base_only, "_one long, _two long, " + SPANS.replace("spans", "_base", 1))
+    based = _run(docs, base_only, "_one long, _two long, " + SPANS.replace("spans", "_base", 1) + (", _text string" if clean else ""))
     both = F.when(F.col("_added").isNull(), F.col("_base")).otherwise(F.array_sort(F.concat("_base", "_added")))
-    return based.join(added, ["_one", "_two"], "left").select("doc_id", both.alias("spans"))
+    joined = based.join(added, ["_one", "_two"], "left")
+    if not clean:
+        return joined.select("doc_id", both.alias("spans"))
+    joined = joined.select("doc_id", F.col("_text").alias("text"), both.alias("spans"))
+
+    def replace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [sanitise_text(*row) for row in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string()), batch.column(2)], ["doc_id", "text", "spans"])
+
+    return joined.mapInArrow(replace, joined.schema)
+
+
+def _all_revealing(docs: DataFrame, min_contexts: int, threshold: float, max_broadcast: int) -> DataFrame:
+    findings = materialize(detect(docs), "private")
+    shown = revealing_terms(docs, findings, min_contexts, threshold, max_broadcast)
+    return materialize(shown.groupBy("term").agg(F.max("disclosure").alias("disclosure")), "revealing")
 
 
 def find_private(
@@ -254,10 +271,7 @@ def find_private(
     highest disclosure. Null or empty text: no spans. A missing id is kept as it is. Repeated rows count as documents of
     their own and get the same spans. Other columns are dropped.
     """
-    findings = materialize(detect(docs), "private")
-    shown = revealing_terms(docs, findings, min_contexts, threshold, max_broadcast)
-    terms = materialize(shown.groupBy("term").agg(F.max("disclosure").alias("disclosure")), "revealing")
-    return mark(docs, terms, max_broadcast)
+    return mark(docs, _all_revealing(docs, min_contexts, threshold, max_broadcast), max_broadcast)
 
 
 def _shape(word: str) -> str:
@@ -281,19 +295,15 @@ def sanitise_text(text: str, spans: list[dict], remove_at: float = REMOVE_AT) ->
     return "".join([*out, text[at:]])
 
 
-def sanitise(docs: DataFrame, **options) -> DataFrame:
-    """``doc_id``, ``text`` with what ``find_private`` found taken out, and ``spans``; options are those of ``find_private``.
+def sanitise(
+    docs: DataFrame, min_contexts: int = MIN_CONTEXTS, threshold: float = GENERALISE_AT,
+    max_broadcast: int = MAX_BROADCAST_TERMS,
+) -> DataFrame:
+    """``doc_id``, ``text`` with what :func:`find_private` finds taken out, and ``spans`` in the text as it was.
 
-    Rows are matched by id; rows that repeat an id must have the same text.
+    A row is cleaned by the spans of its own text, in the pass that finds them; so ids may be missing or stand for several texts.
     """
-    found = find_private(docs, **options).filter(F.size("spans") > 0).dropDuplicates(["doc_id"])
-
-    @F.udf("string")
-    def clean(text, spans):
-        return text if not spans else sanitise_text(text, spans)
-
-    joined = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(found, "doc_id", "left")
-    return joined.select("doc_id", clean("text", "spans").alias("text"), "spans")
+    return mark(docs, _all_revealing(docs, min_contexts, threshold, max_broadcast), max_broadcast, clean=True)
 
 
 def _listed(spans):

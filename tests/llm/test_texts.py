@@ -82,6 +82,14 @@ def test_revealing_terms_are_marked_wherever_they_stand(docs, max_broadcast):
     assert not any("zorblax" in text.lower() for text in clean.values())
 
 
+@pytest.mark.parametrize("max_broadcast", [500_000, 0])
+def test_rows_are_cleaned_by_their_own_spans(docs, max_broadcast):
+    pairs = [(None, "jo@ex.org"), (1, "x@y.example longer"), (1, "a much longer text, then jo@ex.org"), (1, None), (2, "clean"), (2, "clean")]
+    found = sanitise(docs(pairs), max_broadcast=max_broadcast).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in found) == [
+        (0, "[EMAIL]"), (1, ""), (1, "[EMAIL] longer"), (1, "a much longer text, then [EMAIL]"), (2, "clean"), (2, "clean")]
+
+
 def test_copies_are_one_context(docs):
     pairs = [(n, "the Zorblax wrote jo@ex.org to the of") for n in range(9)] + [(n, "the of") for n in range(20, 60)]
     assert all(s.kind == 0 for r in find_private(docs(pairs)).collect() for s in r.spans)
