@@ -27,14 +27,25 @@ def _key(text: Column) -> Column:
 
 
 def _base(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).withColumn("_key", _key(F.col("text")))
+    """``doc_id``, ``text``, ``_key`` (order of documents) and ``_ver``, which tells apart texts of one id."""
+    named = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    return named.withColumns({"_key": _key(F.col("text")), "_ver": F.xxhash64("text")})
+
+
+def several_texts(base: DataFrame) -> DataFrame | None:
+    """``_key`` of ids that stand for different texts; None where there is none."""
+    texts = base.groupBy("_key").agg(F.min("_ver").alias("_low"), F.max("_ver").alias("_high"))
+    twice = materialize(texts.filter("_low <> _high").select("_key"), "ids-of-several-texts")
+    return None if twice.isEmpty() else twice
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, list[bytes]]]:
-    """Keys and texts of a task in groups of about ``BATCH_BYTES``."""
+    """Keys and texts of a task in groups of about ``BATCH_BYTES``; keys are a column each if there are several."""
     keys, texts, size = [], [], 0
     for batch in batches:
-        for key, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), strict=True):
+        heads = [column.to_pylist() for column in batch.columns[:-1]]
+        heads = heads[0] if len(heads) == 1 else list(zip(*heads, strict=True))
+        for key, text in zip(heads, batch.column(batch.num_columns - 1).cast(pa.binary()).to_pylist(), strict=True):
             keys.append(key)
             texts.append(text)
             size += len(text)
@@ -85,16 +96,20 @@ def shared_prefixes(base: DataFrame, words: int, prefix: int) -> DataFrame:
     return ends.filter("low < high").select("anchor")
 
 
-def _suffixes(base: DataFrame, words: int, prefix: int) -> DataFrame:
-    """Windows as suffixes cut at ``words`` words, gathered by their prefix: ``anchor``, ``_key``, ``starts``, ``one``, ``two``.
+def _suffixes(base: DataFrame, words: int, prefix: int, ids: list[str]) -> DataFrame:
+    """Windows as suffixes cut at ``words`` words, gathered by their prefix: ``anchor``, ``ids``, ``starts``, ``one``, ``two``.
+
+    ``ids`` is ``_key``, and ``_ver`` where ids stand for different texts.
 
     Within a group of texts a window counts for its first document only. Its other documents lose it at once: they come as
     rows with null ``anchor`` and the ``starts`` to remove. So a window in very many documents is passed on once a group.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["anchor", "_key", "starts", "one", "two"]
-        for keys, texts in _groups(batches):
+        names = ["anchor", *ids, "starts", "one", "two"]
+        for heads, texts in _groups(batches):
+            heads = heads.reshape(len(texts), len(ids))
+            keys = heads[:, 0]
             owner, start, one, two, anchor, at = _windows(texts, words, prefix)
             if not len(owner):
                 continue
@@ -119,10 +134,12 @@ def _suffixes(base: DataFrame, words: int, prefix: int) -> DataFrame:
                 if gone:
                     empty = pa.nulls(len(cut), pa.list_(pa.int64()))
                     lists[1:] = [empty, empty]
-                yield pa.RecordBatch.from_arrays([anchors, pa.array(key[chosen][cut]), *lists], names)
+                owners = heads[owner[chosen][cut]]
+                yield pa.RecordBatch.from_arrays([anchors, *[pa.array(owners[:, at]) for at in range(len(ids))], *lists], names)
 
-    return base.select("_key", "text").mapInArrow(
-        run, "anchor long, _key long, starts array<int>, one array<long>, two array<long>")
+    named = ", ".join(f"{name} long" for name in ids)
+    return base.select(*ids, "text").mapInArrow(
+        run, f"anchor long, {named}, starts array<int>, one array<long>, two array<long>")
 
 
 def cut_repeats(docs: DataFrame, words: int = WORDS, prefix: int = PREFIX, max_broadcast: int = MAX_BROADCAST) -> DataFrame:
@@ -137,25 +154,26 @@ def cut_repeats(docs: DataFrame, words: int = WORDS, prefix: int = PREFIX, max_b
     that suffixes are shuffled to them. Every task settles repeats among its own texts first, so that a passage of very many
     documents arrives as one row per group of texts.
 
-    Null or empty text: no words. Documents without id come last. Rows that repeat an id must repeat the text and get the same
-    result. Other columns are dropped.
+    Null or empty text: no words. Documents without id come last. Rows that repeat id and text get the same result; rows of one
+    id and different texts are cut each by itself, and neither counts as the other's earlier document. Other columns are dropped.
     """
     base = _base(docs)
+    ids = ["_key"] if several_texts(base) is None else ["_key", "_ver"]
     shared = materialize(shared_prefixes(base, words, prefix), "shared-prefixes").withColumn("_shared", F.lit(1))
     if shared.count() <= max_broadcast:
         shared = F.broadcast(shared)
-    found = _suffixes(base, words, prefix).join(shared, "anchor", "left")
+    found = _suffixes(base, words, prefix, ids).join(shared, "anchor", "left")
     found = found.filter(F.col("anchor").isNull() | F.col("_shared").isNotNull())
     zipped = F.when(F.col("anchor").isNull(), F.transform("starts", lambda s: F.struct(
         s.alias("starts"), F.lit(None).cast("long").alias("one"), F.lit(None).cast("long").alias("two")
     ))).otherwise(F.arrays_zip("starts", "one", "two"))
-    nodes = found.select("_key", F.inline(zipped))
+    nodes = found.select(*ids, F.inline(zipped))
     # Removals already known have null hashes; a salt keeps them apart and every one of them is kept.
-    salt = F.when(F.col("one").isNull(), F.xxhash64("_key", "starts")).otherwise(F.col("one"))
-    nodes = nodes.select("_key", "starts", salt.alias("one"), "two")
+    salt = F.when(F.col("one").isNull(), F.xxhash64(*ids, "starts")).otherwise(F.col("one"))
+    nodes = nodes.select(*ids, "starts", salt.alias("one"), "two")
     lowest = F.min("_key").over(Window.partitionBy("one", "two"))
     late = nodes.withColumn("_low", lowest).filter(F.col("two").isNull() | (F.col("_key") > F.col("_low")))
-    gone = late.groupBy("_key").agg(F.collect_list("starts").alias("_gone"))
+    gone = late.groupBy(*ids).agg(F.collect_list("starts").alias("_gone"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -165,9 +183,7 @@ def cut_repeats(docs: DataFrame, words: int = WORDS, prefix: int = PREFIX, max_b
                 kept = found
                 if starts.is_valid:
                     change = np.zeros(len(found) + words + 1, np.int64)
-                    # positions outside the text can only come from rows that break the rule on ids
                     at = np.unique(starts.values.to_numpy())
-                    at = at[at + words <= len(found)]
                     change[at] += 1
                     change[at + words] -= 1
                     covered = np.cumsum(change)[:len(found)] > 0
@@ -179,7 +195,7 @@ def cut_repeats(docs: DataFrame, words: int = WORDS, prefix: int = PREFIX, max_b
                 batch.column(0), pa.array(texts, pa.string()), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()),
             ], ["doc_id", "text", "n_words", "n_removed"])
 
-    joined = base.join(gone, "_key", "left").select("doc_id", "text", "_gone")
+    joined = base.join(gone, ids, "left").select("doc_id", "text", "_gone")
     kind = joined.schema["doc_id"].dataType.simpleString()
     return joined.mapInArrow(run, f"doc_id {kind}, text string, n_words long, n_removed long")
 
