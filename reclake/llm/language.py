@@ -14,6 +14,8 @@ from reclake.llm.registry import query, table
 from reclake.llm.toxicity import held_out
 
 MAX_CHARS, MAX_DOCS, DOC_CHARS = 20_000, 40, 10_000
+# Reference texts below this length count as this long: a few letters tell little about a language.
+LEAST_CHARS = 2_000
 SEGMENT = 512
 STEP_CHARS = 1_000_000
 UNKNOWN = "und"
@@ -53,12 +55,17 @@ def suffix_automaton(ids: np.ndarray, letters: int) -> np.ndarray:
 
 @dataclass
 class Languages:
-    """Alphabet and automata of all languages; states of one language follow those of another in one table."""
+    """Alphabet and automata of all languages; states of one language follow those of another in one table.
+
+    ``sizes`` are the letters of each reference text. A match is longer in a longer text, by its logarithm, so phrase counts are
+    multiplied by that before languages are compared.
+    """
 
     names: list[str]
     alphabet: list[str]
     tables: np.ndarray
     starts: np.ndarray
+    sizes: np.ndarray
 
     def __post_init__(self) -> None:
         self._codes = None
@@ -124,6 +131,7 @@ class Languages:
         if not self.names:
             return [UNKNOWN] * len(texts), [0.0] * len(texts)
         rates, has_letter = self.phrases(texts)
+        rates = rates * np.log(np.maximum(self.sizes, LEAST_CHARS))
         ranked = np.sort(rates, axis=1)
         second = ranked[:, min(1, len(self.names) - 1)]
         score = np.where(has_letter, second / np.maximum(ranked[:, 0] + second, 1e-12), 0.0)
@@ -143,35 +151,37 @@ def letter_codes(alphabet: list[str]) -> np.ndarray:
 
 
 def fit(texts: dict[str, list[str]], max_chars: int = MAX_CHARS) -> Languages:
-    """Automata of the same size for each language, from its texts joined by a space."""
-    names = sorted(texts)
-    joined = {name: " ".join(texts[name])[:max_chars] for name in names}
+    """An automaton for each language, from its texts joined by a space; a language whose texts have no letter is left out."""
+    joined = {name: " ".join(texts[name])[:max_chars] for name in sorted(texts)}
+    joined = {name: text for name, text in joined.items() if any(map(str.isalpha, text))}
     alphabet = sorted({char.lower() for text in joined.values() for char in text if char.isalpha() and len(char.lower()) == 1})
-    languages = Languages(names, alphabet, np.zeros((1, 1), np.int32), np.zeros(0, np.int64))
+    languages = Languages(list(joined), alphabet, np.zeros((1, 1), np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64))
+    references = [languages._normalise([text])[0] for text in joined.values()]
     tables, starts = [], []
-    size = min((len(languages._normalise([text])[0]) for text in joined.values()), default=0)
-    for name in names:
+    for ids in references:
         starts.append(sum(map(len, tables)))
-        tables.append(suffix_automaton(languages._normalise([joined[name]])[0][:size], len(alphabet) + OTHER + 1))
+        tables.append(suffix_automaton(ids, len(alphabet) + OTHER + 1))
     if tables:
         languages.tables, languages.starts = np.concatenate(tables), np.array(starts, np.int64)
+        languages.sizes = np.array([len(ids) for ids in references])
     return languages
 
 
 def learn_languages(docs: DataFrame, max_docs: int = MAX_DOCS, doc_chars: int = DOC_CHARS, max_chars: int = MAX_CHARS) -> Languages:
     """Fit on documents with a language that are not held out.
 
-    The sample is bounded: per language at most ``max_docs`` different texts of at most ``doc_chars`` code points, those with
-    the smallest hash of the id, and ``max_chars`` code points of them. Languages with little text shorten the others, so
-    that all are measured against the same amount. Spark keeps the first rows per language before it shuffles them.
+    The sample is bounded: per language ``max_docs`` different texts, those with the smallest hash, at most the first ``doc_chars``
+    code points of each and ``max_chars`` in all. Copies are one text. Hashes are chosen first, so no other text is shuffled.
     """
-    known = docs.filter(F.col("lang").isNotNull() & F.length("text").between(1, doc_chars) & ~held_out(5, 0))
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "text")
-    rows = known.select("doc_id", "lang", "text").withColumn("_n", F.row_number().over(first)).filter(F.col("_n") <= max_docs)
+    part = F.substring(F.col("text").cast("string"), 1, doc_chars)
+    known = docs.filter(F.col("lang").isNotNull() & (F.length("text") > 0) & ~held_out(5, 0)).select("lang", part.alias("text"))
+    known = known.withColumn("_hash", F.xxhash64("text"))
+    first = Window.partitionBy("lang").orderBy("_hash")
+    hashes = known.select("lang", "_hash").distinct().withColumn("_n", F.row_number().over(first)).filter(F.col("_n") <= max_docs)
+    chosen = known.join(F.broadcast(hashes), ["lang", "_hash"]).groupBy("lang", "_n").agg(F.min("text").alias("text"))
     texts: dict[str, list[str]] = {}
-    for row in rows.select("lang", "text", "_n").orderBy("lang", "_n").collect():
-        if row["text"] not in texts.setdefault(row["lang"], []):
-            texts[row["lang"]].append(row["text"])
+    for row in chosen.orderBy("lang", "_n").collect():
+        texts.setdefault(row["lang"], []).append(row["text"])
     return fit(texts, max_chars)
 
 

@@ -162,6 +162,24 @@ def test_language_of_odd_rows(odd, docs):
     assert {r.lang_pred for r in language.identify_language(odd, nothing).collect()} == {"und"}
 
 
+def test_rare_and_letterless_languages_harm_no_other(spark, docs):
+    rng = random.Random(21)
+
+    def words(letters, n):
+        return " ".join("".join(rng.choice(letters) for _ in range(rng.randrange(2, 8))) for _ in range(n))
+
+    rows = [(n, words("abcdefgh", 80), "ab") for n in range(40)] + [(100 + n, words("hijklmno", 80), "hi") for n in range(40)]
+    rows += [(200 + n, "12 34 -- 5", "none") for n in range(9)] + [(300 + n, "uv", "rare") for n in range(9)]
+    rows += [(400 + n, words("pqrst", 4000), "long") for n in range(9)]
+    rows += [(500 + n, "copy of one text in a language", "copies") for n in range(300)] + [(900 + n, words("vwxyz", 60), "copies") for n in range(9)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.learn_languages(table)
+    assert model.names == ["ab", "copies", "hi", "long", "rare"]
+    asked = [(1, words("abcdefgh", 30)), (2, words("hijklmno", 30)), (3, words("pqrst", 5000)), (4, words("vwxyz", 30)), (5, "12 34")]
+    found = {r.doc_id: r.lang_pred for r in language.identify_language(docs(asked), model).collect()}
+    assert found == {1: "ab", 2: "hi", 3: "long", 4: "copies", 5: "und"}
+
+
 def test_languages_held_out(spark):
     table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     model = language.learn_languages(table)
