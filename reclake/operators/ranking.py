@@ -23,12 +23,12 @@ def top_k(df: DataFrame, k: int, order: list[Column], by: list[str], name: str =
 def target_rank(df: DataFrame, key: list[str], score: str = "score") -> DataFrame:
     """0-based rank of the target: the number of its candidates with a strictly higher score.
 
-    ``df`` holds one row per (key, candidate) with the flag ``is_target``.
+    ``df`` holds one row per (key, candidate) with the flag ``is_target``. The target's score comes by a join, so candidates
+    are neither sorted by score nor gathered; pass a stored table, it is read twice.
     """
-    target = F.max(F.when(F.col("is_target"), F.col(score))).over(Window.partitionBy(*key))
-    beaten = df.withColumn("_target", target)
+    targets = df.filter("is_target").groupBy(*key).agg(F.max(score).alias("_target")).filter("_target is not null")
     ahead = F.count_if(~F.col("is_target") & (F.col(score) > F.col("_target")))
-    return beaten.filter(F.col("_target").isNotNull()).groupBy(*key).agg(ahead.alias("rank"))
+    return df.select(*key, "is_target", score).join(targets, key).groupBy(*key).agg(ahead.alias("rank"))
 
 
 def _hit(k: int) -> Column:

@@ -53,6 +53,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_root(spark)}/reclake/{application}/{label}-{uuid.uuid4().hex}"
 
 
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove all intermediate tables of this application; frames that read them can no longer be used."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_root(spark)}/reclake/{spark.sparkContext.applicationId}")
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 

@@ -52,6 +52,18 @@ def _(t: Tables) -> DataFrame:
     return _filled(aligned, "train_total", "train_bce", "train_mse", "val_mse", "val_rmse_stars", "lr")
 
 
+@query("l4_epoch_series", """
+    with lines as (select user_id % 10 as job, event_id as seq, event_type, cast(value as varchar) as v from events where user_id % 10 <> 3),
+      tr as (select job, v, row_number() over (partition by job order by seq) as epoch from lines),
+      va as (select job, v, row_number() over (partition by job order by seq) as epoch from lines where event_type <> 'error')
+    select tr.job, tr.epoch, cast(tr.v as double) as train_total, cast('1' || va.v as double) as val_total, cast('3' || va.v as double) as val_bce,
+      cast('2' || va.v as double) as val_mse, cast('4' || va.v as double) as val_rmse_stars
+    from tr join va on tr.job = va.job and tr.epoch = va.epoch""")
+def _(t: Tables) -> DataFrame:
+    """Series of epoch lines, cut to the shortest; a job that lacks a required metric is left out."""
+    return L.parse_epoch_series(t.epoch_logs).select("job", "epoch", "train_total", "val_total", "val_bce", "val_mse", "val_rmse_stars")
+
+
 @query("l5_learning_curve", """
     select job, epoch, train_mse, val_mse, round(sqrt(train_mse), 6) as train_rmse, round(sqrt(val_mse), 6) as val_rmse,
       round(val_mse - train_mse, 6) as gap from fx_aligned""", digits=6)

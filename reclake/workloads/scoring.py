@@ -333,7 +333,7 @@ def _(t: Tables) -> DataFrame:
 
 @query("m10_tune", """
     select t.trial, t.rank, t.reg, r.rung, r.iterations, true as finite, true as in_order
-    from (select row_number() over (order by rank, reg) as trial, rank, reg from (select unnest([4, 6, 8, 10]) as rank), (select unnest([0.05, 0.1, 0.2]) as reg)) t,
+    from (select row_number() over (order by rank, reg) as trial, rank, reg from (select unnest([4, 6, 8, 10]) as rank), (select cast(unnest([0.05, 0.1, 0.2]) as double) as reg)) t,
       (select 0 as rung, 2 as iterations) r""")
 def _(t: Tables) -> DataFrame:
     """First rung of a search over twelve trials, three at once; ``in_order``: the four best of it, and no others, went on."""
@@ -455,7 +455,7 @@ def ranks(t: Tables) -> DataFrame:
     ids = [F.col("user_id"), F.col("item_id")]
     inter = F.when(F.col("model") == "twoheads", hash_unit(F.col("model"), F.lit("i"), *ids)).otherwise(F.lit(1.0))
     scored = rows.withColumn("score", inter * hash_unit(F.col("model"), F.lit("r"), *ids))
-    return K.target_rank(scored, ["model", "user_id", "target"])
+    return K.target_rank(materialize(scored.select("model", "user_id", "target", "is_target", "score"), "scored-candidates"), ["model", "user_id", "target"])
 
 
 @query("w4_target_rank", "select model, user_id, target, rank from fx_ranks")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reclake.contracts import COMPARISON, LINKS, RATINGS, WINNER
@@ -62,13 +62,26 @@ def _(t: Tables) -> DataFrame:
     return before.unionByName(after)
 
 
+def _touch(spark: SparkSession, paths: list[str]) -> None:
+    """Files of one byte, as an object store would list them; Spark's listing leaves out empty files."""
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        stream = place.getFileSystem(spark._jsc.hadoopConfiguration()).create(place)
+        stream.write(0)
+        stream.close()
+
+
 @query("s5_asset_ids", """
     select distinct p_partkey as item_id from part where p_type <> 'PROMO'""")
 def _(t: Tables) -> DataFrame:
+    # One file per part, in a folder per brand; names of promotional parts are no numbers.
+    base = scratch_path(t.spark, "posters")
     key = F.col("p_partkey").cast("string")
     name = F.when(F.col("p_type") == "PROMO", F.concat(F.lit("promo-"), key)).otherwise(key)
-    listing = t.read("part").select(F.concat(F.lit("/posters/"), name, F.lit(".jpg")).alias("path"))
-    return R.listed_ids(listing)
+    folder = F.translate("p_brand", "#", "-")
+    names = t.read("part").select(F.concat(F.lit(f"{base}/"), folder, F.lit("/"), name, F.lit(".jpg")).alias("path"))
+    _touch(t.spark, [row["path"] for row in names.collect()])
+    return R.asset_ids(t.spark, base)
 
 
 @query("s6_compact", """

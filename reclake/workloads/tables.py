@@ -198,6 +198,18 @@ class Tables:
             (F.col("user_id") % 10).alias("job"), F.col("event_id").alias("seq"), message.alias("message")
         )
 
+    @property
+    def epoch_logs(self) -> DataFrame:
+        """Epoch lines; errors lack the validation metrics, and one job never logs the cross-entropy."""
+        value, kind = F.col("value").cast("string"), F.col("event_type")
+        start = F.concat(F.lit("Epoch "), F.col("event_id").cast("string"), F.lit(" | train_total_loss="), value, F.lit(";"))
+        entropy = F.when(F.col("user_id") % 10 == 3, F.lit("")).otherwise(F.concat(F.lit(" val_bce=3"), value, F.lit(";")))
+        more = F.concat(
+            F.lit(" val_total_loss=1"), value, F.lit(";"), entropy, F.lit(" val_mse=2"), value, F.lit("; val_rmse_stars=4"), value, F.lit(";"))
+        return self.read("events").select(
+            (F.col("user_id") % 10).alias("job"), F.col("event_id").alias("seq"),
+            F.when(kind == "error", start).otherwise(F.concat(start, more)).alias("message"))
+
     @property
     def history(self) -> DataFrame:
         """A validation error and a learning rate per event, as the history of a run per user."""

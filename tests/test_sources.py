@@ -369,11 +369,15 @@ def test_a_cluster_must_name_its_folder():
 def test_local_mode_without_the_setting_gets_its_own_folder(tmp_path):
     """In a process of its own: the setting is fixed once a session runs."""
     script = (
-        "from reclake.session import build_session, checkpoint_root, materialize\n"
+        "import os\n"
+        "from reclake.session import build_session, checkpoint_root, clear_scratch, materialize\n"
         "spark = build_session('alone', 'local[1]')\n"
         "assert spark.conf.get('spark.checkpoint.dir', None) is None\n"
         "assert checkpoint_root(spark) == checkpoint_root(spark)\n"
-        "assert materialize(spark.range(3), 'ids').count() == 3\n"
+        "kept = materialize(spark.range(3), 'ids')\n"
+        "assert kept.count() == 3\n"
+        "clear_scratch(spark)\n"
+        "assert not any(os.path.exists(name.removeprefix('file://')) for name in kept.inputFiles())\n"
     )
     root = Path(__file__).resolve().parent.parent
     given = {**os.environ, "SPARK_CONF_DIR": str(tmp_path), "PYTHONPATH": str(root)}
