@@ -29,7 +29,7 @@ from reclake.workloads.tables import MODELS, Tables
 
 
 DIM, OUT, GENRES = 64, 16, 10
-PROBED = 0.6
+PROBED = 0.7
 
 
 def rule_layer(outputs: int, inputs: int, salt: int) -> S.Layer:

@@ -315,11 +315,15 @@ def test_feature_log_without_survivors_and_with_two_writers(spark, tmp_path):
     log.append(spark.createDataFrame([("a", "2024-01-01", 1, False)], LOGGED))
     log.append(spark.createDataFrame([("a", "2024-01-02", None, True)], LOGGED))
     log.compact()
-    assert log.parts() == [] and log.last_commit() == 3
+    assert log.parts() == [] and log.last_commit() == 3 and _kept(log) == {}
     log.append(spark.createDataFrame([("b", "2024-01-01", 2)], "record_id string, event_time string, value int"))
     assert _kept(log) == {"b": 2}
     with pytest.raises(PySparkException):
-        log._commit(4, [])  # the other writer was first
+        log._commit(4, [], log.schema())  # the other writer was first
+    log.append(spark.createDataFrame([("c", "2024-01-01", 3, "x")], "record_id string, event_time string, value int, more string"))
+    assert {r["record_id"]: (r["value"], r["more"]) for r in log.records().collect()} == {"b": (2, None), "c": (3, "x")}
+    with pytest.raises(ValueError, match="value"):
+        log.append(spark.createDataFrame([("d", "2024-01-01", "four")], "record_id string, event_time string, value string"))
 
 
 def test_a_failing_append_changes_nothing(spark, tmp_path):
