@@ -8,6 +8,7 @@ import __spark_entry__ as entry
 import corpus_pipeline
 from reclake.llm.queries import ORACLES, QUERIES
 from tests.compare import connect, difference
+from tests.llm.conftest import ODD
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -40,3 +41,17 @@ def test_pipeline(spark):
         assert number == 4 or docs.columns == columns
         seen = left
     assert {tuple(r) for r in corpus_pipeline.run(spark, SF_DIR).collect()} == {tuple(r) for r in docs.collect()}
+
+
+def test_stages_of_odd_rows_and_of_nothing(spark, docs, odd):
+    texts = {(number, text or "") for number, text in ODD}
+    for at, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        out = stage(spark, odd, SF_DIR)
+        rows = out.collect()
+        assert len(rows) <= len(ODD) and {r.doc_id for r in rows} <= {number for number, _ in ODD}
+        if at < 4:
+            assert out.columns == odd.columns and {r["_key"] for r in rows} <= {"k"}
+        if at in (2, 3):  # stages that only choose documents
+            assert {(r.doc_id, r.text or "") for r in rows} <= texts
+        assert len(rows) == len(ODD) or at in (0, 2, 3)
+        assert stage(spark, docs([]), SF_DIR).count() == 0
