@@ -1,4 +1,9 @@
-"""From raw documents to token ids: the corpus operators as stages, each written as Parquet and read by the next."""
+"""From raw documents to token ids: the corpus operators as stages, each written as Parquet and read by the next.
+
+A null text counts as empty in every stage. A missing id comes last in the order of documents. Rows of one id and different texts
+are documents of their own. An empty table gives an empty table. Further columns, whatever their names, are carried along by
+all stages but the last.
+"""
 
 from __future__ import annotations
 
@@ -19,7 +24,10 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules keep; the corpus's n-grams are counted over what the stage is given."""
+    """Documents that the rules keep; the corpus's n-grams are counted over what the stage is given.
+
+    Documents without words, or with fewer than the rules ask for, go. Repeated rows are judged alike.
+    """
     weights, min_ratio = fit_quality(docs, table(spark, sf_dir, "labels"))
     # Written first: a filter on the verdict would be pushed below the steps that lead to it and repeat them.
     scored = materialize(score_quality(docs, weights, min_ratio=min_ratio).select(*docs.columns, F.col("kept").alias("_kept")), "scored")
@@ -27,24 +35,30 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without lines that an earlier one holds; ``n_chars`` follows the text."""
+    """All documents, without lines that an earlier one holds; ``n_chars`` follows the text.
+
+    Null becomes empty. Repeated rows are one document: both keep their lines.
+    """
     others = [name for name in docs.columns if name not in ("doc_id", "text", "n_chars")]
     cleaned = drop_shared_lines(docs, carry=others)
     return cleaned.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each group of documents that share four fifths of their five-word shingles."""
+    """The first document of each group of documents that share four fifths of their five-word shingles.
+
+    Texts without words are in no group and stay. Of rows that repeat id and text one stays.
+    """
     return keep_first(docs, words=5, percent=80)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that quote no benchmark item."""
+    """Documents that quote no benchmark item; null and empty texts quote none, repeated rows go or stay alike."""
     return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Number and digest of each document's ids, and of the text they decode to."""
+    """Number and digest of each document's ids, and of the text they decode to: a row per document, null texts as empty ones."""
     model = public_model()
     return digests(decode_ids(encode_texts(docs, model), model))
 
