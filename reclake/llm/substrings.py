@@ -10,14 +10,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from reclake.llm.common import WORD
+from reclake.llm.hashfilter import BITS, hash_filter, passes
 from reclake.llm.hashing import window_hashes, word_hashes
 from reclake.llm.registry import query, table
 from reclake.session import materialize
 
 WORDS = 13
 PREFIX = 6
-BATCH_BYTES = 4_000_000
-MAX_BROADCAST = 3_000_000
+BATCH_BYTES = 2_000_000
 
 
 def _key(text: Column) -> Column:
@@ -39,8 +39,8 @@ def several_texts(base: DataFrame) -> DataFrame | None:
     return None if twice.isEmpty() else twice
 
 
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, list[bytes]]]:
-    """Keys and texts of a task in groups of about ``BATCH_BYTES``; keys are a column each if there are several."""
+def _groups(batches: Iterator[pa.RecordBatch], most: int = BATCH_BYTES) -> Iterator[tuple[np.ndarray, list[bytes]]]:
+    """Keys and texts of a task in groups of about ``most`` bytes; keys are a column each if there are several."""
     keys, texts, size = [], [], 0
     for batch in batches:
         heads = [column.to_pylist() for column in batch.columns[:-1]]
@@ -49,7 +49,7 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, lis
             keys.append(key)
             texts.append(text)
             size += len(text)
-            if size >= BATCH_BYTES:
+            if size >= most:
                 yield np.array(keys, np.int64), texts
                 keys, texts, size = [], [], 0
     if keys:
@@ -96,17 +96,20 @@ def shared_prefixes(base: DataFrame, words: int, prefix: int) -> DataFrame:
     return ends.filter("low < high").select("anchor")
 
 
-def _suffixes(base: DataFrame, words: int, prefix: int, ids: list[str]) -> DataFrame:
+def _suffixes(base: DataFrame, words: int, prefix: int, ids: list[str], shared: np.ndarray) -> DataFrame:
     """Windows as suffixes cut at ``words`` words, gathered by their prefix: ``anchor``, ``ids``, ``starts``, ``one``, ``two``.
 
-    ``ids`` is ``_key``, and ``_ver`` where ids stand for different texts.
+    ``ids`` is ``_key``, and ``_ver`` where ids stand for different texts. Suffixes whose prefix is not in the filter ``shared``
+    are left out.
 
     Within a group of texts a window counts for its first document only. Its other documents lose it at once: they come as
     rows with null ``anchor`` and the ``starts`` to remove. So a window in very many documents is passed on once a group.
     """
 
+    shipped = base.sparkSession.sparkContext.broadcast(shared)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["anchor", *ids, "starts", "one", "two"]
+        names, known = ["anchor", *ids, "starts", "one", "two"], shipped.value
         for heads, texts in _groups(batches):
             heads = heads.reshape(len(texts), len(ids))
             keys = heads[:, 0]
@@ -121,7 +124,7 @@ def _suffixes(base: DataFrame, words: int, prefix: int, ids: list[str]) -> DataF
             late = np.zeros(len(owner), bool)
             late[order] = key[order] > first
             for gone in (True, False):
-                chosen = np.flatnonzero(late == gone)
+                chosen = np.flatnonzero(late if gone else ~late & passes(known, anchor))
                 if not len(chosen):
                     continue
                 # windows of one text with one prefix are neighbours
@@ -142,7 +145,7 @@ def _suffixes(base: DataFrame, words: int, prefix: int, ids: list[str]) -> DataF
         run, f"anchor long, {named}, starts array<int>, one array<long>, two array<long>")
 
 
-def cut_repeats(docs: DataFrame, words: int = WORDS, prefix: int = PREFIX, max_broadcast: int = MAX_BROADCAST) -> DataFrame:
+def cut_repeats(docs: DataFrame, words: int = WORDS, prefix: int = PREFIX, bits: int = BITS) -> DataFrame:
     """Per row ``doc_id``, ``text`` (kept words joined by one space), ``n_words``, ``n_removed``.
 
     A word goes if a run of ``words`` words that covers it also starts in a document with a smaller id; runs are judged on the
@@ -150,20 +153,17 @@ def cut_repeats(docs: DataFrame, words: int = WORDS, prefix: int = PREFIX, max_b
     varies. Prefixes of only one document are leaves and need no subtree. The nodes at full depth below shared prefixes are
     told apart by 128-bit hashes of their path; the smallest document of a node keeps the words, the others lose them.
 
-    Texts are read twice and shuffled once. The shared prefixes are counted; up to ``max_broadcast`` they are broadcast, above
-    that suffixes are shuffled to them. Every task settles repeats among its own texts first, so that a passage of very many
-    documents arrives as one row per group of texts.
+    Texts are read three times and shuffled once. The shared prefixes go to the tasks as a filter of ``bits`` bits, whatever their
+    number; suffixes that it lets pass by chance find no partner and fall out later. Every task settles repeats among its own
+    texts first, so that a passage of very many documents arrives as one row per group of texts.
 
     Null or empty text: no words. Documents without id come last. Rows that repeat id and text get the same result; rows of one
     id and different texts are cut each by itself, and neither counts as the other's earlier document. Other columns are dropped.
     """
     base = _base(docs)
     ids = ["_key"] if several_texts(base) is None else ["_key", "_ver"]
-    shared = materialize(shared_prefixes(base, words, prefix), "shared-prefixes").withColumn("_shared", F.lit(1))
-    if shared.count() <= max_broadcast:
-        shared = F.broadcast(shared)
-    found = _suffixes(base, words, prefix, ids).join(shared, "anchor", "left")
-    found = found.filter(F.col("anchor").isNull() | F.col("_shared").isNotNull())
+    shared = hash_filter(shared_prefixes(base, words, prefix), "anchor", bits)
+    found = _suffixes(base, words, prefix, ids, shared)
     zipped = F.when(F.col("anchor").isNull(), F.transform("starts", lambda s: F.struct(
         s.alias("starts"), F.lit(None).cast("long").alias("one"), F.lit(None).cast("long").alias("two")
     ))).otherwise(F.arrays_zip("starts", "one", "two"))
