@@ -2,12 +2,14 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 
 from reclake.llm import jaccard, substrings
 from reclake.llm.common import ASCII_LOWER, WORD
 from reclake.llm.decontaminate import drop_contaminated, find_contamination
 from reclake.llm.graph import components
+from reclake.llm.hashfilter import hash_filter, passes
 from reclake.llm.jaccard import group_similar, keep_first
 from reclake.llm.substrings import cut_repeats
 from tests.llm.conftest import ODD
@@ -49,8 +51,8 @@ def test_substring_dedup_against_brute_force(docs, monkeypatch, group_bytes):
             if first.setdefault(key, number) != number:
                 gone.update(range(i, i + 13))
         expected[number] = (" ".join(w for i, w in enumerate(words) if i not in gone), len(words), len(gone))
-    for bound in (1_000_000, 0):  # broadcast and shuffle
-        found = cut_repeats(docs(pairs), max_broadcast=bound).collect()
+    for bits in (1 << 28, 64):  # a filter that lets next to nothing else pass, and one that lets all pass
+        found = cut_repeats(docs(pairs), bits=bits).collect()
         assert {r.doc_id: (r.text, r.n_words, r.n_removed) for r in found} == expected
 
 
@@ -118,6 +120,29 @@ def test_jaccard_of_odd_rows(odd, docs):
     assert group_similar(docs([])).collect() == [] and keep_first(docs([])).collect() == []
 
 
+def test_hash_filter(spark):
+    held = np.random.default_rng(1).integers(-(1 << 63), (1 << 63) - 1, 5000)
+    frame = spark.createDataFrame([(int(h),) for h in held], "h long").repartition(3)
+    table = hash_filter(frame, "h", 1 << 20)
+    others = np.random.default_rng(2).integers(-(1 << 63), (1 << 63) - 1, 100_000)
+    assert passes(table, held).all() and passes(table, others).mean() < 0.01
+    assert not passes(hash_filter(frame.filter("false"), "h", 1 << 10), others).any()
+
+
+def test_texts_of_one_id_are_documents_of_their_own(docs):
+    shared = " ".join(f"s{n}" for n in range(13))
+    one, other = shared + " " + " ".join("abcdefghi"), " ".join(f"o{n}" for n in range(30))
+    pairs = [(2, one), (2, other), (2, other), (5, other + " o30"), (9, one), (None, "x y z"), (None, "x y"), (1, shared + " own words here")]
+    found = sorted((r.doc_id or 0, r.n_shingles, r.component_id or 0) for r in group_similar(docs(pairs)).collect())
+    assert found == [(0, 1, 0), (0, 1, 0), (1, 13, 1), (2, 19, 2), (2, 27, 2), (2, 27, 2), (5, 28, 2), (9, 19, 2)]
+    kept = sorted((r.doc_id or 0, r.text) for r in keep_first(docs(pairs)).collect())
+    assert kept == sorted([(2, one), (2, other), (0, "x y z"), (0, "x y"), (1, pairs[-1][1])])
+    cut = sorted((r.doc_id or 0, r.n_removed, r.text) for r in cut_repeats(docs(pairs)).collect())
+    assert cut == sorted([
+        (0, 0, "x y z"), (0, 0, "x y"), (1, 0, pairs[-1][1]), (2, 13, " ".join("abcdefghi")), (2, 0, other), (2, 0, other),
+        (5, 30, "o30"), (9, 22, "")])
+
+
 def test_components_of_a_chain_and_a_star(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, n) for n in range(101, 130)] + [(7, 7), (200, 199), (199, 200)]
     found = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
