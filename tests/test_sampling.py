@@ -72,6 +72,20 @@ def test_draws_are_the_same_in_chunks_and_without_a_head_start(spark, histories,
         assert found.get((user,), []) == [unseen[at] for at in _order(len(unseen), 7, user)[:40]]
 
 
+def test_draws_of_users_with_few_seen_items_are_not_sorted(spark, histories, monkeypatch):
+    everything = frame(spark, histories)
+    requests = everything.select("user_id").distinct().withColumn("need", F.lit(40))
+    blocked, found = [], {}
+    unseen_at = N._unseen_at
+    monkeypatch.setattr(N, "_unseen_at", lambda draws, *rest: blocked.append({row["user_id"] for row in draws.collect()}) or unseen_at(draws, *rest))
+    for light in (0, 20, 256):
+        monkeypatch.setattr(N, "_LIGHT", light)
+        drawn = N.draw_unseen(requests, ["user_id"], everything, everything, 7).orderBy("user_id", "draw")
+        found[light] = drawn_by(drawn, ["user_id"])
+    # all users, those who have seen more than twenty items and not all, nobody
+    assert blocked == [set(histories) - {1}, {0, 2, 3}] and found[0] == found[20] == found[256]
+
+
 def _order(size, seed, user):
     """All places 0 .. size - 1 in the order of the permutation, by plain arithmetic."""
     prime = 2**31 - 1
