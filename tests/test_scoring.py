@@ -164,6 +164,20 @@ def test_item_index_against_the_exact_search(spark, cloud, block):
     assert picked(everything) == picked(exact)
 
 
+def test_item_index_moves_a_user_once_per_group_of_cells(spark, cloud):
+    users, items = cloud
+    as_rows = lambda part: [(at, [float(x) for x in row]) for at, row in enumerate(part)]
+    asked = spark.createDataFrame(as_rows(users), "user_id long, vector array<double>")
+    index = I.fit_item_index(spark.createDataFrame(as_rows(items), "item_id long, vector array<double>"), cells=25)
+    none = spark.createDataFrame([], "user_id long, item_id long")
+    found = I.search_top_k(asked, index, none, 10, probes=20, block=300)
+    moved = found._jdf.queryExecution().toString()
+    assert "cells" in moved and S.block_rows(100) == S.MIN_BLOCK and S.block_rows(60_000) == 10_000 and S.block_rows(10**7) == S.MAX_BLOCK
+    small = I.search_top_k(asked, index, none, 10, probes=20, block=20)
+    picked = lambda df: sorted((row["user_id"], row["rank"], row["item_id"]) for row in df.collect())
+    assert picked(found) == picked(small)
+
+
 def test_item_index_of_few_items(spark):
     some = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, [0.0, 0.0])], "item_id long, vector array<double>")
     users = spark.createDataFrame([(7, [2.0, 1.0])], "user_id long, vector array<double>")
