@@ -7,24 +7,31 @@ from pyspark.sql import functions as F
 
 from reclake.llm.common import rest, strip_blanks, word_array
 from reclake.llm.registry import query, table
+from reclake.operators.positions import group_quantiles
 from reclake.session import materialize
 
 # ---- fixed values ----
 SYMBOLS = "#*$%&|<>"
 # ---- end of fixed values ----
 BUCKETS = 10_000
-MAX_TARGET = 20_000
 PRIOR_SHARE = 0.1
 MIN_RATIO = -0.04
-HELD, MAX_HELD, MAX_LOST = 5, 5_000, 0.02
+HELD, MAX_LOST = 5, 0.02
+MAX_BROADCAST = 2_000_000  # ids; a shuffle join beyond
 
 
 def _bucket(*cols: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(*cols), F.lit(buckets)).cast("int")
 
 
+def _good(labels: DataFrame, max_broadcast: int) -> DataFrame:
+    """Ids of the documents labelled good, each once; hinted for a broadcast if there are no more than ``max_broadcast``."""
+    good = materialize(labels.filter((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select("doc_id").distinct(), "good")
+    return F.broadcast(good) if good.count() <= max_broadcast else good
+
+
 def ngram_weights(
-    docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, max_target: int = MAX_TARGET, prior: float | None = None,
+    docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, prior: float | None = None, max_broadcast: int = MAX_BROADCAST,
 ) -> DataFrame:
     """``bucket``, ``weight``: log of the target's share of a bucket over the corpus's.
 
@@ -32,13 +39,12 @@ def ngram_weights(
     target, so that weights mean the same for targets of any size. Without a target all weights are 0.
 
     N-grams are words and pairs of adjacent words. The corpus counts cover all words of all documents. The target is
-    the documents labelled good (``quality`` = 1), at most ``max_target`` of them, those with the smallest hash of the
-    id; this bounds what is broadcast. Both multinomials come from one pass, summed by bucket before the shuffle.
+    all documents labelled good (``quality`` = 1); their ids are broadcast up to ``max_broadcast`` of them, and joined by a
+    shuffle beyond. Both multinomials come from one pass, summed by bucket before the shuffle.
     """
-    good = labels.filter((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    good = good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_target).withColumn("_good", F.lit(1))
-    words = docs.select("doc_id", word_array(F.coalesce("text", F.lit(""))).alias("_words"))
-    pairs = words.join(F.broadcast(good), "doc_id", "left").select(
+    good = _good(labels, max_broadcast).withColumn("_good", F.lit(1))
+    words = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("_text")).join(good, "doc_id", "left")
+    pairs = words.select("_good", word_array(F.col("_text")).alias("_words")).select(
         F.coalesce("_good", F.lit(0)).alias("_good"),
         F.inline(F.arrays_zip(F.col("_words").alias("_a"), rest(F.col("_words"), 1).alias("_b"))).alias("_a", "_b"),
     )
@@ -125,18 +131,17 @@ def _held() -> Column:
     return F.pmod(F.xxhash64(F.lit("held"), "doc_id"), F.lit(HELD)) == 0
 
 
-def least_ratio(docs: DataFrame, labels: DataFrame, weights: DataFrame, max_held: int = MAX_HELD, max_lost: float = MAX_LOST) -> float:
+def least_ratio(docs: DataFrame, labels: DataFrame, weights: DataFrame, max_lost: float = MAX_LOST, max_broadcast: int = MAX_BROADCAST) -> float:
     """The ratio that all but ``max_lost`` of the good documents of ``labels`` reach, of those that pass the base rules.
 
-    At most ``max_held`` of them, those with the smallest hash of the id, are scored. Without any, no ratio is too low.
+    All of them are scored; the quantile is exact and worked out in blocks of ratios. Without any, no ratio is too low.
     """
-    good = labels.filter((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    good = good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_held)
-    held = docs.select("doc_id", "text").join(F.broadcast(good), "doc_id", "left_semi")
+    held = docs.select("doc_id", "text").join(_good(labels, max_broadcast), "doc_id", "left_semi")
     # Written first: a filter on the verdict would be pushed below the steps that lead to it and repeat them.
     scored = materialize(score_quality(held, weights).select("base_failed", "ratio"), "held")
-    found = scored.filter("not base_failed").agg(F.percentile("ratio", F.lit(max_lost))).first()[0]
-    return float("-inf") if found is None else found
+    passed = scored.filter("not base_failed").select(F.lit(0).alias("all"), "ratio")
+    found = group_quantiles(passed, ["all"], "ratio", {"least": max_lost}).first()
+    return float("-inf") if found is None else found["least"]
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, float]:

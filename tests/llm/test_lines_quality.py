@@ -111,6 +111,19 @@ def test_labelled_junk_is_rejected_at_any_size(spark, size):
     assert sum(bad) <= 0.2 * len(bad) and sum(good) >= 0.95 * len(good)
 
 
+@pytest.mark.parametrize("max_broadcast", [0, 10**6])
+def test_least_ratio_is_over_all_good_documents(spark, docs, max_broadcast):
+    import numpy as np
+
+    rows = [(at, " ".join(f"w{at % 97}a{place + at % 5}" for place in range(60))) for at in range(6000)]
+    frame, labels = docs(rows), spark.createDataFrame([(at, 1, 0) for at, _ in rows], "doc_id long, quality int, toxic int")
+    weights = ngram_weights(frame, labels.filter("doc_id < 40"), buckets=64, max_broadcast=max_broadcast)
+    assert sorted(weights.collect()) == sorted(ngram_weights(frame, labels.filter("doc_id < 40"), buckets=64).collect())
+    ratios = [r.ratio for r in score_quality(frame, weights, max_repeat=0.5).collect() if not r.base_failed]
+    found = quality.least_ratio(frame, labels, weights, max_lost=0.3, max_broadcast=max_broadcast)
+    assert len(ratios) > 5000 and found == pytest.approx(np.quantile(ratios, 0.3), abs=1e-12)
+
+
 def test_quality_without_good_documents(docs, labels):
     frame = docs(list(enumerate(TEXTS, 10)))
     weights, least = quality.fit_quality(frame, labels.filter("quality = 0"))
