@@ -20,6 +20,10 @@ from reclake.contracts import FILE_TO_LIBRARY, HISTORY_METRICS, LINK_NAMES, REPO
 from reclake.session import materialize
 
 
+# What a file that is listed, not opened, counts for when files are dealt over tasks.
+LISTED_BYTES = 4096
+
+
 def _missing(error: AnalysisException) -> bool:
     return error.getCondition() == "PATH_NOT_FOUND"
 
@@ -187,8 +191,12 @@ def listed_ids(files: DataFrame, ext: str = ".jpg") -> DataFrame:
 
 
 def asset_ids(spark: SparkSession, path: str, ext: str = ".jpg") -> DataFrame:
-    """Ids of the items whose asset ``{id}{ext}`` lies under ``path``."""
-    return listed_ids(list_files(spark, path), ext)
+    """Ids of the items whose asset ``{id}{ext}`` lies under ``path``.
+
+    No file is opened, so that opening one is set to cost little: a task then lists thousands of files, not some tens.
+    """
+    with _settings(spark, spark__sql__files__openCostInBytes=str(LISTED_BYTES)):
+        return materialize(listed_ids(list_files(spark, path), ext), "asset-ids")
 
 
 def first_fit(lengths: list[int], target: int) -> list[int]:

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow.fs import FileSystem
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reclake.contracts import COMPARISON, LINKS, RATINGS, WINNER
@@ -62,13 +67,23 @@ def _(t: Tables) -> DataFrame:
     return before.unionByName(after)
 
 
-def _touch(spark: SparkSession, paths: list[str]) -> None:
-    """Files of one byte, as an object store would list them; Spark's listing leaves out empty files."""
-    for path in paths:
-        place = spark._jvm.org.apache.hadoop.fs.Path(path)
-        stream = place.getFileSystem(spark._jsc.hadoopConfiguration()).create(place)
-        stream.write(0)
-        stream.close()
+def _touch(paths: DataFrame) -> None:
+    """Files of one byte, as an object store would list them, written by the tasks; Spark's listing leaves out empty files."""
+
+    def touch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        places = {}
+        for batch in batches:
+            for path in batch.column("path").to_pylist():
+                folder, name = path.rsplit("/", 1)
+                if folder not in places:
+                    places[folder] = FileSystem.from_uri(re.sub(r"^file:/(?!/)", "file:///", folder))
+                    places[folder][0].create_dir(places[folder][1], recursive=True)
+                system, place = places[folder]
+                with system.open_output_stream(f"{place}/{name}") as stream:
+                    stream.write(b"\0")
+            yield pa.RecordBatch.from_pydict({"files": pa.array([batch.num_rows], pa.int64())})
+
+    paths.mapInArrow(touch, "files bigint").agg(F.sum("files")).collect()
 
 
 @query("s5_asset_ids", """
@@ -80,17 +95,17 @@ def _(t: Tables) -> DataFrame:
     name = F.when(F.col("p_type") == "PROMO", F.concat(F.lit("promo-"), key)).otherwise(key)
     folder = F.translate("p_brand", "#", "-")
     names = t.read("part").select(F.concat(F.lit(f"{base}/"), folder, F.lit("/"), name, F.lit(".jpg")).alias("path"))
-    _touch(t.spark, [row["path"] for row in names.collect()])
+    _touch(names.repartition(t.spark.sparkContext.defaultParallelism))
     return R.asset_ids(t.spark, base)
 
 
 @query("s6_compact", """
     select user_id, count(*) as n, true as within from fx_ratings group by user_id""")
 def _(t: Tables) -> DataFrame:
-    """Small files and a large one, read in partitions of 64 KB of files; ``within`` says that no partition holds more."""
+    """Small files and large ones, read in partitions of 64 KB of files; ``within`` says that no partition holds more."""
     path, target = scratch_path(t.spark, "small-files"), 65_536
     t.ratings.filter("user_id % 2 = 0").repartition(64).write.parquet(path)
-    t.ratings.filter("user_id % 2 = 1").coalesce(1).write.mode("append").parquet(path)
+    t.ratings.filter("user_id % 2 = 1").hint("rebalance").write.mode("append").parquet(path)
     sizes = R.list_files(t.spark, path).select(F.col("path").alias("file"), "length")
     packed = R.pack_files(sizes, target)
     full = packed.filter("pieces = 1").groupBy("bin").agg(F.sum("length").alias("total")).agg(F.coalesce(F.max("total"), F.lit(0)))

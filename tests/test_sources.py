@@ -150,6 +150,35 @@ def test_assets_and_inventory(spark, tmp_path):
     assert found == [("posters", 5, 15, True), ("train", 0, 0, False)]
 
 
+def test_assets_are_made_by_tasks(spark, tmp_path):
+    from reclake.workloads.storage import _touch
+
+    names = [f"{root}{tmp_path}/posters/brand-{at % 3}/{at}.jpg" for at, root in enumerate(["", "file:", "file://"] * 40)]
+    _touch(spark.createDataFrame([(name,) for name in [*names, names[0]]], "path string").repartition(4))
+    assert sorted(path.name for path in (tmp_path / "posters").rglob("*.jpg")) == sorted(f"{at}.jpg" for at in range(120))
+    assert {path.stat().st_size for path in (tmp_path / "posters").rglob("*.jpg")} == {1}
+    found = R.asset_ids(spark, f"{tmp_path}/posters")
+    assert sorted(row["item_id"] for row in found.collect()) == list(range(120))
+    assert spark.conf.get("spark.sql.files.openCostInBytes") == "4194304b"
+
+
+def test_large_files_of_the_compaction_are_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    from reclake.workloads import storage
+    from reclake.workloads.registry import QUERIES
+
+    monkeypatch.setattr(storage, "scratch_path", lambda spark, label: f"{tmp_path}/{label}")
+    small = {f"spark.sql.adaptive.{name}": "16KB" for name in ("advisoryPartitionSizeInBytes", "coalescePartitions.minPartitionSize")}
+    for name, value in small.items():
+        spark.conf.set(name, value)
+    try:
+        found = QUERIES["s6_compact"](spark, "/root/testdata/sf0.01").agg(F.sum("n"), F.min("within").cast("string")).first()
+    finally:
+        for name in small:
+            spark.conf.unset(name)
+    # 64 small files, and the large ones
+    assert found[0] == 60_000 and found[1] == "true" and len(list((tmp_path / "small-files").glob("*.parquet"))) > 70
+
+
 def test_first_fit_decreasing():
     draw = random.Random(8)
     for size in (0, 1, 2, 50, 333):
