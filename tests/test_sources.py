@@ -416,3 +416,19 @@ def test_local_mode_without_the_setting_gets_its_own_folder(tmp_path):
     given = {**os.environ, "SPARK_CONF_DIR": str(tmp_path), "PYTHONPATH": str(root)}
     done = subprocess.run([sys.executable, "-c", script], env=given, capture_output=True, text=True, timeout=180, cwd=tmp_path)
     assert done.returncode == 0, done.stderr[-2000:]
+
+
+def test_feature_log_moves_rows_only_to_merge(spark, tmp_path):
+    log = FeatureLog(spark, str(tmp_path / "log"), buckets=2)
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    written = []
+    keep, log_write = log._write, lambda rows, *more: written.append(plan(rows)) or keep(rows, *more)
+    object.__setattr__(log, "_write", log_write)
+    rows = spark.range(50).selectExpr("concat('r', id) as record_id", "'2024-01-01' as event_time", "cast(id as int) as value")
+    log.append(rows)
+    log.append(rows.filter("value < 5").selectExpr("record_id", "event_time", "value + 100 as value"))
+    assert "Exchange" in plan(log.records())
+    log.compact()
+    assert [text.count("Exchange hash") for text in written] == [0, 0, 1]
+    assert "Exchange" not in plan(log.records())
+    assert _kept(log) == {f"r{n}": n + 100 * (n < 5) for n in range(50)}
