@@ -18,6 +18,8 @@ from reclake.session import materialize
 WORDS = 13
 PREFIX = 6
 BATCH_BYTES = 2_000_000
+# Bits of a prefix hash that are counted; equal ones of different prefixes only let more pass.
+_ANCHOR_BITS = 40
 
 
 def _key(text: Column) -> Column:
@@ -82,7 +84,8 @@ def shared_prefixes(base: DataFrame, words: int, prefix: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for keys, texts in _groups(batches):
             owner, _, _, _, anchor, _ = _windows(texts, words, prefix)
-            key = keys[owner]
+            # the low bits in the high ones, so that the zeros of a row lie together in the shuffle
+            anchor, key = anchor << np.uint64(64 - _ANCHOR_BITS), keys[owner]
             order = np.argsort(anchor, kind="stable")
             anchor, key = anchor[order], key[order]
             head = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]])) if len(anchor) else np.zeros(0, np.int64)
@@ -93,7 +96,7 @@ def shared_prefixes(base: DataFrame, words: int, prefix: int) -> DataFrame:
 
     found = base.select("_key", "text").mapInArrow(run, "anchor long, low long, high long")
     ends = found.groupBy("anchor").agg(F.min("low").alias("low"), F.max("high").alias("high"))
-    return ends.filter("low < high").select("anchor")
+    return ends.filter("low < high").select(F.shiftrightunsigned("anchor", 64 - _ANCHOR_BITS).alias("anchor"))
 
 
 def _suffixes(base: DataFrame, words: int, prefix: int, ids: list[str], shared: np.ndarray) -> DataFrame:
@@ -132,17 +135,16 @@ def _suffixes(base: DataFrame, words: int, prefix: int, ids: list[str], shared:
                 cut = np.flatnonzero(np.concatenate([[True], (lead[1:] != lead[:-1]) | (owner[chosen][1:] != owner[chosen][:-1])]))
                 offsets = pa.array(np.append(cut, len(chosen)), pa.int32())
                 lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (
-                    start[chosen].astype(np.int32), one[chosen].view(np.int64), two[chosen].view(np.int64))]
+                    start[chosen].astype(np.int32), one[chosen].view(np.int64), two[chosen].astype(np.uint32).view(np.int32))]
                 anchors = pa.nulls(len(cut), pa.int64()) if gone else pa.array(anchor[chosen][cut].view(np.int64))
                 if gone:
-                    empty = pa.nulls(len(cut), pa.list_(pa.int64()))
-                    lists[1:] = [empty, empty]
+                    lists[1:] = [pa.nulls(len(cut), pa.list_(kind)) for kind in (pa.int64(), pa.int32())]
                 owners = heads[owner[chosen][cut]]
                 yield pa.RecordBatch.from_arrays([anchors, *[pa.array(owners[:, at]) for at in range(len(ids))], *lists], names)
 
     named = ", ".join(f"{name} long" for name in ids)
     return base.select(*ids, "text").mapInArrow(
-        run, f"anchor long, {named}, starts array<int>, one array<long>, two array<long>")
+        run, f"anchor long, {named}, starts array<int>, one array<long>, two array<int>")
 
 
 def cut_repeats(docs: DataFrame, words: int = WORDS, prefix: int = PREFIX, bits: int = BITS) -> DataFrame:
@@ -151,7 +153,7 @@ def cut_repeats(docs: DataFrame, words: int = WORDS, prefix: int = PREFIX, bits:
     A word goes if a run of ``words`` words that covers it also starts in a document with a smaller id; runs are judged on the
     input. Suffixes of the texts, cut at that depth, are gathered by a prefix of ``prefix`` words whose place in the suffix
     varies. Prefixes of only one document are leaves and need no subtree. The nodes at full depth below shared prefixes are
-    told apart by 128-bit hashes of their path; the smallest document of a node keeps the words, the others lose them.
+    told apart by 96-bit hashes of their path; the smallest document of a node keeps the words, the others lose them.
 
     Texts are read three times and shuffled once. The shared prefixes go to the tasks as a filter of ``bits`` bits, whatever their
     number; suffixes that it lets pass by chance find no partner and fall out later. Every task settles repeats among its own
@@ -165,7 +167,7 @@ def cut_repeats(docs: DataFrame, words: int = WORDS, prefix: int = PREFIX, bits:
     shared = hash_filter(shared_prefixes(base, words, prefix), "anchor", bits)
     found = _suffixes(base, words, prefix, ids, shared)
     zipped = F.when(F.col("anchor").isNull(), F.transform("starts", lambda s: F.struct(
-        s.alias("starts"), F.lit(None).cast("long").alias("one"), F.lit(None).cast("long").alias("two")
+        s.alias("starts"), F.lit(None).cast("long").alias("one"), F.lit(None).cast("int").alias("two")
     ))).otherwise(F.arrays_zip("starts", "one", "two"))
     nodes = found.select(*ids, F.inline(zipped))
     # Removals already known have null hashes; a salt keeps them apart and every one of them is kept.

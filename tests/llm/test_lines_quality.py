@@ -144,3 +144,14 @@ def test_ascii_lower_leaves_other_letters(spark):
     words = ["ABCxyz", "ÄÖÜ Straße É", "İIı", ""]
     frame = spark.createDataFrame([(w,) for w in words], "w string")
     assert [r[0] for r in frame.select(ascii_lower(F.col("w"))).collect()] == [w.translate(ASCII_LOWER) for w in words]
+
+
+def test_repeats_are_shuffled_by_short_hashes(spark):
+    from reclake.llm import substrings
+
+    texts = [" ".join(f"w{(n + at) % 40}" for at in range(60)) for n in (0, 3, 90)]
+    base = substrings._base(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    anchors = [row["anchor"] for row in substrings.shared_prefixes(base, 13, 6).collect()]
+    assert anchors and all(0 <= anchor < 1 << 40 for anchor in anchors)
+    found = substrings._suffixes(base, 13, 6, ["_key"], substrings.hash_filter(substrings.shared_prefixes(base, 13, 6), "anchor"))
+    assert found.schema["two"].dataType.elementType.typeName() == "integer"
