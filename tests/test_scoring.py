@@ -281,3 +281,23 @@ def test_two_heads(planted):
     assert means[True] > means[False] + 0.2
     low, high = scored.agg(F.min("p_rating"), F.max("p_rating")).first()
     assert 0 <= low <= high <= 1
+
+
+def test_fit_sends_factors_to_few_blocks(spark, monkeypatch):
+    given, als = [], models.ALS
+    monkeypatch.setattr(models, "ALS", lambda **settings: given.append(settings) or als(**settings))
+    train = spark.createDataFrame([(u, i, (u + i) % 3 / 2) for u in range(12) for i in range(5)], "user_idx int, item_idx int, rating_scaled double")
+    models.fit_rating_model(train, rank=2, iterations=1)
+    monkeypatch.setattr(models, "_BLOCK_RATINGS", 10)
+    models.fit_rating_model(train, rank=2, iterations=1)
+    assert [(each["numUserBlocks"], each["numItemBlocks"]) for each in given] == [(4, 4), (6, 6)]
+
+
+def test_two_heads_join_factors_once(spark, monkeypatch):
+    train = spark.createDataFrame([(u, i, (u + i) % 3 / 2) for u in range(12) for i in range(5)], "user_idx int, item_idx int, rating_scaled double")
+    seen, products = [], models._products
+    factors = models.fit_rating_model(train, rank=2, iterations=1)
+    monkeypatch.setattr(models, "_products", lambda *given: seen.append(products(*given)) or seen[0])
+    monkeypatch.setattr(models, "_as_vectors", lambda rows, plain=models._as_vectors: seen.append(rows) or plain(rows))
+    models.fit_two_heads(train, factors, iterations=2)
+    assert "Join" in seen[0]._jdf.queryExecution().toString() and "Join" not in seen[1]._jdf.queryExecution().toString()

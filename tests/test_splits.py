@@ -178,3 +178,15 @@ def test_a_vocabulary_of_any_size(spark):
     assert found.filter("genres is null").first()["genre_idx"] == [] and found.count() == len(texts)
     vector = F_.apply_multihot(df.filter("genres like 'w00007|%'"), vocabulary).first()["genres_multihot"]
     assert len(vector) == 20_000 and [i for i, bit in enumerate(vector) if bit] == [7, 19_999]
+
+
+def test_feature_splits_need_no_features_of_other_rows(spark):
+    tables = Tables(spark, "/root/testdata/sf0.001")
+    parts = tables.feature_splits()
+    assert "features" not in tables.derived
+    features, _ = tables.features()
+    whole = features.join(tables.split().select("user_id", "item_id", "split"), ["user_id", "item_id"])
+    for name, part in W.by_split(whole).items():
+        assert part.columns == parts[name].columns and rows(part) == rows(parts[name])
+    cold = features.join(tables.marked().filter("not kept").select("user_id", "item_id"), ["user_id", "item_id"], "left_semi")
+    assert rows(cold.select("user_id", "item_id", "rating_scaled", "user_idx")) == rows(tables.cold().select("user_id", "item_id", "rating_scaled", "user_idx"))
