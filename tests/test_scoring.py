@@ -301,3 +301,37 @@ def test_two_heads_join_factors_once(spark, monkeypatch):
     monkeypatch.setattr(models, "_as_vectors", lambda rows, plain=models._as_vectors: seen.append(rows) or plain(rows))
     models.fit_two_heads(train, factors, iterations=2)
     assert "Join" in seen[0]._jdf.queryExecution().toString() and "Join" not in seen[1]._jdf.queryExecution().toString()
+
+
+def test_products_of_tiles_are_those_of_joins(spark):
+    def rows(df):
+        return sorted((str(row["rating_scaled"]), row["features"]) for row in df.collect())
+
+    vectors = {"users": (0, 1, 2, 4), "items": (0, 1, 3)}
+    users, items = (spark.createDataFrame([(i, [float((len(side) + i) * 3 + k) for k in range(3)]) for i in ids], "id int, features array<float>")
+                    for side, ids in vectors.items())
+    given = [(u, i, u + i / 10) for u in range(6) for i in range(5)] + [(None, 1, 7.0), (1, None, 8.0), (1, 1, 9.0), (1, 1, 9.0), (2, 3, None)]
+    pairs = spark.createDataFrame(given, "user_idx bigint, item_idx bigint, rating_scaled double")
+    joined = rows(models._products(pairs, users, items, 3).select("rating_scaled", "features"))
+    for tile_rows in (100, 5, 1):
+        tiled = models.tile_products(pairs, users, items, 3, tile_rows)
+        assert rows(tiled) == joined and "Join" not in tiled._jdf.queryExecution().toString()
+
+
+def test_two_heads_take_tiles_for_many_rows(planted, monkeypatch):
+    labelled = planted.withColumn("rating_scaled", F.when(F.col("rating_scaled") > 0.4, F.col("rating_scaled")).otherwise(0.0))
+    factors = models.fit_rating_model(labelled, rank=3, reg=0.01)
+    plain = models.fit_two_heads(labelled, factors)
+    monkeypatch.setattr(models, "_TILE_ROWS", 100)
+    monkeypatch.setattr(models, "_products", None)
+    tiled = models.fit_two_heads(labelled, factors)
+    assert tiled.interaction.coefficients.toArray() == pytest.approx(plain.interaction.coefficients.toArray(), rel=1e-4, abs=1e-6)
+    assert tiled.rating.coefficients.toArray() == pytest.approx(plain.rating.coefficients.toArray(), rel=1e-4, abs=1e-6)
+
+
+def test_fits_side_by_side_take_two_blocks(spark, monkeypatch):
+    given, als = [], models.ALS
+    monkeypatch.setattr(models, "ALS", lambda **settings: given.append(settings) or als(**settings))
+    train = spark.createDataFrame([(u, i, (u + i) % 3 / 2) for u in range(12) for i in range(5)], "user_idx int, item_idx int, rating_scaled double")
+    models.tune(train, train, [2], [0.1], iterations=1)
+    assert {(each["numUserBlocks"], each["numItemBlocks"]) for each in given} == {(2, 2)}
