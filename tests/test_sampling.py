@@ -179,3 +179,27 @@ def test_shuffle_depends_on_the_seed_only(spark):
 def test_unseen_items(spark):
     pool, seen = spark.range(5).toDF("item_id"), spark.range(3).toDF("item_id")
     assert sorted(row["item_id"] for row in N.unseen_items(pool, seen).collect()) == [3, 4]
+
+
+def test_a_draw_works_out_few_steps_at_once(spark, histories, monkeypatch):
+    everything, taken, written = frame(spark, histories), [], {}
+    requests = everything.select("user_id").distinct().withColumn("need", F.lit(40))
+    permute, materialize = N.permute, N.materialize
+    monkeypatch.setattr(N, "permute", lambda *given: taken.append(1) or permute(*given))
+    monkeypatch.setattr(N, "materialize", lambda df, label: written.setdefault(label, len(taken)) and False or materialize(df, label))
+    N.draw_unseen(requests, ["user_id"], everything, everything, 7)
+    # with four steps in one go, the generated code was too large to be compiled
+    assert written["draws"] == 2
+
+
+def test_attributes_of_the_items_of_the_splits(spark):
+    from types import SimpleNamespace
+
+    from reclake.workloads.tables import Tables
+
+    items = spark.createDataFrame([(5, 0, [0, 1]), (6, 1, [1, 1]), (7, 2, [1, 0])], "item_id long, item_idx long, genres_multihot array<int>")
+    split = spark.createDataFrame([(1, 7, "train"), (2, 7, "val"), (1, 5, "test"), (2, None, "train")], "user_id long, item_id long, split string")
+    tables = Tables(spark, "no folder")
+    # the vectors of the feature rows are not read: there are none here
+    tables.derived = {"split": split, "feature_fit": SimpleNamespace(items=items)}
+    assert sorted(tuple(row) for row in tables.item_attributes().collect()) == [(5, 0, [0, 1]), (7, 2, [1, 0])]
