@@ -203,3 +203,18 @@ def test_attributes_of_the_items_of_the_splits(spark):
     # the vectors of the feature rows are not read: there are none here
     tables.derived = {"split": split, "feature_fit": SimpleNamespace(items=items)}
     assert sorted(tuple(row) for row in tables.item_attributes().collect()) == [(5, 0, [0, 1]), (7, 2, [1, 0])]
+
+
+def test_seen_items_of_users_with_few_rows_are_not_written_first(spark, histories, monkeypatch):
+    given = {user: items for user, items in histories.items() if len(items) < 57}
+    everything, written = frame(spark, given), []
+    twice = everything.unionByName(everything).unionByName(everything.limit(3).withColumn("user_id", F.lit(None).cast("long")))
+    requests = everything.select("user_id").distinct().withColumn("need", F.lit(40))
+    materialize = N.materialize
+    monkeypatch.setattr(N, "materialize", lambda df, label: written.append(label) or materialize(df, label))
+    pool = spark.range(60).toDF("item_id")
+    found = drawn_by(N.draw_unseen(requests, ["user_id"], pool, twice, 7).orderBy("user_id", "draw"), ["user_id"])
+    for user, items in given.items():
+        unseen = sorted(set(range(60)) - set(items))
+        assert found[(user,)] == [unseen[at] for at in _order(len(unseen), 7, user)[:40]]
+    assert "seen" not in written

@@ -66,6 +66,24 @@ def test_group_positions_with_sizes(interactions, blocks):
     assert placed.select("user_id", "place").distinct().count() == placed.count() == interactions.count()
 
 
+@pytest.mark.parametrize("few, blocked", [(0, 1), (40, 1), (400, 0)])
+def test_small_groups_are_placed_without_blocks(spark, interactions, monkeypatch, few, blocked):
+    """All users in blocks, only the one with many rows, nobody; rows without a group are left out either way."""
+    from reclake.operators import positions
+
+    written, materialize = [], positions.materialize
+    monkeypatch.setattr(positions, "materialize", lambda df, label: written.append(label) or materialize(df, label))
+    df = interactions.unionByName(interactions.limit(5).withColumn("user_id", F.lit(None).cast("long")))
+    placed = group_positions(df, ["user_id"], ["ts", "item_id"], "place", "size", few)
+    assert placed.columns == ["user_id", *[name for name in interactions.columns if name != "user_id"], "place", "size"]
+    users = {}
+    for row in interactions.collect():
+        users.setdefault(row["user_id"], []).append((row["ts"], row["item_id"]))
+    expected = {(user, item): (at, len(items)) for user, items in users.items() for at, (_, item) in enumerate(sorted(items), 1)}
+    assert {(row["user_id"], row["item_id"]): (row["place"], row["size"]) for row in placed.collect()} == expected
+    assert placed.count() == len(expected) and written.count("blocks") == blocked
+
+
 @pytest.mark.parametrize("how", ["min", "max", "sum", "last"])
 def test_running_values_of_a_large_group(spark, how, blocks):
     draw = random.Random(2)
@@ -190,3 +208,36 @@ def test_feature_splits_need_no_features_of_other_rows(spark):
         assert part.columns == parts[name].columns and rows(part) == rows(parts[name])
     cold = features.join(tables.marked().filter("not kept").select("user_id", "item_id"), ["user_id", "item_id"], "left_semi")
     assert rows(cold.select("user_id", "item_id", "rating_scaled", "user_idx")) == rows(tables.cold().select("user_id", "item_id", "rating_scaled", "user_idx"))
+
+
+def test_feature_splits_write_no_other_split_and_vectors_as_text(spark, monkeypatch):
+    from dataclasses import replace
+
+    from reclake.workloads import tables as T
+
+    written, materialize = {}, T.materialize
+    monkeypatch.setattr(T, "materialize", lambda df, label: written.setdefault(label, dict(df.dtypes)) and False or materialize(df, label))
+    tables = Tables(spark, "/root/testdata/sf0.001")
+    parts = tables.feature_splits()
+    assert "split" not in written and written["splits"]["genres_multihot"] == "string"
+    kinds = dict(parts["train"].dtypes)
+    assert kinds["genres_multihot"] == "array<int>" and "split" not in kinds
+    present = {row["item_id"] for row in tables.item_attributes().collect()}
+    assert "split" not in written and present == {row["item_id"] for row in tables.split().select("item_id").collect()}
+    # an item without any place in its vector, as with an empty vocabulary
+    fit = tables.feature_fit()
+    bare = Tables(spark, "no folder")
+    bare.derived = {"split": tables.split(), "feature_fit": replace(fit, items=fit.items.withColumn("genres_multihot", F.array().cast("array<int>")))}
+    assert {len(row["genres_multihot"]) for row in bare.described_split().select("genres_multihot").collect()} == {0}
+
+
+def test_the_split_has_each_interaction_once_though_items_are_described_twice(spark):
+    from dataclasses import replace
+
+    given = Tables(spark, "/root/testdata/sf0.001")
+    fit, marked = given.feature_fit(), given.marked()
+    tables = Tables(spark, "no folder")
+    tables.derived = {"marked": marked, "feature_fit": replace(fit, items=fit.items.unionByName(fit.items))}
+    clean = marked.filter("kept").count()
+    assert tables.described_split().count() == 2 * clean and tables.split().count() == clean
+    assert tables.item_attributes().count() == tables.split().select("item_id").distinct().count()
