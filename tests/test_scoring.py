@@ -335,3 +335,49 @@ def test_fits_side_by_side_take_two_blocks(spark, monkeypatch):
     train = spark.createDataFrame([(u, i, (u + i) % 3 / 2) for u in range(12) for i in range(5)], "user_idx int, item_idx int, rating_scaled double")
     models.tune(train, train, [2], [0.1], iterations=1)
     assert {(each["numUserBlocks"], each["numItemBlocks"]) for each in given} == {(2, 2)}
+
+
+def test_two_heads_of_many_rows_store_no_products(planted, monkeypatch):
+    labelled = planted.withColumn("rating_scaled", F.when(F.col("rating_scaled") > 0.4, F.col("rating_scaled")).otherwise(0.0))
+    factors, stored, plain = models.fit_rating_model(labelled, rank=3, reg=0.01), [], models.materialize
+    monkeypatch.setattr(models, "_TILE_ROWS", 100)
+    monkeypatch.setattr(models, "LogisticRegression", None)  # it would keep a vector per row in its cache
+    monkeypatch.setattr(models, "materialize", lambda df, label, **options: stored.append(plain(df, label, **options)) or stored[-1])
+    heads = models.fit_two_heads(labelled, factors)
+    assert len(stored) == 1 and set(stored[0].dtypes) == {(name, "binary") for name in ("_ratings", "_user_at", "_item_at", "_users", "_items")}
+    pairs = [row["n"] for row in stored[0].select((F.length("_ratings") / 8).alias("n")).collect()]
+    assert sum(pairs) == labelled.count() and max(pairs) <= 100
+    assert {row["p_inter"] is not None for row in models.predict_two_heads(heads, labelled).collect()} == {True}
+
+
+def test_packed_tiles_hold_the_products_of_joins(spark, monkeypatch):
+    users = spark.createDataFrame([(i, [i + 0.5, 2.0]) for i in (0, 1, 2, 4)], "id int, features array<float>")
+    items = spark.createDataFrame([(i, [3.0, i - 0.5]) for i in (0, 1, 3)], "id int, features array<float>")
+    given = [(u, i, (u + i) % 3 / 2) for u in range(6) for i in range(5)] + [(None, 1, 1.0), (1, None, 0.5), (1, 1, 0.0), (1, 1, 0.0), (2, 3, None)]
+    pairs = spark.createDataFrame(given, "user_idx bigint, item_idx bigint, rating_scaled double")
+    rows = models._products(pairs, users, items, 2).select(F.coalesce("rating_scaled", F.lit(0.0)).alias("y"), "features").collect()
+    x, y = np.hstack([np.ones((len(rows), 1)), [row["features"] for row in rows]]), np.array([row["y"] for row in rows])
+    known, weights = np.hstack([x, y[:, None]])[y > 0], np.array([0.2, -0.1, 0.3])
+    share = 1 / (1 + np.exp(-x @ weights))
+    loss = -np.where(y > 0, np.log(share), np.log(1 - share)).sum()
+    for tile_rows, chunk in ((100, 100), (4, 3), (1, 1)):
+        monkeypatch.setattr(models, "_PASS_ROWS", chunk)
+        tiles = models.pack_tiles(pairs, users, items, 2, tile_rows)
+        for found, right in zip(models._tile_sums(tiles, 2, None), (x.T @ x, known.T @ known), strict=True):
+            assert found == pytest.approx(right)
+        wanted = (loss, x.T @ (share - (y > 0)), (x * (share * (1 - share))[:, None]).T @ x)
+        for found, right in zip(models._tile_sums(tiles, 2, weights), wanted, strict=True):
+            assert found == pytest.approx(right)
+
+
+@pytest.mark.parametrize("alike", ["interaction", "rating"])
+def test_two_heads_on_tiles_where_all_rows_are_alike(planted, monkeypatch, alike):
+    rating = F.col("rating_scaled") if alike == "interaction" else F.when(F.col("rating_scaled") > 0.4, 1.0).otherwise(0.0)
+    labelled = planted.withColumn("rating_scaled", rating)
+    factors = models.fit_rating_model(labelled, rank=2, reg=0.01)
+    plain = models.fit_two_heads(labelled, factors)
+    monkeypatch.setattr(models, "_TILE_ROWS", 100)
+    tiled = models.fit_two_heads(labelled, factors)
+    for one, other in ((plain.interaction, tiled.interaction), (plain.rating, tiled.rating)):
+        assert other.coefficients.toArray() == pytest.approx(one.coefficients.toArray(), rel=1e-4, abs=1e-6)
+        assert other.intercept == pytest.approx(one.intercept, rel=1e-4)
