@@ -218,3 +218,26 @@ def test_seen_items_of_users_with_few_rows_are_not_written_first(spark, historie
         unseen = sorted(set(range(60)) - set(items))
         assert found[(user,)] == [unseen[at] for at in _order(len(unseen), 7, user)[:40]]
     assert "seen" not in written
+
+
+def test_a_draw_moves_once_to_its_item(spark, histories, monkeypatch):
+    everything, written, materialize = frame(spark, histories), {}, N.materialize
+
+    def kept(df, label):
+        written[label] = materialize(df, label)
+        return written[label]
+
+    monkeypatch.setattr(N, "materialize", kept)
+    items = materialize(N.item_attributes(everything), "items")
+    for with_ts in (False, True):
+        sampled = N.negatives_per_positive(everything, everything, 2, with_ts=with_ts, items=items)
+        # draws and numbers, numbers and attributes; what a draw takes of its user came along with the request
+        assert sampled._jdf.queryExecution().optimizedPlan().toString().count("Join") == 2
+        assert "user_idx" in written["draws"].columns and ("ts" in written["draws"].columns) == with_ts
+    assert written["draws"].filter("idx is not null and free is null and place is not null").isEmpty()
+    per_user = N.negatives_per_user(everything, everything, 3, items=items)
+    newest = {user: user * 100 + len(items) - 1 for user, items in histories.items()}
+    drawn = [row for row in per_user.collect() if row["rating_scaled"] == 0]
+    assert drawn and all(
+        (row["user_idx"], row["item_idx"], row["genres_multihot"], row["ts"])
+        == (row["user_id"] + 1, row["item_id"] + 2, [row["item_id"] % 2, 1], newest[row["user_id"]]) for row in drawn)
