@@ -432,3 +432,36 @@ def test_feature_log_moves_rows_only_to_merge(spark, tmp_path):
     assert [text.count("Exchange hash") for text in written] == [0, 0, 1]
     assert "Exchange" not in plan(log.records())
     assert _kept(log) == {f"r{n}": n + 100 * (n < 5) for n in range(50)}
+
+
+def test_feature_log_files_are_ordered_and_packed(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    log, names = FeatureLog(spark, str(tmp_path / "log"), buckets=2), [f"r{n}" for n in range(300)]
+    random.Random(4).shuffle(names)
+    log.append(spark.createDataFrame([(name, "2024-01-01", 1, False) for name in names], LOGGED).coalesce(1))
+    log.compact()
+    files = sorted((tmp_path / "log").rglob("*.parquet"))
+    assert len({path.parent for path in files}) == 4 and sorted(_kept(log)) == sorted(names)
+    for path in files:
+        file = pq.ParquetFile(path)
+        assert {file.metadata.row_group(0).column(at).compression for at in range(file.metadata.num_columns)} == {"ZSTD"}
+        held = file.read().column("record_id").to_pylist()
+        assert held == sorted(held) or "base" in str(path)
+
+
+def test_feature_records_hold_no_genres(spark, monkeypatch):
+    from reclake.workloads import storage, tables
+
+    written, plain = {}, storage.materialize
+
+    def kept(df, label):
+        written[label] = df.columns
+        return plain(df, label)
+
+    monkeypatch.setattr(storage, "materialize", kept)
+    monkeypatch.setattr(tables, "materialize", kept)
+    t = tables.Tables(spark, "/root/testdata/sf0.001")
+    first = storage.log_versions(t)[0]
+    assert "features" not in written and written["feature-records"] == ["record_id", "event_time", "user_id", "item_id", "rating_scaled"]
+    assert rows(first) == rows(W.with_record(t.features()[0]).select(*first.columns))
