@@ -381,3 +381,15 @@ def test_two_heads_on_tiles_where_all_rows_are_alike(planted, monkeypatch, alike
     for one, other in ((plain.interaction, tiled.interaction), (plain.rating, tiled.rating)):
         assert other.coefficients.toArray() == pytest.approx(one.coefficients.toArray(), rel=1e-4, abs=1e-6)
         assert other.intercept == pytest.approx(one.intercept, rel=1e-4)
+
+
+def test_fits_side_by_side_leave_memory_to_their_tasks(spark, monkeypatch):
+    given, als = [], models.ALS
+    monkeypatch.setattr(models, "ALS", lambda **settings: given.append(settings) or als(**settings))
+    monkeypatch.setattr(models, "_BLOCK_RATINGS", 20)
+    train = spark.createDataFrame([(u, i, (u + i) % 3 / 2) for u in range(12) for i in range(5)], "user_idx int, item_idx int, rating_scaled double")
+    models.fit_rating_model(train, rank=2, iterations=1)
+    models.tune(train, train, [2], [0.1], iterations=1)
+    alone, *search = [(each["numUserBlocks"], each["intermediateStorageLevel"], each["finalStorageLevel"]) for each in given]
+    assert alone == (4, "MEMORY_AND_DISK", "MEMORY_AND_DISK") and set(search) == {(6, "DISK_ONLY", "DISK_ONLY")}
+    assert {each["checkpointInterval"] for each in given} == {2}
