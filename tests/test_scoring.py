@@ -393,3 +393,36 @@ def test_fits_side_by_side_leave_memory_to_their_tasks(spark, monkeypatch):
     alone, *search = [(each["numUserBlocks"], each["intermediateStorageLevel"], each["finalStorageLevel"]) for each in given]
     assert alone == (4, "MEMORY_AND_DISK", "MEMORY_AND_DISK") and set(search) == {(6, "DISK_ONLY", "DISK_ONLY")}
     assert {each["checkpointInterval"] for each in given} == {2}
+
+
+@pytest.mark.parametrize(("columns", "k"), [(1, 3), (7, 3), (48, 3), (401, 3), (1000, 10)])
+def test_best_places_are_those_of_a_sort(columns, k):
+    draw = np.random.default_rng(columns)
+    reaching, first = S.best_places(k)
+    scores = draw.integers(0, 40, (50, columns)).astype(float)  # many equal scores
+    scores[draw.random(scores.shape) < 0.3] = -np.inf
+    scores[0] = -np.inf
+    items = draw.permutation(columns)
+    for least in (None, draw.integers(0, 40, 50).astype(float)):
+        rows, which, floors = reaching(scores, least)
+        found = first(rows, items[which], scores[rows, which])
+        wanted = []
+        for row in range(50):
+            low = -np.inf if least is None else least[row]
+            own = sorted((-score, item) for score, item in zip(scores[row], items, strict=True) if score > -np.inf and score >= low)
+            wanted += [(row, item, -score) for score, item in own[:k]]
+            best = np.sort(scores[row])[::-1]
+            assert low <= floors[row] <= max(low, best[k - 1] if columns >= k else -np.inf)
+        assert [tuple(row) for row in found.itertuples(index=False)] == wanted
+        # of a long row only few scores are taken, not all
+        assert columns < 400 or least is None and len(rows) < 50 * columns / 4 or least is not None
+
+
+def test_the_exact_search_reads_interactions_that_are_stored(spark, monkeypatch):
+    from reclake.workloads import scoring, tables
+
+    t = tables.Tables(spark, "/root/testdata/sf0.001")
+    plain = sorted(tuple(row) for row in scoring._exact(t).collect())
+    t.stored()
+    monkeypatch.setattr(tables.Tables, "interactions", property(lambda self: 1 / 0))
+    assert sorted(tuple(row) for row in scoring._exact(t).collect()) == plain
