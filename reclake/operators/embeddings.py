@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reclake.functions.vectors import zeros
-from reclake.session import materialize
+from reclake.session import materialize_packed as materialize
 
 
 def hashed_terms(df: DataFrame, col: str = "text", dim: int = 1024, key: str = "item_id") -> DataFrame:

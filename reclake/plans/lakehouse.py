@@ -9,7 +9,7 @@ from reclake.operators.cleaning import Funnel, clean_links
 from reclake.operators.encoders import build_features
 from reclake.operators.joins import build_movies, build_ratings
 from reclake.operators.splits import by_split, filter_noise, temporal_split
-from reclake.session import materialize
+from reclake.session import materialize_packed as materialize
 from reclake.sources.writers import Encoders
 
 

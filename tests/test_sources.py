@@ -465,3 +465,15 @@ def test_feature_records_hold_no_genres(spark, monkeypatch):
     first = storage.log_versions(t)[0]
     assert "features" not in written and written["feature-records"] == ["record_id", "event_time", "user_id", "item_id", "rating_scaled"]
     assert rows(first) == rows(W.with_record(t.features()[0]).select(*first.columns))
+
+
+def test_tables_are_packed_where_asked_for(spark):
+    import pyarrow.parquet as pq
+
+    from reclake.session import materialize_packed
+
+    for write, codec in ((materialize, "SNAPPY"), (materialize_packed, "ZSTD")):
+        stored = write(spark.range(100, numPartitions=1), "packed")
+        assert stored.count() == 100
+        file = pq.ParquetFile(stored.inputFiles()[0].removeprefix("file:").replace("///", "/"))
+        assert file.metadata.row_group(0).column(0).compression == codec
